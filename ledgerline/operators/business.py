@@ -31,7 +31,7 @@ def dec_div(num, den, scale: int = 8) -> Column:
     """
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
-    return (num.cast("decimal(20,2)") / den.cast("decimal(10,0)")).cast(f"decimal(38,{scale})")
+    return (num.cast("decimal(20,2)") / den.cast("decimal(10,0)")).cast(f"decimal(28,{scale})")
 
 
 def current_customers(hub: DataFrame, sat: DataFrame) -> DataFrame:
@@ -107,8 +107,8 @@ def bv_customer_lifetime(hub_customer: DataFrame, sat_customer: DataFrame,
                 F.coalesce("current_mrr_usd", F.lit(0)).cast(MONEY_SUM).alias("current_mrr_usd"),
                 F.coalesce("current_arr_usd", F.lit(0)).cast(MONEY_SUM).alias("current_arr_usd"),
                 revenue_total.alias("total_lifetime_revenue_usd"),
-                F.when(tenure_months > 0, dec_div(revenue_total, tenure_months) * 24)
-                 .otherwise(F.lit(0)).cast("decimal(38,8)").alias("clv_24mo_usd"),
+                F.when(tenure_months > 0, dec_div(revenue_total, tenure_months) * F.lit(24).cast("decimal(2,0)"))
+                 .otherwise(F.lit(0)).cast("decimal(28,8)").alias("clv_24mo_usd"),
                 F.coalesce("is_active_customer", F.lit(0)).cast("int").alias("is_active_customer"),
                 F.coalesce("has_churned", F.lit(0)).cast("int").alias("has_churned"),
                 "first_subscription_date", "last_subscription_end_date",

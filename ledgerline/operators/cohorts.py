@@ -37,7 +37,7 @@ def cohort_retention(fct_invoices: DataFrame, dim_customer: DataFrame,
     offset = month_diff("cohort_month", "active_month")
     rd = (act.groupBy("cohort_month", offset.alias("months_since_acquisition"))
           .agg(F.count_distinct("customer_id").alias("retained_customers"),
-               F.sum("mrr_usd").cast("decimal(38,8)").alias("cohort_mrr_usd"))
+               F.sum("mrr_usd").cast("decimal(28,8)").alias("cohort_mrr_usd"))
           .filter(F.col("months_since_acquisition").between(0, max_months)))
     cs = cohort_sizes(dim_customer)
     j = rd.join(cs, "cohort_month", "inner")

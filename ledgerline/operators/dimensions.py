@@ -48,7 +48,7 @@ def dim_customer(snapshot: DataFrame, lifetime: DataFrame) -> DataFrame:
         F.coalesce("current_mrr_usd", F.lit(0)).cast(MONEY_SUM).alias("current_mrr_usd"),
         F.coalesce("current_arr_usd", F.lit(0)).cast(MONEY_SUM).alias("current_arr_usd"),
         F.coalesce("total_lifetime_revenue_usd", F.lit(0)).cast(MONEY_SUM).alias("total_lifetime_revenue_usd"),
-        F.coalesce("clv_24mo_usd", F.lit(0)).cast("decimal(38,8)").alias("clv_24mo_usd"),
+        F.coalesce("clv_24mo_usd", F.lit(0)).cast("decimal(28,8)").alias("clv_24mo_usd"),
         F.coalesce("is_active_customer", F.lit(0)).cast("int").alias("is_active_customer"),
         F.coalesce("has_churned", F.lit(0)).cast("int").alias("has_churned"),
         "first_subscription_date", "valid_from", "valid_to", "is_current")

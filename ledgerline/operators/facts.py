@@ -120,7 +120,7 @@ def fct_invoices(stg_invoices: DataFrame, dim_customer: DataFrame, dim_subscript
         F.coalesce("tier_level", F.lit(0)).cast("int").alias("tier_level"),
         "invoice_status", "payment_method", "currency_code", "amount_usd", "tax_usd",
         "discount_usd", "net_amount_usd",
-        F.when(annual, dec_div(net, F.lit(12), 8)).otherwise(net).cast("decimal(38,8)").alias("mrr_contribution_usd"),
+        F.when(annual, dec_div(net, F.lit(12), 8)).otherwise(net).cast("decimal(28,8)").alias("mrr_contribution_usd"),
         F.when(annual, net).otherwise(net * 12).cast("decimal(38,2)").alias("arr_contribution_usd"),
         flag(status == "PAID").alias("is_paid"),
         flag(status == "FAILED").alias("is_failed"),

@@ -19,7 +19,7 @@ from ..functions.dates import lit_date, month_diff, month_start
 from .dimensions import current
 
 MONEY = "decimal(38,2)"
-MONEY8 = "decimal(38,8)"
+MONEY8 = "decimal(28,8)"
 
 
 def _one_month():

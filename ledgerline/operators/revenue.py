@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_start
 
 MONEY = "decimal(38,2)"
-MONEY8 = "decimal(38,8)"
+MONEY8 = "decimal(28,8)"
 
 
 def monthly_invoices(fct_invoices: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def revenue_by_plan(movements: DataFrame) -> DataFrame:
     m = movements
     return (m.groupBy("revenue_month", "plan_code", "tier_level").agg(
         F.sum("current_mrr").cast(MONEY8).alias("total_mrr_usd"),
-        (F.sum("current_mrr") * 12).cast(MONEY8).alias("total_arr_usd"),
+        (F.sum("current_mrr").cast(MONEY8) * F.lit(12).cast("decimal(2,0)")).cast(MONEY8).alias("total_arr_usd"),
         F.sum("new_mrr").cast(MONEY8).alias("new_mrr_usd"),
         F.sum("expansion_mrr").cast(MONEY8).alias("expansion_mrr_usd"),
         F.sum("contraction_mrr").cast(MONEY8).alias("contraction_mrr_usd"),

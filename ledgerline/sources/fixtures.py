@@ -127,7 +127,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("user_id").alias("customer_id"),
                 F.when(eid % 4 == 0, F.lit(None).cast("bigint")).otherwise(eid % 1500).alias("subscription_id"),
                 F.col("mapped_type").alias("event_type"),
-                F.when(F.col("mapped_type") == "error", "diagnostics").otherwise("product").alias("event_category"),
+                F.when(et == "error", "diagnostics").otherwise("product").alias("event_category"),
                 F.when(eid % 10 == 0, F.lit(None).cast("string"))
                  .otherwise(F.concat(F.lit("feature_"),
                                      (F.get_json_object("props", "$.k").cast("int") % 10).cast("string"))).alias("feature_name"),
