@@ -22,8 +22,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import duck_oracle as duck  # noqa: E402
 from ledgerline.config import Config  # noqa: E402
-from ledgerline.operators import (business, churn, cohorts, metrics, obt,  # noqa: E402
-                                  quality, revenue, usage)
+from ledgerline.operators import (business, churn, cohorts, facts, metrics,  # noqa: E402
+                                  obt, quality, revenue, scd2, staging, usage, vault)
+from ledgerline.sources.store import upsert  # noqa: E402
 from ledgerline.plans import batches  # noqa: E402
 from ledgerline.plans.warehouse import Warehouse  # noqa: E402
 
@@ -98,15 +99,182 @@ def _sub_operators() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# ---------------------------------------------------------------- multi-batch runs
+def _snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SN1/SN3: customer history after three snapshot runs (changes, deletes, returns)."""
+    w = _wh(spark, sf_dir)
+    hist = None
+    for n, run_ts in enumerate(batches.CUSTOMER_RUNS, start=1):
+        stg = staging.stg_customers(batches.customers_batch(w.raw["customers"], n))
+        hist = scd2.snp_customers(hist, stg, run_ts)
+    return hist
+
+
+def _subscription_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SN2: subscription history after two runs (some subscriptions cancelled)."""
+    w = _wh(spark, sf_dir)
+    hist = None
+    for n, run_ts in enumerate(batches.SUBSCRIPTION_RUNS, start=1):
+        stg = staging.stg_subscriptions(batches.subscriptions_batch(w.raw["subscriptions"], n))
+        hist = scd2.snp_subscriptions(hist, stg, run_ts)
+    return hist
+
+
+def _satellite_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SA0 incremental + SA5: subscription satellite after two loads, with end dates."""
+    w = _wh(spark, sf_dir)
+    spec = vault.SATELLITES["sat_subscription_details"]
+    sat = None
+    for n, run_ts in enumerate(batches.SUBSCRIPTION_RUNS, start=1):
+        stg = staging.stg_subscriptions(batches.subscriptions_batch(w.raw["subscriptions"], n))
+        new = vault.load_satellite(stg, spec, run_ts, sat)
+        sat = new if sat is None else sat.unionByName(new)
+    return vault.with_end_dates(sat)
+
+
+def _hub_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HB0 incremental: customer hub after three loads (a key keeps its first load date)."""
+    w = _wh(spark, sf_dir)
+    spec = vault.HUBS["hub_customer"]
+    hub = None
+    for n, run_ts in enumerate(batches.CUSTOMER_RUNS, start=1):
+        stg = staging.stg_customers(batches.customers_batch(w.raw["customers"], n))
+        new = vault.load_hub(stg, spec, run_ts, hub)
+        hub = new if hub is None else hub.unionByName(new)
+    return hub
+
+
+def _split_load(table: str, batch_fn, n_batches: int):
+    """IO6 + IO8: a fact loaded in batches (high-water mark, merge on its key)."""
+    key = {"fct_events": "event_sk", "fct_invoices": "invoice_sk",
+           "fct_subscriptions": "subscription_event_sk"}[table]
+    raw_name = {"fct_events": "events", "fct_invoices": "invoices",
+                "fct_subscriptions": "subscriptions"}[table]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        w = _wh(spark, sf_dir)
+        target = None
+        for n in range(1, n_batches + 1):
+            stg = staging.STAGERS[raw_name](batch_fn(w.raw[raw_name], n))
+            if table == "fct_events":
+                inc = facts.fct_events(stg, w.t("event_types"), w.t("dim_customer"), w.t("dim_subscription"), target)
+            elif table == "fct_invoices":
+                inc = facts.fct_invoices(stg, w.t("dim_customer"), w.t("dim_subscription"), w.t("dim_plan"), target)
+            else:
+                inc = facts.fct_subscriptions(stg, w.t("dim_customer"), w.t("dim_product"), w.t("dim_plan"), target)
+            target = upsert(target, inc, [key])
+        return target
+    return run
+
+
+def _batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
+        "snp_customers_history": _snapshot_history,
+        "snp_subscriptions_history": _subscription_snapshot_history,
+        "sat_subscription_history": _satellite_history,
+        "hub_customer_history": _hub_history,
+        "fct_events_split_load": _split_load("fct_events", batches.events_batch, 3),
+        "fct_invoices_split_load": _split_load("fct_invoices", batches.invoices_batch, 3),
+        "fct_subscriptions_split_load": _split_load("fct_subscriptions", batches.subscriptions_batch, 2),
+    }
+
+
+# ---------------------------------------------------------------- metric layer
+METRIC_QUERIES = {
+    # name: (metric, by, grain)
+    "metric_mrr": ("mrr", ("plan_code",), "month"),
+    "metric_arr": ("arr", (), "month"),
+    "metric_total_collected_revenue": ("total_collected_revenue", ("payment_method",), "quarter"),
+    "metric_new_customers": ("new_customers", ("customer_segment",), "month"),
+    "metric_active_subscriptions": ("active_subscriptions", ("status",), "year"),
+    "metric_dau": ("dau", (), "day"),
+    "metric_total_events": ("total_events", ("platform",), "week"),
+}
+
+
+def _metric(metric: str, by: tuple, grain: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        w = _wh(spark, sf_dir)
+        sm, _ = metrics.measure_model(metrics.METRICS[metric].measure)
+        return metrics.metric_query({sm.table: w.t(sm.table)}, metric, by, grain)
+    return run
+
+
+def _events_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ME13: daily event counts over the whole time spine, gaps filled with 0."""
+    w = _wh(spark, sf_dir)
+    daily = metrics.metric_query({"fct_events": w.t("fct_events")}, "total_events", (), "day")
+    return metrics.fill_spine(daily, w.t("time_spine"), "metric_time__day", ["total_events"])
+
+
+def _metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    out = {n: _metric(*spec) for n, spec in METRIC_QUERIES.items()}
+    out["metric_total_events_filled"] = _events_filled
+    return out
+
+
+# ---------------------------------------------------------------- data quality
+def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = _wh(spark, sf_dir)
+    out = None
+    for layer in ("raw", "stg"):
+        for table, col in quality.UNIQUE_CHECKS:
+            df = w.raw[table] if layer == "raw" else w.t("stg_" + table)
+            v = quality.unique(df, col).select(
+                F.lit(f"{layer}.{table}.{col}").alias("check_name"),
+                F.col(col).cast("string").alias("key_value"), "n_records")
+            out = v if out is None else out.unionByName(v)
+    return out
+
+
+def _dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = _wh(spark, sf_dir)
+    out = None
+    for layer, checks in (("raw", quality.NOT_NULL_SOURCE), ("stg", quality.NOT_NULL_STAGING)):
+        for table, cols in checks.items():
+            df = w.raw[table] if layer == "raw" else w.t("stg_" + table)
+            v = quality.not_null_counts(df, cols, f"{layer}.{table}")
+            out = v if out is None else out.unionByName(v)
+    return out
+
+
+DQ_FUTURE_AS_OF = dt.datetime(2001, 1, 15)
+
+
+def _dq_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    c = _cfg()
+
+    def q(fn):
+        return lambda spark, sf_dir: fn(_wh(spark, sf_dir))
+
+    return {
+        "dq_unique": _dq_unique,
+        "dq_not_null": _dq_not_null,
+        "dq_accepted_values": q(lambda w: quality.accepted_values(
+            w.t("stg_subscriptions"), "status", quality.ACCEPTED_STATUS)),
+        "dq_relationships": q(lambda w: quality.relationships(
+            w.t("stg_subscriptions"), "customer_id", w.t("stg_customers"), "customer_id")
+            .select("subscription_id", "customer_id")),
+        "dq_future_events": q(lambda w: quality.events_not_in_future(w.t("stg_events"), DQ_FUTURE_AS_OF)),
+        "dq_mrr_non_negative": q(lambda w: quality.mrr_non_negative(w.t("fct_invoices"))),
+        "dq_orphan_subscriptions": q(lambda w: quality.no_orphan_subscriptions(
+            w.t("fct_subscriptions"), w.t("dim_customer"))),
+        "dq_freshness": q(lambda w: quality.freshness(w.raw, c.load_ts)),
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _graph(n) for n in GRAPH_TABLES}
     out.update(_sub_operators())
+    out.update(_batch_queries())
+    out.update(_metric_queries())
+    out.update(_dq_queries())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {n: duck.table(n) for n in GRAPH_TABLES}
-    for n in _sub_operators():
-        out[n] = duck.table(n)
+    names = GRAPH_TABLES + list(_sub_operators()) + list(_batch_queries()) + list(_metric_queries()) \
+        + list(_dq_queries())
+    out = {n: duck.table(n) for n in names}
     out["obt_customer_months"] = duck.sql("select * exclude (customer_sk) from obt_customer_months")
     return out
