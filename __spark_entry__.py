@@ -157,11 +157,11 @@ def _split_load(table: str, batch_fn, n_batches: int):
         for n in range(1, n_batches + 1):
             stg = staging.STAGERS[raw_name](batch_fn(w.raw[raw_name], n))
             if table == "fct_events":
-                inc = facts.fct_events(stg, w.t("event_types"), w.t("dim_customer"), w.t("dim_subscription"), target)
+                inc = facts.fct_events(stg, w.t("event_types"), w.t("customer_keys"), w.t("subscription_keys"), target)
             elif table == "fct_invoices":
-                inc = facts.fct_invoices(stg, w.t("dim_customer"), w.t("dim_subscription"), w.t("dim_plan"), target)
+                inc = facts.fct_invoices(stg, w.t("customer_keys"), w.t("subscription_keys"), w.t("dim_plan"), target)
             else:
-                inc = facts.fct_subscriptions(stg, w.t("dim_customer"), w.t("dim_product"), w.t("dim_plan"), target)
+                inc = facts.fct_subscriptions(stg, w.t("customer_keys"), w.t("dim_product"), w.t("dim_plan"), target)
             target = upsert(target, inc, [key])
         return target
     return run

@@ -54,6 +54,29 @@ def dim_customer(snapshot: DataFrame, lifetime: DataFrame) -> DataFrame:
         "first_subscription_date", "valid_from", "valid_to", "is_current")
 
 
+def customer_keys(snapshot: DataFrame) -> DataFrame:
+    """Version keys of ``dim_customer`` straight from the snapshot.
+
+    Fact lookups need only (customer_id, customer_sk, is_current); taking
+    them from the snapshot keeps the business-vault join of
+    ``dim_customer`` (which Catalyst cannot prune from a left join) out of
+    every fact's plan.
+    """
+    return snapshot.select(
+        "customer_id",
+        ts_surrogate_key("customer_id", "dbt_updated_at").alias("customer_sk"),
+        F.col("dbt_valid_to").isNull().alias("is_current"))
+
+
+def subscription_keys(snapshot: DataFrame) -> DataFrame:
+    """Version keys and billing attributes of ``dim_subscription`` from the snapshot."""
+    return snapshot.select(
+        "subscription_id",
+        ts_surrogate_key("subscription_id", "dbt_updated_at").alias("subscription_sk"),
+        "plan_code", "billing_period",
+        F.col("dbt_valid_to").isNull().alias("is_current"))
+
+
 def dim_subscription(snapshot: DataFrame, health: DataFrame) -> DataFrame:
     """DM2: one row per subscription version; health on the current one."""
     s = snapshot.select(

@@ -1,7 +1,9 @@
 """FC1-FC3: fact tables.
 
 Each fact looks up the *current* version key of its dimensions by
-natural id.  Lookups are left equi-joins: the 23-row event-type seed is
+natural id (``dim_customer`` / ``dim_subscription`` or the narrower
+``customer_keys`` / ``subscription_keys``: any frame with the id, the
+key and ``is_current``).  Lookups are left equi-joins: the 23-row event-type seed is
 broadcast (fixed bound); customer/subscription/product dimensions are
 left to Spark's size-checked join selection (broadcast under
 ``spark.sql.autoBroadcastJoinThreshold`` / AQE runtime size, sort-merge

@@ -87,11 +87,13 @@ class Warehouse:
             "dim_customer": lambda: dimensions.dim_customer(t("snp_customers"), t("bv_customer_lifetime")),
             "dim_subscription": lambda: dimensions.dim_subscription(t("snp_subscriptions"),
                                                                     t("bv_subscription_health")),
+            "customer_keys": lambda: dimensions.customer_keys(t("snp_customers")),
+            "subscription_keys": lambda: dimensions.subscription_keys(t("snp_subscriptions")),
             "fct_events": lambda: facts.fct_events(t("stg_events"), t("event_types"),
-                                                   t("dim_customer"), t("dim_subscription")),
-            "fct_invoices": lambda: facts.fct_invoices(t("stg_invoices"), t("dim_customer"),
-                                                       t("dim_subscription"), t("dim_plan")),
-            "fct_subscriptions": lambda: facts.fct_subscriptions(t("stg_subscriptions"), t("dim_customer"),
+                                                   t("customer_keys"), t("subscription_keys")),
+            "fct_invoices": lambda: facts.fct_invoices(t("stg_invoices"), t("customer_keys"),
+                                                       t("subscription_keys"), t("dim_plan")),
+            "fct_subscriptions": lambda: facts.fct_subscriptions(t("stg_subscriptions"), t("customer_keys"),
                                                                  t("dim_product"), t("dim_plan")),
             "mart_revenue": lambda: revenue.mart_revenue(t("fct_invoices")),
             "mart_churn": lambda: churn.mart_churn(t("fct_subscriptions"), cfg.as_of,

@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     parts = shuffle_partitions or (2 * (os.cpu_count() or 4) if cores == "*" else 2 * int(cores))
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.shuffle.partitions", str(parts))
              .config("spark.sql.adaptive.enabled", "true")
