@@ -1,9 +1,8 @@
 """MR1-MR4: monthly revenue, MRR movements, NRR/GRR.
 
 MR1 aggregates invoices to one row per (month, plan, tier, customer,
-subscription).  MR2 joins that table to itself shifted by one month on
-(customer_sk, subscription_sk, month): an equi-join whose key is unique
-per side, so even a hot ``'UNKNOWN'`` customer joins row-to-row.  MR4's
+subscription).  MR2 compares each row with the same subscription's row
+of the previous calendar month (a keyed ``lag``, see ``mrr_movements``).  MR4's
 window partitions by plan (a handful of groups over month rows, i.e.
 tiny after aggregation).
 """
@@ -35,15 +34,22 @@ def monthly_invoices(fct_invoices: DataFrame) -> DataFrame:
 
 
 def mrr_movements(monthly: DataFrame) -> DataFrame:
-    """MR2: new / expansion / contraction / churned MRR vs the previous month."""
-    prev = monthly.select(
-        F.col("customer_sk").alias("p_customer_sk"),
-        F.col("subscription_sk").alias("p_subscription_sk"),
-        F.add_months("revenue_month", 1).alias("p_next_month"),
-        F.col("mrr_usd").alias("p_mrr"))
-    j = monthly.join(prev, (F.col("customer_sk") == F.col("p_customer_sk"))
-                     & (F.col("subscription_sk") == F.col("p_subscription_sk"))
-                     & (F.col("revenue_month") == F.col("p_next_month")), "left")
+    """MR2: new / expansion / contraction / churned MRR vs the previous month.
+
+    The previous month's row of the same (customer_sk, subscription_sk) is
+    found with ``lag`` over that key ordered by month, kept only when it is
+    exactly one calendar month earlier.  This equals the equi-join on
+    (customer_sk, subscription_sk, month - 1) because MR1 holds one row per
+    (customer_sk, subscription_sk, month): plan and tier are functions of
+    the subscription key.  One shuffle on the key, and MR1 is computed once
+    (a self-join would plan its input twice).  A key holds at most one row
+    per month, so even the ``'UNKNOWN'`` key is a short window.
+    """
+    w = Window.partitionBy("customer_sk", "subscription_sk").orderBy("revenue_month")
+    prev_month = F.lag("revenue_month").over(w)
+    prev_mrr = F.lag("mrr_usd").over(w)
+    j = monthly.withColumn(
+        "p_mrr", F.when(F.add_months(prev_month, 1) == F.col("revenue_month"), prev_mrr))
     cur, p = F.col("mrr_usd"), F.col("p_mrr")
     zero = F.lit(0).cast(MONEY8)
     return j.select(
