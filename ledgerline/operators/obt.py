@@ -38,7 +38,9 @@ def customer_months(dim_customer: DataFrame, calendar_start: dt.date, as_of: dt.
     first = F.greatest(F.col("cohort_month"), lo)
     # a cohort month that is not itself a 1st starts at the next 1st
     first = F.when(first == month_start(first), first).otherwise(F.add_months(month_start(first), 1))
-    return (c.select("*", first.alias("_first"))
+    # NULL cohort month: no rows (``greatest`` would skip the NULL)
+    return (c.filter(F.col("cohort_month").isNotNull())
+            .select("*", first.alias("_first"))
             .filter(F.col("_first") <= hi)
             .select(F.explode(F.sequence(F.col("_first"), hi, _one_month())).alias("report_month"),
                     "customer_id", "customer_sk", "customer_name", "email", "company_name",
