@@ -17,6 +17,7 @@ Level order (each depends only on earlier ones):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import (business, churn, cohorts, dimensions, facts, obt,
@@ -111,26 +112,79 @@ class Warehouse:
 
 
 # Tables per level with their layer.
-LEVELS = [
-    [("ref_data", "dim_plan"), ("dimensions", "dim_product"), ("dimensions", "dim_date")],
-    [("raw_vault", n) for n in VAULT_TABLES]
-    + [("snapshots", "snp_customers"), ("snapshots", "snp_subscriptions")],
-    [("business_vault", "bv_customer_lifetime"), ("business_vault", "bv_subscription_health")],
-    [("dimensions", "dim_customer"), ("dimensions", "dim_subscription")],
-    [("facts", "fct_events"), ("facts", "fct_invoices"), ("facts", "fct_subscriptions")],
-    [("marts", "mart_revenue"), ("marts", "mart_churn"), ("marts", "mart_usage"),
-     ("marts", "obt_saas_metrics"), ("marts", "cohort_retention")],
-]
-
-
-def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str) -> dict[str, str]:
-    """Full build: write every level; later levels read the written tables."""
+REFERENCE_TABLES = [("ref_data", "dim_plan"), ("dimensions", "dim_product"), ("dimensions", "dim_date")]
+SNAPSHOTS = {"snp_customers": ("customers", scd2.snp_customers),
+             "snp_subscriptions": ("subscriptions", scd2.snp_subscriptions)}
+REBUILT = [("business_vault", "bv_customer_lifetime"), ("business_vault", "bv_subscription_health"),
+           ("dimensions", "dim_customer"), ("dimensions", "dim_subscription")]
+FACTS = {  # name: (source entity, unique key, date the month partition derives from)
+    "fct_events": ("events", "event_sk", "event_date_key"),
+    "fct_invoices": ("invoices", "invoice_sk", "invoice_date_key"),
+    "fct_subscriptions": ("subscriptions", "subscription_event_sk", "start_date_key"),
+}
+PARTITION = "partition_month"
+MARTS = ["mart_revenue", "mart_churn", "mart_usage", "obt_saas_metrics", "cohort_retention"]
+
+
+def _vault_rows(wh: Warehouse, name: str, load_ts, target: DataFrame | None) -> DataFrame:
+    src = wh.t("stg_" + VAULT_SOURCE[name])
+    if name in vault.HUBS:
+        return vault.load_hub(src, vault.HUBS[name], load_ts, target)
+    if name in vault.LINKS:
+        return vault.load_link(src, vault.LINKS[name], load_ts, target)
+    return vault.load_satellite(src, vault.SATELLITES[name], load_ts, target)
+
+
+def _fact_rows(wh: Warehouse, name: str, target: DataFrame | None) -> DataFrame:
+    t = wh.t
+    if name == "fct_events":
+        return facts.fct_events(t("stg_events"), t("event_types"), t("customer_keys"),
+                                t("subscription_keys"), target)
+    if name == "fct_invoices":
+        return facts.fct_invoices(t("stg_invoices"), t("customer_keys"), t("subscription_keys"),
+                                  t("dim_plan"), target)
+    return facts.fct_subscriptions(t("stg_subscriptions"), t("customer_keys"), t("dim_product"),
+                                   t("dim_plan"), target)
+
+
+def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
+        staging_dir: str | None = None) -> dict[str, str]:
+    """One warehouse run against the store at ``root`` (first run = full build).
+
+    * reference tables, business vault, dimensions and marts are rebuilt;
+    * hubs, links and satellites append the rows new in this extract;
+    * snapshots merge the extract into their history (SCD2);
+    * facts load the rows after their high-water mark and merge them on
+      their unique key, rewriting only the touched month partitions
+      (``partition_month``; a month filter on a fact prunes files).
+
+    Every level is written before the next one reads it, which cuts the
+    lineage; a rerun after a failure recomputes from the last written level.
+    """
+    from ..session import ensure_checkpoint_dir
     store = TableStore(spark, root)
+    staging_dir = staging_dir or ensure_checkpoint_dir(spark)
     wh = Warehouse(spark, raw, cfg)
-    written = {}
-    for level in LEVELS:
-        for layer, name in level:
-            written[name] = store.write(layer, name, wh.t(name))
-        for layer, name in level:
-            wh.put(name, store.read(layer, name))
+    written: dict[str, str] = {}
+
+    def publish(layer: str, name: str, path: str) -> None:
+        written[name] = path
+        wh.put(name, store.read(layer, name))
+
+    for layer, name in REFERENCE_TABLES:
+        publish(layer, name, store.write(layer, name, wh.t(name)))
+    for name in VAULT_TABLES:
+        rows = _vault_rows(wh, name, cfg.load_ts, store.read("raw_vault", name))
+        publish("raw_vault", name, store.append("raw_vault", name, rows))
+    for name, (entity, fn) in SNAPSHOTS.items():
+        hist = fn(store.read("snapshots", name), wh.t("stg_" + entity), cfg.load_ts)
+        publish("snapshots", name, store.write("snapshots", name, hist))
+    for layer, name in REBUILT:
+        publish(layer, name, store.write(layer, name, wh.t(name)))
+    for name, (_, key, date_col) in FACTS.items():
+        inc = (_fact_rows(wh, name, store.read("facts", name))
+               .withColumn(PARTITION, F.trunc(F.col(date_col), "month")))
+        publish("facts", name, store.merge_partitions("facts", name, inc, [key], PARTITION, staging_dir))
+    for name in MARTS:
+        publish("marts", name, store.write("marts", name, wh.t(name)))
     return written
