@@ -27,6 +27,7 @@ from ledgerline.operators import (business, churn, cohorts, facts, metrics,  # n
 from ledgerline.sources.store import upsert  # noqa: E402
 from ledgerline.plans import batches  # noqa: E402
 from ledgerline.plans.warehouse import Warehouse  # noqa: E402
+from ledgerline.session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
@@ -152,6 +153,7 @@ def _split_load(table: str, batch_fn, n_batches: int):
                 "fct_subscriptions": "subscriptions"}[table]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
         w = _wh(spark, sf_dir)
         target = None
         for n in range(1, n_batches + 1):
@@ -162,7 +164,8 @@ def _split_load(table: str, batch_fn, n_batches: int):
                 inc = facts.fct_invoices(stg, w.t("customer_keys"), w.t("subscription_keys"), w.t("dim_plan"), target)
             else:
                 inc = facts.fct_subscriptions(stg, w.t("customer_keys"), w.t("dim_product"), w.t("dim_plan"), target)
-            target = upsert(target, inc, [key])
+            # cut the lineage between batches: a table written in spark.checkpoint.dir
+            target = materialize(upsert(target, inc, [key]), f"{table}-batch{n}")
         return target
     return run
 

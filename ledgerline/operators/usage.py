@@ -27,7 +27,10 @@ def recent_events(fct_events: DataFrame, as_of: dt.date, years_back: int = 2) ->
         lo = as_of.replace(year=as_of.year - years_back)
     except ValueError:
         lo = as_of.replace(year=as_of.year - years_back, day=28)
-    return (fct_events.filter(F.col("event_date_key") >= lit_date(lo))
+    recent = F.col("event_date_key") >= lit_date(lo)
+    if "partition_month" in fct_events.columns:     # stored facts: prune month partitions
+        recent = recent & (F.col("partition_month") >= lit_date(lo.replace(day=1)))
+    return (fct_events.filter(recent)
             .select(F.col("event_date_key").alias("event_date"), "customer_sk", "event_type",
                     "event_category", "feature_name", "platform", "device_type",
                     "engagement_score", "is_conversion_event", "is_churn_signal"))

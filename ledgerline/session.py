@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -35,3 +36,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
     return d
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Cut the lineage of ``df``: write it as parquet under the shared
+    checkpoint folder and return the re-read table.
+
+    Computes the plan once (``Dataset.checkpoint`` computes it twice unless
+    cached) and survives executor loss, unlike a local checkpoint.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
