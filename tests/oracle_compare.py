@@ -37,6 +37,17 @@ def digest(rows, cols):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+def spark_type_name(dt) -> str:
+    return dt.simpleString().upper().replace("STRING", "VARCHAR").replace("TIMESTAMP_NTZ", "TIMESTAMP") \
+        .replace("INT", "INTEGER").replace("BIGINTEGER", "BIGINT").replace("SMALLINTEGER", "SMALLINT")
+
+
+def type_diffs(df, cur):
+    st = {f.name: spark_type_name(f.dataType) for f in df.schema.fields}
+    dt_ = {d[0]: str(d[1]).upper() for d in cur.description}
+    return {c: (st[c], dt_.get(c)) for c in st if c in dt_ and st[c] != dt_[c]}
+
+
 def duck_con(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -74,6 +85,9 @@ def compare(spark, sf_dir, names=None, verbose=True):
             print(f"{name:32s} DUCK-ERROR {str(ex)[:600]}")
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        tdiff = type_diffs(df, cur)
+        if tdiff:
+            print(f"   types differ: {tdiff}")
         hs, ls = digest(srows, scols)
         hd, ld = digest(drows, dcols)
         ok = ok_cols and len(srows) == len(drows) and hs == hd
