@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .config("spark.sql.parquet.aggregatePushdown", "true")
              .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

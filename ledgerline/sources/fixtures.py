@@ -26,10 +26,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the repartition branch.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
-    if want > 1 and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    try:
+        want = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(want) if want > 1 and splits < want else df
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
