@@ -24,7 +24,12 @@ def lit_date(d: dt.date) -> Column:
 
 
 def lit_ts(t: dt.datetime) -> Column:
-    return F.lit(t).cast("timestamp_ntz")
+    """Wall-clock timestamp literal, independent of any time zone.
+
+    (``F.lit(datetime)`` would build a session-zone TIMESTAMP through the
+    Python process's local zone, shifting the value when the two differ.)
+    """
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def month_start(c) -> Column:

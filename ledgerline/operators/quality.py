@@ -74,8 +74,8 @@ def freshness(tables: dict[str, DataFrame], as_of: dt.datetime, warn_hours: int
     for name, df in tables.items():
         row = df.agg(F.max(col).alias("max_loaded_at")).select(
             F.lit(name).alias("source_name"), "max_loaded_at",
-            ((F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp")))
-             .cast("double") / 3600000000.0).alias("age_hours"))
+            (F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now).cast("double")
+             / 3600000000.0).alias("age_hours"))
         out = row if out is None else out.unionByName(row)
     age = F.col("age_hours")
     return out.withColumn("status", F.when(age.isNull() | (age > error_hours), "error")

@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import lit_ts
+
 # Run times and cut-offs of the batch fixtures.
 CUSTOMER_RUNS = (dt.datetime(2001, 6, 1), dt.datetime(2001, 7, 1), dt.datetime(2001, 8, 1))
 SUBSCRIPTION_RUNS = (dt.datetime(2001, 6, 1), dt.datetime(2001, 8, 1))
@@ -42,10 +44,10 @@ def subscriptions_batch(raw: DataFrame, n: int) -> DataFrame:
     """1: rows loaded before 1999; 2: all rows, active ones with key divisible
     by 20 cancelled on 2001-07-15 (the raw row is replaced)."""
     if n == 1:
-        return raw.filter(F.col("_loaded_at") < F.lit(SUBSCRIPTION_CUTOFF).cast("timestamp_ntz"))
+        return raw.filter(F.col("_loaded_at") < lit_ts(SUBSCRIPTION_CUTOFF))
     if n == 2:
         hit = (F.col("subscription_id").cast("bigint") % 20 == 0) & (F.col("status") == "Active")
-        ts = F.lit(SUBSCRIPTION_CHANGE_TS).cast("timestamp_ntz")
+        ts = lit_ts(SUBSCRIPTION_CHANGE_TS)
         return (raw.withColumn("_hit", hit)
                 .withColumn("status", F.when(F.col("_hit"), F.lit("Cancelled")).otherwise(F.col("status")))
                 .withColumn("cancelled_at", F.when(F.col("_hit"), ts).otherwise(F.col("cancelled_at")))
@@ -58,7 +60,7 @@ def subscriptions_batch(raw: DataFrame, n: int) -> DataFrame:
 def split_by_load_time(raw: DataFrame, cutoff: dt.datetime, n: int) -> DataFrame:
     """1: rows loaded before ``cutoff``; 2 and later: all rows."""
     if n == 1:
-        return raw.filter(F.col("_loaded_at") < F.lit(cutoff).cast("timestamp_ntz"))
+        return raw.filter(F.col("_loaded_at") < lit_ts(cutoff))
     return raw
 
 
