@@ -16,6 +16,8 @@ Level order (each depends only on earlier ones):
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,8 +149,16 @@ def _fact_rows(wh: Warehouse, name: str, target: DataFrame | None) -> DataFrame:
                                    t("dim_plan"), target)
 
 
+def _in_parallel(jobs: list, workers: int) -> list:
+    """Run independent write actions as concurrent Spark jobs (one level at a time)."""
+    if workers <= 1 or len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
-        staging_dir: str | None = None) -> dict[str, str]:
+        staging_dir: str | None = None, workers: int = 4) -> dict[str, str]:
     """One warehouse run against the store at ``root`` (first run = full build).
 
     * reference tables, business vault, dimensions and marts are rebuilt;
@@ -160,6 +170,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
 
     Every level is written before the next one reads it, which cuts the
     lineage; a rerun after a failure recomputes from the last written level.
+    The tables of one level are independent: their plans are built on the
+    driver thread and their writes run as up to ``workers`` concurrent jobs.
     """
     from ..session import ensure_checkpoint_dir
     store = TableStore(spark, root)
@@ -167,24 +179,33 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
     wh = Warehouse(spark, raw, cfg)
     written: dict[str, str] = {}
 
-    def publish(layer: str, name: str, path: str) -> None:
-        written[name] = path
-        wh.put(name, store.read(layer, name))
+    def level(layer_of: dict[str, str], jobs: dict) -> None:
+        paths = _in_parallel(list(jobs.values()), workers)
+        for name, path in zip(jobs, paths):
+            written[name] = path
+            wh.put(name, store.read(layer_of[name], name))
+
+    def rebuild(tables: list[tuple[str, str]]) -> None:
+        jobs = {name: (lambda l=layer, n=name, df=wh.t(name): store.write(l, n, df)) for layer, name in tables}
+        level({n: l for l, n in tables}, jobs)
 
-    for layer, name in REFERENCE_TABLES:
-        publish(layer, name, store.write(layer, name, wh.t(name)))
+    rebuild(REFERENCE_TABLES)
+    jobs = {}
     for name in VAULT_TABLES:
         rows = _vault_rows(wh, name, cfg.load_ts, store.read("raw_vault", name))
-        publish("raw_vault", name, store.append("raw_vault", name, rows))
+        jobs[name] = lambda n=name, df=rows: store.append("raw_vault", n, df)
     for name, (entity, fn) in SNAPSHOTS.items():
         hist = fn(store.read("snapshots", name), wh.t("stg_" + entity), cfg.load_ts)
-        publish("snapshots", name, store.write("snapshots", name, hist))
-    for layer, name in REBUILT:
-        publish(layer, name, store.write(layer, name, wh.t(name)))
+        jobs[name] = lambda n=name, df=hist: store.write("snapshots", n, df)
+    level({**{n: "raw_vault" for n in VAULT_TABLES}, **{n: "snapshots" for n in SNAPSHOTS}}, jobs)
+    rebuild(REBUILT[:2])                 # business vault
+    rebuild(REBUILT[2:])                 # dimensions
+    jobs = {}
     for name, (_, key, date_col) in FACTS.items():
         inc = (_fact_rows(wh, name, store.read("facts", name))
                .withColumn(PARTITION, F.trunc(F.col(date_col), "month")))
-        publish("facts", name, store.merge_partitions("facts", name, inc, [key], PARTITION, staging_dir))
-    for name in MARTS:
-        publish("marts", name, store.write("marts", name, wh.t(name)))
+        jobs[name] = lambda n=name, df=inc, k=key: store.merge_partitions("facts", n, df, [k], PARTITION,
+                                                                          staging_dir)
+    level({n: "facts" for n in FACTS}, jobs)
+    rebuild([("marts", name) for name in MARTS])
     return written
