@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 RAW_TABLES = ("customers", "subscriptions", "events", "invoices", "products")
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one test table; spread it over the cores if the file is one split.
 
     The test files hold a single row group each, so their scan is one task
@@ -34,8 +34,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(want) if want > 1 and splits < want else df
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer")
+def raw_customers(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _scan
+    c = read(spark, sf_dir, "customer")
     day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 360).cast("int"))
     ts = day.cast("timestamp_ntz")
     return c.select(
@@ -56,8 +57,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+def raw_subscriptions(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _scan
+    o = read(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     odate = F.col("o_orderdate").cast("date")
     finished = F.col("o_orderstatus") == "F"
@@ -90,10 +92,11 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_invoices(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     """One invoice per line item, dated ``linenumber - 1`` months after the order."""
-    li = _read(spark, sf_dir, "lineitem")
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    read = read or _scan
+    li = read(spark, sf_dir, "lineitem")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
     tax = (amount * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,2)")
@@ -124,8 +127,9 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events")
+def raw_events(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _scan
+    e = read(spark, sf_dir, "events")
     eid = F.col("event_id")
     et = F.col("event_type")
     mapped = (F.when(et == "view", "page_view")
@@ -153,8 +157,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             ))
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _read(spark, sf_dir, "part")
+def raw_products(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _scan
+    p = read(spark, sf_dir, "part")
     k = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(18,2)")
     base = F.lit("1995-01-01").cast("timestamp_ntz")
@@ -186,5 +191,16 @@ RAW_BUILDERS = {
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All five raw tables, lazily derived from the driver's parquet files."""
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+    """All five raw tables, lazily derived from the driver's parquet files.
+
+    Each driver table is scanned through one shared DataFrame (``orders``
+    feeds both subscriptions and invoices).
+    """
+    scans: dict[str, DataFrame] = {}
+
+    def shared(spark_: SparkSession, sf_dir_: str, name: str) -> DataFrame:
+        if name not in scans:
+            scans[name] = _scan(spark_, sf_dir_, name)
+        return scans[name]
+
+    return {name: build(spark, sf_dir, shared) for name, build in RAW_BUILDERS.items()}

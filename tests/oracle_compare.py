@@ -25,7 +25,7 @@ def _norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
-        return repr(round(v, 9))
+        return repr(v)
     if isinstance(v, decimal.Decimal):
         return format(v.normalize(), "f") if v == v else "nan"
     return str(v)
