@@ -81,8 +81,9 @@ def mart_usage(fct_events: DataFrame, as_of: dt.date, years_back: int = 2) -> Da
     ev = recent_events(fct_events, as_of, years_back)
     cd = customer_days(ev)
     daily = daily_usage(ev)
-    wau = rolling_actives(cd, daily, 7, "wau_7d").withColumnRenamed("event_date", "_w_date")
-    mau = rolling_actives(cd, daily, 28, "mau_28d").withColumnRenamed("event_date", "_m_date")
+    days = cd.select("event_date").distinct()        # days with events, from the same aggregate
+    wau = rolling_actives(cd, days, 7, "wau_7d").withColumnRenamed("event_date", "_w_date")
+    mau = rolling_actives(cd, days, 28, "mau_28d").withColumnRenamed("event_date", "_m_date")
     j = (daily.join(wau, F.col("event_date") == F.col("_w_date"), "left")
               .join(mau, F.col("event_date") == F.col("_m_date"), "left"))
     dau = F.col("dau")
