@@ -46,7 +46,12 @@ def _first_versions(incoming: DataFrame, key: str, run_ts: dt.datetime) -> DataF
 def scd2_check(history: DataFrame | None, incoming: DataFrame, key: str,
                check_cols: tuple, run_ts: dt.datetime,
                close_missing: bool = True) -> DataFrame:
-    """SN0: new full history after one snapshot run."""
+    """SN0: new full history after one snapshot run.
+
+    ``history`` may also be just the open versions: the result is then the
+    versions this run closes plus the new open set, which lets a store keep
+    closed history append-only (``plans.warehouse._snapshot_run``).
+    """
     payload = list(incoming.columns)
     if history is None:
         return _first_versions(incoming, key, run_ts)

@@ -16,6 +16,7 @@ Level order (each depends only on earlier ones):
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -149,6 +150,30 @@ def _fact_rows(wh: Warehouse, name: str, target: DataFrame | None) -> DataFrame:
                                    t("dim_plan"), target)
 
 
+def _snapshot_history(store: TableStore, name: str) -> DataFrame | None:
+    """Full SCD2 history = append-only closed versions + current open versions."""
+    open_rows = store.read("snapshots", name + "__open")
+    closed = store.read("snapshots", name + "__closed")
+    if open_rows is None:
+        return None
+    return open_rows if closed is None else closed.unionByName(open_rows)
+
+
+def _snapshot_run(store: TableStore, name: str, fn, stg: DataFrame, run_ts, staging_dir: str) -> str:
+    """Merge one extract into a stored snapshot.
+
+    Only the open versions are read and rewritten; versions closed by this
+    run are appended to the closed part.  The merge output is staged once
+    (in ``staging_dir``) and split, so it is computed once.
+    """
+    step = fn(store.read("snapshots", name + "__open"), stg, run_ts)
+    path = f"{staging_dir.rstrip('/')}/snapshot-{name}-{uuid.uuid4().hex}"
+    step.write.parquet(path)
+    staged = store.spark.read.parquet(path)
+    store.append("snapshots", name + "__closed", staged.filter(F.col("dbt_valid_to").isNotNull()))
+    return store.write("snapshots", name + "__open", staged.filter(F.col("dbt_valid_to").isNull()))
+
+
 def _in_parallel(jobs: list, workers: int) -> list:
     """Run independent write actions as concurrent Spark jobs (one level at a time)."""
     if workers <= 1 or len(jobs) <= 1:
@@ -195,9 +220,12 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
         rows = _vault_rows(wh, name, cfg.load_ts, store.read("raw_vault", name))
         jobs[name] = lambda n=name, df=rows: store.append("raw_vault", n, df)
     for name, (entity, fn) in SNAPSHOTS.items():
-        hist = fn(store.read("snapshots", name), wh.t("stg_" + entity), cfg.load_ts)
-        jobs[name] = lambda n=name, df=hist: store.write("snapshots", n, df)
-    level({**{n: "raw_vault" for n in VAULT_TABLES}, **{n: "snapshots" for n in SNAPSHOTS}}, jobs)
+        jobs[name] = (lambda n=name, e=entity, f=fn:
+                      _snapshot_run(store, n, f, wh.t("stg_" + e), cfg.load_ts, staging_dir))
+    level({n: "raw_vault" for n in VAULT_TABLES}, {n: j for n, j in jobs.items() if n in VAULT_TABLES})
+    for name in SNAPSHOTS:
+        written[name] = jobs[name]()
+        wh.put(name, _snapshot_history(store, name))
     rebuild(REBUILT[:2])                 # business vault
     rebuild(REBUILT[2:])                 # dimensions
     jobs = {}
