@@ -8,8 +8,6 @@ the same tables from CSV files for deployments that keep them on disk.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (BooleanType, DecimalType, IntegerType,
                                LongType, StringType, StructField, StructType)
@@ -76,15 +74,33 @@ PLAN_TIERS = [
 ]
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _local_table(spark: SparkSession, rows: list, schema: StructType) -> DataFrame:
+    """A literal table as a ``VALUES`` relation (a local scan the optimizer can
+    fold, not an RDD), cast to the declared schema."""
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def event_types(spark: SparkSession) -> DataFrame:
     """IO2: event-type seed (23 rows)."""
-    return spark.createDataFrame(EVENT_TYPES, EVENT_TYPES_SCHEMA)
+    return _local_table(spark, EVENT_TYPES, EVENT_TYPES_SCHEMA)
 
 
 def plan_tiers(spark: SparkSession) -> DataFrame:
     """IO3: plan-tier seed (5 rows)."""
-    rows = [r[:4] + (Decimal(r[4]), Decimal(r[5])) + r[6:] for r in PLAN_TIERS]
-    return spark.createDataFrame(rows, PLAN_TIERS_SCHEMA)
+    return _local_table(spark, PLAN_TIERS, PLAN_TIERS_SCHEMA)
 
 
 def read_seed_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
