@@ -155,6 +155,9 @@ def _split_load(table: str, batch_fn, n_batches: int):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
         w = _wh(spark, sf_dir)
+        # the dimensions a fact load looks up are written before the loads (as in a run)
+        for dim in ("customer_keys", "subscription_keys", "dim_product"):
+            w.put(dim, materialize(w.t(dim), dim))
         target = None
         for n in range(1, n_batches + 1):
             stg = staging.STAGERS[raw_name](batch_fn(w.raw[raw_name], n))

@@ -14,9 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RAW_TABLES = ("customers", "subscriptions", "events", "invoices", "products")
-
-
 def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one test table; spread it over the cores if the file is one split.
 

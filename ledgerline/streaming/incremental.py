@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import facts, staging, vault
-from ..sources import seeds
 from ..sources.raw import read_raw_stream
 from ..sources.store import TableStore
 
@@ -117,6 +116,3 @@ def daily_active_users(events: DataFrame, watermark: str = "2 days") -> DataFram
             .agg(F.count(F.lit(1)).alias("dau"), F.sum("events").alias("total_events"))
             .select(F.col("day_window.start").cast("date").alias("event_date"), "dau", "total_events"))
 
-
-def event_type_seed(spark: SparkSession) -> DataFrame:
-    return seeds.event_types(spark)
