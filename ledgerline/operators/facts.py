@@ -8,7 +8,9 @@ broadcast (fixed bound); customer/subscription/product dimensions are
 left to Spark's size-checked join selection (broadcast under
 ``spark.sql.autoBroadcastJoinThreshold`` / AQE runtime size, sort-merge
 otherwise; AQE splits a skewed fact key).  The ``'UNKNOWN'`` placeholder
-is only produced after the join, so it never becomes a join key.
+is only produced after the join, so it never becomes a join key, and a
+NULL natural id is replaced by a per-row non-matching key (``lookup_key``)
+so NULL-key rows do not pile up in one reducer.
 
 With ``target`` given, only source rows loaded after the target's
 high-water mark are processed (IO8); the caller merges them (IO6).
@@ -62,6 +64,19 @@ def is_churn_signal(event_type: Column) -> Column:
     return F.coalesce(event_type.isin(*CHURN_SIGNAL_EVENTS), F.lit(False))
 
 
+def lookup_key(key: str, row_id) -> Column:
+    """Join key for a left lookup whose fact-side key may be NULL.
+
+    NULL never matches an equi-join, but in a sort-merge join every NULL-key
+    row hashes to the same reducer: with a quarter of all events lacking a
+    subscription that is one hot partition.  A per-row unique value that
+    cannot match any id (it starts with a NUL character) spreads those rows
+    and still matches nothing, so the result is unchanged.
+    """
+    rid = F.col(row_id) if isinstance(row_id, str) else row_id
+    return F.coalesce(F.col(key), F.concat(F.lit("\x00null:"), rid.cast("string")))
+
+
 def _customer_keys(dim_customer: DataFrame) -> DataFrame:
     return current(dim_customer).select(F.col("customer_id").alias("c_customer_id"), "customer_sk")
 
@@ -77,8 +92,8 @@ def fct_events(stg_events: DataFrame, event_types: DataFrame, dim_customer: Data
     s = current(dim_subscription).select(
         F.col("subscription_id").alias("s_subscription_id"), "subscription_sk")
     j = (e.join(et, e.event_type == et.event_type_code, "left")
-         .join(c, e.customer_id == c.c_customer_id, "left")
-         .join(s, e.subscription_id == s.s_subscription_id, "left"))
+         .join(c, lookup_key("customer_id", "event_id") == c.c_customer_id, "left")
+         .join(s, lookup_key("subscription_id", "event_id") == s.s_subscription_id, "left"))
     etype = F.col("event_type")
     return j.select(
         surrogate_key("event_id").alias("event_sk"),
@@ -105,8 +120,8 @@ def fct_invoices(stg_invoices: DataFrame, dim_customer: DataFrame, dim_subscript
         F.col("subscription_id").alias("s_subscription_id"), "subscription_sk",
         F.col("plan_code").alias("s_plan_code"), F.col("billing_period").alias("s_billing_period"))
     pl = F.broadcast(dim_plan.select(F.col("plan_code").alias("pl_plan_code"), "plan_sk", "tier_level"))
-    j = (i.join(c, i.customer_id == c.c_customer_id, "left")
-         .join(s, i.subscription_id == s.s_subscription_id, "left")
+    j = (i.join(c, lookup_key("customer_id", "invoice_id") == c.c_customer_id, "left")
+         .join(s, lookup_key("subscription_id", "invoice_id") == s.s_subscription_id, "left")
          .join(pl, F.col("s_plan_code") == F.col("pl_plan_code"), "left"))
     annual = F.coalesce(F.col("s_billing_period"), F.lit("monthly")) == "annual"
     net = F.col("net_amount_usd")
@@ -141,8 +156,9 @@ def fct_subscriptions(stg_subscriptions: DataFrame, dim_customer: DataFrame,
     c = _customer_keys(dim_customer)
     p = dim_product.select(F.col("product_id").alias("p_product_id"), "product_sk")
     pl = F.broadcast(dim_plan.select(F.col("plan_code").alias("pl_plan_code"), "plan_sk"))
-    j = (s.join(c, s.customer_id == c.c_customer_id, "left")
-         .join(p, s.product_id == p.p_product_id, "left")
+    row_id = F.concat_ws("|", F.col("subscription_id"), F.col("updated_at").cast("string"))
+    j = (s.join(c, lookup_key("customer_id", row_id) == c.c_customer_id, "left")
+         .join(p, lookup_key("product_id", row_id) == p.p_product_id, "left")
          .join(pl, s.plan_code == pl.pl_plan_code, "left"))
     status = F.col("status")
     return j.select(
