@@ -37,3 +37,13 @@ def test_table_store_versions(spark):
     assert sorted(tuple(r) for r in store.read("facts", "t").collect()) == [("1", 2), ("2", 3)]
     store.append("facts", "t", spark.createDataFrame([("3", 4)], "k string, v int"))
     assert store.read("facts", "t").count() == 3
+
+
+def test_vacuum_keeps_newest_versions(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="ll-vac-"))
+    for i in range(4):
+        store.write("marts", "m", spark.createDataFrame([(str(i), i)], "k string, v int"))
+    dropped = store.vacuum("marts", "m", keep=2)
+    assert [p.rsplit("=", 1)[1] for p in dropped] == ["1", "2"]
+    assert store.current_path("marts", "m").endswith("v=4")
+    assert [r.v for r in store.read("marts", "m").collect()] == [3]
