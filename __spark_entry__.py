@@ -167,8 +167,9 @@ def _split_load(table: str, batch_fn, n_batches: int):
                 inc = facts.fct_invoices(stg, w.t("customer_keys"), w.t("subscription_keys"), w.t("dim_plan"), target)
             else:
                 inc = facts.fct_subscriptions(stg, w.t("customer_keys"), w.t("dim_product"), w.t("dim_plan"), target)
-            # cut the lineage between batches: a table written in spark.checkpoint.dir
-            target = materialize(upsert(target, inc, [key]), f"{table}-batch{n}")
+            target = upsert(target, inc, [key])
+            if n < n_batches:   # cut the lineage between batches: a table in spark.checkpoint.dir
+                target = materialize(target, f"{table}-batch{n}")
         return target
     return run
 
