@@ -47,3 +47,20 @@ def test_vacuum_keeps_newest_versions(spark):
     assert [p.rsplit("=", 1)[1] for p in dropped] == ["1", "2"]
     assert store.current_path("marts", "m").endswith("v=4")
     assert [r.v for r in store.read("marts", "m").collect()] == [3]
+
+
+def test_merge_partitions_moves_keys_and_clears_emptied_partitions(spark):
+    scratch = tempfile.mkdtemp(prefix="ll-mp-")
+    store = TableStore(spark, f"{scratch}/wh")
+    jan, feb, mar = dt.date(2001, 1, 1), dt.date(2001, 2, 1), dt.date(2001, 3, 1)
+    schema = "k string, v int, partition_month date"
+    store.write("facts", "f", spark.createDataFrame([("a", 1, jan), ("b", 2, feb), ("c", 3, mar)], schema),
+                ["partition_month"])
+    upd = spark.createDataFrame([("a", 10, feb), ("d", 4, mar)], schema)     # a moves jan -> feb
+    store.merge_partitions("facts", "f", upd, ["k"], "partition_month", f"{scratch}/stage")
+    got = sorted((r.k, r.v, r.partition_month) for r in store.read("facts", "f").collect())
+    assert got == [("a", 10, feb), ("b", 2, feb), ("c", 3, mar), ("d", 4, mar)]
+    import os
+    parts = sorted(p for p in os.listdir(store.current_path("facts", "f").replace("file:", ""))
+                   if p.startswith("partition_month="))
+    assert parts == ["partition_month=2001-02-01", "partition_month=2001-03-01"]
