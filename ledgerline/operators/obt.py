@@ -71,11 +71,22 @@ def customer_usage(fct_events: DataFrame) -> DataFrame:
                  F.count(F.when(F.col("is_churn_signal"), 1)).alias("churn_signal_events")))
 
 
-def started_subscriptions(fct_subscriptions: DataFrame) -> DataFrame:
-    """OB4: subscriptions *started* in the month (highest plan = alphabetical max)."""
-    return (fct_subscriptions.groupBy(month_start("start_date").alias("report_month"), "customer_sk")
+def started_subscriptions(fct_subscriptions: DataFrame, plan_tiers: DataFrame | None = None) -> DataFrame:
+    """OB4: subscriptions *started* in the month.
+
+    The highest plan is the alphabetical maximum of ``plan_code``, as in the
+    reference.  With ``plan_tiers`` (the 5-row seed, broadcast) it is the plan
+    of the highest tier instead; plans without a tier rank lowest.
+    """
+    f = fct_subscriptions
+    highest = F.max("plan_code")
+    if plan_tiers is not None:
+        tiers = F.broadcast(plan_tiers.select(F.col("plan_code").alias("_tier_plan"), "tier_level"))
+        f = f.join(tiers, f.plan_code == tiers._tier_plan, "left")
+        highest = F.max_by("plan_code", F.struct(F.coalesce("tier_level", F.lit(-1)), F.col("plan_code")))
+    return (f.groupBy(month_start("start_date").alias("report_month"), "customer_sk")
             .agg(F.count_distinct("subscription_id").alias("subscription_count"),
-                 F.max("plan_code").alias("highest_plan_code"),
+                 highest.alias("highest_plan_code"),
                  F.sum("mrr_usd").cast(MONEY).alias("subscription_mrr_usd"),
                  F.max(F.col("is_churned").cast("int")).alias("churned_this_month")))
 

@@ -83,3 +83,15 @@ def test_customer_months_equals_calendar_cross_join(spark):
     want = sorted((r[0], d) for r in rows if r[3] and r[2] is not None
                   for d in firsts if r[2] <= d <= as_of)
     assert got == want
+
+
+def test_highest_plan_alphabetical_or_by_tier(spark):
+    from ledgerline.sources import seeds
+    rows = [("s1", "c", "STARTER", dt.date(2001, 1, 5), False, Decimal("1.00")),
+            ("s2", "c", "ENTERPRISE", dt.date(2001, 1, 9), False, Decimal("2.00")),
+            ("s3", "c", "LEGACY", dt.date(2001, 1, 9), False, Decimal("2.00"))]
+    fct = spark.createDataFrame(rows, "subscription_id string, customer_sk string, plan_code string, "
+                                      "start_date date, is_churned boolean, mrr_usd decimal(18,2)")
+    alpha = obt.started_subscriptions(fct).first().highest_plan_code
+    tier = obt.started_subscriptions(fct, seeds.plan_tiers(spark)).first().highest_plan_code
+    assert (alpha, tier) == ("STARTER", "ENTERPRISE")
