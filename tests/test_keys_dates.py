@@ -1,6 +1,5 @@
 import datetime as dt
 
-
 from ledgerline.functions.dates import day_diff, month_diff
 from ledgerline.functions.keys import hash_key, surrogate_key, ts_surrogate_key
 
