@@ -29,6 +29,20 @@ from ledgerline.plans import batches  # noqa: E402
 from ledgerline.plans.warehouse import Warehouse  # noqa: E402
 from ledgerline.session import ensure_checkpoint_dir, materialize  # noqa: E402
 
+# The training-data operators are an optional subpackage.
+try:
+    import ledgerline.llm.queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("ledgerline.llm", "ledgerline.llm.queries"):
+        raise
+    llm = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline":
+        raise
+    corpus_pipeline = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -276,6 +290,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(_batch_queries())
     out.update(_metric_queries())
     out.update(_dq_queries())
+    if llm:
+        out.update(llm.QUERIES)
+    if corpus_pipeline:
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -284,4 +302,8 @@ def oracle_sql() -> dict[str, str]:
         + list(_dq_queries())
     out = {n: duck.table(n) for n in names}
     out["obt_customer_months"] = duck.sql("select * exclude (customer_sk) from obt_customer_months")
+    if llm:
+        out.update(llm.ORACLE_SQL)
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

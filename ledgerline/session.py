@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "ledgerline") -> SparkSession:
-    """Local session: AQE on, UTC, UI off; a checkpoint dir only if none is set."""
+    """Local session: AQE on, UTC, UI off."""
     parts = shuffle_partitions or (2 * (os.cpu_count() or 4) if cores == "*" else 2 * int(cores))
     spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
              .config("spark.ui.enabled", "false")
@@ -21,20 +20,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
-             .config("spark.sql.parquet.aggregatePushdown", "true")
              .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch dir only where none is configured."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Where it is unset, a local-mode session (one machine, as in tests) gets a
+    folder that goes with the session; on a cluster that is an error, since a
+    folder of the driver's own would not be seen by the executors.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = os.path.join(spark.sparkContext._temp_dir, "checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
