@@ -99,9 +99,10 @@ def segments(docs: DataFrame, items: DataFrame, longest: int, id_col: str, text_
     bit = lambda b: f"(shiftright({table}[cast(shiftright({b}, 6) as int)], cast({b} & 63 as int)) & 1L) = 1L"
     in_map = f"{bit(f'(h & {bits - 1}L)')} and {bit(f'(shiftrightunsigned(h, 32) & {bits - 1}L)')}"
     rows = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
-    rows = rows.where(F.size("words") >= SHINGLE).select("*", shingle_hashes("words").alias("hashes"))
+    # no filter on computed columns here: pushed down, it would compute them again at each use
+    rows = rows.select("*", shingle_hashes("words").alias("hashes"))
     rows = rows.select("doc_id", "words", F.expr(f"filter(transform(hashes, (h, i) -> if({in_map}, i, -1)), i -> i >= 0)").alias("hits"))
-    rows = rows.where(F.size("hits") > 0).select("doc_id", "words", F.expr(
+    rows = rows.select("doc_id", "words", F.expr(
         f"explode(array_distinct(flatten(transform(hits, i -> array(i div {stride}, greatest(0, i - {longest}) div {stride})))))").alias("k"))
     rows = rows.select("doc_id", (F.col("k") * stride).cast("int").alias("at"), F.expr(f"slice(words, cast(k * {stride} as int) + 1, {stride + longest})").alias("words"))
     return rows.select(F.monotonically_increasing_id().alias("seg"), "*")
@@ -126,7 +127,8 @@ def matches(texts: DataFrame, items: DataFrame) -> DataFrame:
     flips = [sum(1 << b for b in c) for k in range(BLOCK_RADIUS + 1) for c in combinations(range(BLOCK_BITS), k)]
     block = f"shiftright(fp, b * {BLOCK_BITS}) & {(1 << BLOCK_BITS) - 1}L"
     own = texts.select("n", "window", F.split("window", " ").alias("words"))
-    own = own.select("*", shingle_hashes("words").alias("hashes")).select("n", "window", "words", fingerprint("hashes").alias("fp"))
+    own = own.select("*", shingle_hashes("words").alias("hashes"))
+    own = materialize(own.select("n", "window", "words", fingerprint("hashes").alias("fp")), "window-fingerprints")
     own = own.select("*", F.expr(f"inline(transform(sequence(0, {BLOCKS - 1}), b -> struct(b as block, {block} as value)))"))
     index = items.select("item_id", "n", F.col("fp").alias("item_fp"), F.col("words").alias("item_words"), F.expr(
         f"inline(flatten(transform(sequence(0, {BLOCKS - 1}), b -> transform(array({', '.join(map(str, flips))}), x -> struct(b as block, ({block}) ^ x as value)))))"))
@@ -136,7 +138,9 @@ def matches(texts: DataFrame, items: DataFrame) -> DataFrame:
     near = near.select("*", shingle_texts("words").alias("x"), shingle_texts("item_words").alias("y"))
     shared = F.expr("""if(size(array_distinct(x)) = n and size(array_distinct(y)) = n, size(array_intersect(x, y)),
         aggregate(array_distinct(x), 0, (t, v) -> t + least(size(filter(x, u -> u = v)), size(filter(y, u -> u = v)))))""")
-    return near.select("window", "item_id", "bits", (shared / (2 * F.col("n") - shared)).alias("similarity")).where(F.col("similarity") >= SIMILARITY)
+    near = near.select("window", "item_id", "bits", "n", shared.alias("shared"))
+    near = near.select("window", "item_id", "bits", (F.col("shared") / (2 * F.col("n") - F.col("shared"))).alias("similarity"))
+    return materialize(near, "candidates").where(F.col("similarity") >= SIMILARITY)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,7 +151,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     segs = materialize(segments(docs, items, longest, id_col, text_col), "segments")
     spans = materialize(windows(segs, items), "windows")
     found = matches(spans.select("n", "window").distinct(), items)
-    best = spans.join(materialize(found, "matches"), "window").groupBy("doc_id", "item_id").agg(
+    best = spans.join(found, "window").groupBy("doc_id", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("bits")).alias("b"))).alias("x"))
     return best.select(F.col("doc_id").alias(id_col), "item_id", "x.similarity", (-F.col("x.b")).cast("int").alias("bits"),
                        (-F.col("x.s")).cast("int").alias("start_word"))

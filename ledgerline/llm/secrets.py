@@ -144,7 +144,7 @@ def find_spans(docs: DataFrame, model: list[int], text_col: str = "text", base_c
                        F.expr(f"if(size(h_assign) = 0, array(''), regexp_extract_all(t, {_q(patterns['assign'])}, 2))").alias("v_assign"))
     found = hits.select(
         "row", F.array_sort(F.concat(
-            _located("assign", f"char_length(v_assign[i]) >= {PATTERNS['assign'][2]}"),
+            _located("assign", f"size(v_assign) > i and char_length(v_assign[i]) >= {PATTERNS['assign'][2]}"),
             _located("access", f"char_length(h_access[i]) >= {PATTERNS['access'][2]}"),
             _located("hex", f"char_length(h_hex[i]) >= {PATTERNS['hex'][2]}"))).alias("base"),
         _located("random", f"{_ratio('h_random[i]', model)} >= {MIN_RATIO} * char_length(h_random[i])").alias("runs"))
