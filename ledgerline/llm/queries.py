@@ -7,12 +7,15 @@ an HTML parser that SQL lacks) are tested against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, embedding_dedup, mixing, quality, secrets, simhash_dedup, url_filter
+from ledgerline.llm import (decontaminate, embedding_dedup, html_text, mixing, preference, quality, secrets,
+                            simhash_dedup, token_rollup, url_filter)
+from ledgerline.session import ensure_checkpoint_dir, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +48,33 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no rated replies: pairs come from ``preference.reply_pairs``."""
+    convs = preference.conversations(_table(spark, sf_dir, "conversations"))
+    return preference.format_pairs(preference.reply_pairs(convs), ["conv_id", "rejected_id"])
+
+
+def op8_token_rollup(spark: SparkSession, sf_dir: str, vocabularies: str = token_rollup.VOCABULARIES) -> DataFrame:
+    """Totals after three batches, the second committed twice: every document
+    comes with its count; exact copies go, the smallest id stays; documents not
+    in English are counted anew with the vocabulary for many languages."""
+    docs = _table(spark, sf_dir, "documents")
+    text, foreign = F.col("text"), ~F.coalesce(F.col("lang") == "en", F.lit(False))
+    counted = materialize(docs.select(
+        "doc_id", "source", "lang", foreign.alias("foreign"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("h"),
+        token_rollup.token_count(spark, text, f"{vocabularies}/byte_bpe_50k.tiktoken").alias("t1"),
+        token_rollup.token_count(spark, F.when(foreign, text), f"{vocabularies}/byte_bpe_multi_50k.tiktoken").alias("t2")), "token-counts")
+    first = materialize(counted.groupBy("h").agg(F.min("doc_id").alias("keep")), "first-copies")
+    rows = counted.join(first, "h", "left")
+    copy = F.coalesce(F.col("doc_id") != F.col("keep"), F.lit(False))
+    rollup = token_rollup.Rollup(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-rollup-{uuid.uuid4().hex}")
+    rollup.commit(1, token_rollup.inserts(counted, "byte_bpe_50k", "t1"))
+    for _ in range(2):
+        rollup.commit(2, token_rollup.deletes(rows.where(copy), "byte_bpe_50k", "t1"))
+    rollup.commit(3, token_rollup.revisions(rows.where(~copy & F.col("foreign")), "byte_bpe_50k", "t1", "byte_bpe_multi_50k", "t2"))
+    return rollup.totals()
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_dedup.simhash_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -54,8 +88,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_html_extraction": op4_html_extraction,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_preference_format": op7_preference_format,
+    "op8_token_rollup": op8_token_rollup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
 }
@@ -109,4 +146,24 @@ select page_id, host, path, rule,
 from r"""
 
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op10_url_filter": _op10_sql()}
+# Turn by turn: the rejected side is the chosen one but for its last turn, so the
+# prompt is everything before it unless both replies are equal.
+OP7_SQL = r"""
+with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
+n as (select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as pos from t),
+e as (select conv_id, max(pos) as last from n where role = 'assistant' group by conv_id),
+r as (select n.*, e.last, replace(coalesce(role, ''), '<|', '< |') as ro, replace(coalesce(text, ''), '<|', '< |') as tx
+      from n join e on n.conv_id = e.conv_id and n.pos <= e.last),
+w as (select *, '<|' || ro || '|>' || chr(10) || tx || '<|end|>' || chr(10) as whole from r),
+l as (select conv_id, whole, ro, tx, text, last from w where pos = last),
+h as (select conv_id, string_agg(whole, '' order by pos) filter (where pos < last) as head from w group by conv_id),
+p as (select a.conv_id, b.conv_id as rejected_id, a.last, coalesce(h.head, '') as head, a.whole as x, b.whole as y,
+             coalesce(a.text, '') = coalesce(b.text, '') as eq, length(a.ro) as rl, length(a.whole) as xl, length(b.whole) as yl
+      from l a join l b on b.conv_id = xor(a.conv_id, 1) join h on h.conv_id = a.conv_id)
+select conv_id, rejected_id, (case when eq then last else last - 1 end)::int as prompt_turns, case when eq then head || x else head end as prompt,
+       case when eq then '' else x end as chosen, case when eq then '' else y end as rejected,
+       case when eq then '' else (rl + 5) || ':' || (xl - 1) end as chosen_mask, case when eq then '' else (rl + 5) || ':' || (yl - 1) end as rejected_mask
+from p
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op7_preference_format": OP7_SQL, "op10_url_filter": _op10_sql()}
