@@ -1,0 +1,97 @@
+import random
+import re
+
+import xxhash
+from pyspark.sql import functions as F
+
+from ledgerline.llm import simhash_dedup as S
+from ledgerline.llm import simhash
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_fingerprint(text, n=4):
+    words = WORD.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
+    shingles = [" ".join(words[i:i + n]) for i in range(len(words) - n + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_groups(rows, tau):
+    fp = [(i, brute_fingerprint(t)) for i, t in rows]
+    parent = {i: i for i, _ in fp if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in fp:
+        for j, b in fp:
+            if i is not None and j is not None and (a ^ b).bit_count() <= tau:
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return sorted((i if i is not None else -1, a - (1 << 64) if a >> 63 else a, root(i) if i is not None else -1) for i, a in fp)
+
+
+def texts(seed=3):
+    rng = random.Random(seed)
+    words = ["wor%d" % i for i in range(300)] + ["É", "ß", "Naïve x", "I", "K"]
+    out = []
+    for _ in range(25):
+        doc = rng.choices(words, k=rng.choice([1, 2, 3, 4, 5, 60, 200]))
+        out.append(" ".join(doc))
+        for _ in range(rng.randrange(4)):
+            edited = list(doc)
+            edited[rng.randrange(len(edited))] = rng.choice(words)
+            out.append(rng.choice([" ", "\t", "\n\x0b"]).join(edited))
+    return out + [None, "", "  \n", out[0], out[0], out[3].upper()]
+
+
+def test_groups_equal_brute_force(spark):
+    rows = list(enumerate(texts()))
+    rng = random.Random(1)
+    rng.shuffle(rows)
+    rows += [(None, rows[0][1]), (None, None), rows[2], (rows[3][0], "another text of the same id altogether")]
+    docs = spark.createDataFrame([(i, t, 5, "x") for i, t in rows], "doc_id long, text string, fp int, component_id string")
+    got = S.simhash_groups(docs).select(F.coalesce("doc_id", F.lit(-1)), "fp", F.coalesce("component_id", F.lit(-1))).collect()
+    assert sorted(map(tuple, got)) == brute_groups(rows, 4)
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(simhash, "PIECE", 7)
+    for t in texts(9):
+        assert simhash.fingerprint(t, 4) == brute_fingerprint(t)
+
+
+def test_any_allocation_finds_all_links(spark):
+    rng = random.Random(4)
+    fps = {rng.getrandbits(64) for _ in range(30)}
+    for f in list(fps):
+        for _ in range(5):
+            fps.add(f ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 6))))
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    frame = spark.createDataFrame(list(enumerate(signed)), "node long, fp long")
+    want = {(i, j) for i, a in enumerate(fps) for j, b in enumerate(fps) if i < j and (a ^ b).bit_count() <= 4}
+    corr = S.bit_correlations(frame)
+    for m in (2, 3, 5):
+        parts = [S.Part(b, t) for b, t in zip(S.group_bits(corr, m), {2: (1, 2), 3: (-1, 1, 2), 5: (0,) * 5}[m]) if t >= 0]
+        assert {tuple(sorted(p)) for p in S.links(frame, 4, parts).collect()} == want
+    counts, n = S.distance_counts(frame, S.group_bits(corr, 3), 4)
+    cost, parts = S.allocate(S.group_bits(corr, 3), counts, n, 4)
+    assert sum(p.threshold for p in parts) + len(parts) - 3 <= 4 - 3 + 1 and cost > 0
+    assert {tuple(sorted(p)) for p in S.links(frame, 4, S.plan(frame, 4)).collect()} == want
+
+
+def test_bits_are_grouped_with_those_they_follow():
+    import numpy as np
+    corr = np.eye(64)
+    corr[0, 40] = corr[40, 0] = corr[7, 50] = corr[50, 7] = 0.9
+    groups = S.group_bits(corr, 4)
+    assert sorted(b for g in groups for b in g) == list(range(64)) and {len(g) for g in groups} == {16}
+    assert any({0, 40} <= set(g) for g in groups) and any({7, 50} <= set(g) for g in groups)
+
+
+def test_empty_table(spark):
+    assert S.simhash_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
