@@ -210,13 +210,16 @@ METRIC_QUERIES = {
     "metric_active_subscriptions": ("active_subscriptions", ("status",), "year"),
     "metric_dau": ("dau", (), "day"),
     "metric_total_events": ("total_events", ("platform",), "week"),
+    "measure_invoice_count": ("invoice_count", ("payment_method",), "month"),
+    "measure_subscription_mrr": ("subscription_mrr", ("status",), "quarter"),
 }
 
 
 def _metric(metric: str, by: tuple, grain: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         w = _wh(spark, sf_dir)
-        sm, _ = metrics.measure_model(metrics.METRICS[metric].measure)
+        named = metrics.METRICS.get(metric)
+        sm, _ = metrics.measure_model(named.measure if named else metric)
         return metrics.metric_query({sm.table: w.t(sm.table)}, metric, by, grain)
     return run
 

@@ -20,7 +20,6 @@ class Measure:
     name: str
     agg: str               # sum | count | count_distinct
     expr: str
-    description: str = ""
 
     def column(self) -> Column:
         c = F.col(self.expr)
@@ -47,7 +46,6 @@ class Metric:
     name: str
     label: str
     measure: str
-    description: str = ""
 
 
 # Semantic models, measures and metrics.
@@ -55,24 +53,24 @@ SEMANTIC_MODELS = {
     "fct_invoices_sm": SemanticModel(
         "fct_invoices_sm", "fct_invoices", "invoice_date",
         ("plan_code", "tier_level", "payment_method", "currency_code", "is_paid"),
-        (Measure("total_mrr", "sum", "mrr_contribution_usd", "Sum of MRR contributions from paid invoices"),
-         Measure("total_arr", "sum", "arr_contribution_usd", "Sum of ARR contributions"),
-         Measure("total_collected", "sum", "net_amount_usd", "Sum of net amounts collected"),
-         Measure("invoice_count", "count", "invoice_sk", "Count of invoices"))),
+        (Measure("total_mrr", "sum", "mrr_contribution_usd"),
+         Measure("total_arr", "sum", "arr_contribution_usd"),
+         Measure("total_collected", "sum", "net_amount_usd"),
+         Measure("invoice_count", "count", "invoice_sk"))),
     "dim_customer_sm": SemanticModel(
         "dim_customer_sm", "dim_customer", "customer_created_at",
         ("customer_segment", "acquisition_channel", "country_code"),
-        (Measure("customer_count", "count_distinct", "customer_id", "Count of distinct customers"),)),
+        (Measure("customer_count", "count_distinct", "customer_id"),)),
     "fct_events_sm": SemanticModel(
         "fct_events_sm", "fct_events", "event_date_key",
         ("event_type", "event_category", "platform"),
-        (Measure("event_count", "count", "event_sk", "Total number of events"),
-         Measure("active_users", "count_distinct", "customer_sk", "Distinct users with events"))),
+        (Measure("event_count", "count", "event_sk"),
+         Measure("active_users", "count_distinct", "customer_sk"))),
     "fct_subscriptions_sm": SemanticModel(
         "fct_subscriptions_sm", "fct_subscriptions", "start_date",
         ("plan_code", "status", "is_active", "is_churned"),
-        (Measure("subscription_count", "count_distinct", "subscription_id", "Count of subscriptions"),
-         Measure("subscription_mrr", "sum", "mrr_usd", "Sum of MRR from subscriptions"))),
+        (Measure("subscription_count", "count_distinct", "subscription_id"),
+         Measure("subscription_mrr", "sum", "mrr_usd"))),
 }
 
 METRICS = {
@@ -103,9 +101,11 @@ def time_bucket(col: str, grain: str) -> Column:
 
 def metric_query(tables: dict[str, DataFrame], metric: str, by: tuple = (),
                  grain: str = "day", where: Column | None = None) -> DataFrame:
-    """ME5: ``metric`` aggregated per ``<time>__<grain>`` and dimensions ``by``."""
-    m = METRICS[metric]
-    sm, measure = measure_model(m.measure)
+    """ME5: ``metric`` aggregated per ``<time>__<grain>`` and dimensions ``by``.
+
+    A measure that no metric is built on is queried by its own name.
+    """
+    sm, measure = measure_model(METRICS[metric].measure if metric in METRICS else metric)
     for d in by:
         if d not in sm.dimensions:
             raise ValueError(f"{d} is not a dimension of {sm.name}")
