@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ import duck_oracle as duck  # noqa: E402
 from ledgerline.config import Config  # noqa: E402
 from ledgerline.operators import (business, churn, cohorts, facts, metrics,  # noqa: E402
                                   obt, quality, revenue, scd2, staging, usage, vault)
-from ledgerline.sources.store import upsert  # noqa: E402
+from ledgerline.sources.store import TableStore, newer_than, upsert  # noqa: E402
 from ledgerline.plans import batches  # noqa: E402
 from ledgerline.plans.warehouse import Warehouse  # noqa: E402
 from ledgerline.session import ensure_checkpoint_dir, materialize  # noqa: E402
@@ -143,10 +144,45 @@ def _satellite_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n, run_ts in enumerate(batches.SUBSCRIPTION_RUNS, start=1):
         stg = staging.stg_subscriptions(batches.subscriptions_batch(w.raw["subscriptions"], n))
         new = vault.load_satellite(stg, spec, run_ts, sat)
-        sat = new if sat is None else sat.unionByName(new)
+        sat = vault.merge_satellite(sat, new)
     return vault.with_end_dates(sat)
 
 
+def _customer_satellite_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SA0 merge: customer satellite after three loads, the third under the
+    second one's load time: its rows replace those of the same key and time."""
+    raw = _wh(spark, sf_dir).raw["customers"]
+    first, second = batches.CUSTOMER_RUNS[:2]
+    spec = vault.SATELLITES["sat_customer_details"]
+    sat = None
+    for batch, run_ts in ((batches.customers_batch(raw, 1), first), (batches.customers_batch(raw, 2), second),
+                          (batches.customers_corrected(raw), second)):
+        sat = vault.merge_satellite(sat, vault.load_satellite(staging.stg_customers(batch), spec, run_ts, sat))
+    return vault.with_end_dates(sat)
+
+
+def _event_history(name: str):
+    """HB4, LK3 incremental: two loads, the second only of rows newer than the mark."""
+    load, spec = ((vault.load_hub, vault.HUBS[name]) if name in vault.HUBS else (vault.load_link, vault.LINKS[name]))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = _wh(spark, sf_dir).raw["events"]
+        old, every = (staging.stg_events(batches.events_batch(raw, n)) for n in (1, 2))
+        first = load(old, spec, batches.CUSTOMER_RUNS[0])
+        return first.unionByName(load(newer_than(every, old), spec, batches.CUSTOMER_RUNS[1], first))
+    return run
+
+
+def _partition_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO6, IO9 on disk: a fact in month partitions (NULL among them) merged with
+    a batch of moved keys, NULL months and a new column."""
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/partition-merge-{uuid.uuid4().hex}"
+    store = TableStore(spark, scratch)
+    for batch in batches.partition_batches(_wh(spark, sf_dir).t("fct_subscriptions")):
+        store.merge_partitions("facts", "fct_subscriptions", batch, ["subscription_event_sk"], "partition_month", f"{scratch}/stage")
+    return store.read("facts", "fct_subscriptions")
+
+
 def _hub_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HB0 incremental: customer hub after three loads (a key keeps its first load date)."""
     w = _wh(spark, sf_dir)
@@ -193,10 +229,14 @@ def _batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snp_customers_history": _snapshot_history,
         "snp_subscriptions_history": _subscription_snapshot_history,
         "sat_subscription_history": _satellite_history,
+        "sat_customer_history": _customer_satellite_history,
+        "hub_event_history": _event_history("hub_event"),
+        "lnk_subscription_event_history": _event_history("lnk_subscription_event"),
+        "fct_subscriptions_partition_merge": _partition_merge,
         "hub_customer_history": _hub_history,
         "fct_events_split_load": _split_load("fct_events", batches.events_batch, 3),
         "fct_invoices_split_load": _split_load("fct_invoices", batches.invoices_batch, 3),
-        "fct_subscriptions_split_load": _split_load("fct_subscriptions", batches.subscriptions_batch, 2),
+        "fct_subscriptions_split_load": _split_load("fct_subscriptions", batches.subscriptions_split, 2),
     }
 
 

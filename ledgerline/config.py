@@ -10,7 +10,7 @@ compute the same thing for the same inputs.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Project calendar start and the reporting date / load time
 # used by the test fixtures (fixture dates run 1995-2002).
@@ -24,15 +24,16 @@ FIXTURE_LOAD_TS = dt.datetime(2001, 8, 1, 0, 0, 0)
 class Config:
     """Parameters of one warehouse run.
 
+    as_of       the reporting date ("today"); required
+    load_ts     load timestamp stamped on vault rows and snapshot versions; required,
+                and a new one for every load
     start_date  first day of the calendar (``dim_date``) and time spine
-    as_of       the reporting date ("today")
-    load_ts     load timestamp stamped on vault rows and snapshot versions
     root        directory holding materialised tables (one sub-dir per layer)
     """
 
+    as_of: dt.date
+    load_ts: dt.datetime
     start_date: dt.date = DEFAULT_START_DATE
-    as_of: dt.date = field(default_factory=lambda: FIXTURE_AS_OF)
-    load_ts: dt.datetime = field(default_factory=lambda: FIXTURE_LOAD_TS)
     root: str | None = None
     calendar_years_ahead: int = 3
     churn_years_back: int = 3

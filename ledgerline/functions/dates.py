@@ -44,11 +44,6 @@ def year_start(c) -> Column:
     return F.trunc(_col(c).cast("date"), "year")
 
 
-def week_start(c) -> Column:
-    """Monday of the ISO week."""
-    return F.trunc(_col(c).cast("date"), "week")
-
-
 def month_diff(start, end) -> Column:
     """Calendar-month boundaries crossed from ``start`` to ``end``."""
     s, e = _col(start).cast("date"), _col(end).cast("date")
@@ -58,9 +53,3 @@ def month_diff(start, end) -> Column:
 def day_diff(start, end) -> Column:
     """Date boundaries crossed from ``start`` to ``end``."""
     return F.datediff(_col(end).cast("date"), _col(start).cast("date")).cast("bigint")
-
-
-def day_spine(start: Column, end_exclusive: Column, name: str = "date_day") -> Column:
-    """Exploded daily sequence [start, end) as one column."""
-    return F.explode(F.sequence(start, F.date_sub(end_exclusive, 1),
-                                F.expr("interval 1 day"))).alias(name)

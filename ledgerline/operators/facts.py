@@ -18,6 +18,8 @@ high-water mark are processed (IO8); the caller merges them (IO6).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,9 +84,9 @@ def _customer_keys(dim_customer: DataFrame) -> DataFrame:
 
 
 def fct_events(stg_events: DataFrame, event_types: DataFrame, dim_customer: DataFrame,
-               dim_subscription: DataFrame, target: DataFrame | None = None) -> DataFrame:
+               dim_subscription: DataFrame, mark: DataFrame | dt.datetime | None = None) -> DataFrame:
     """FC1: one row per event."""
-    e = newer_than(stg_events, target)
+    e = newer_than(stg_events, mark)
     et = F.broadcast(event_types.select(
         F.col("event_type_code"), F.col("event_category").alias("seed_category"),
         F.col("event_name")))
@@ -112,9 +114,9 @@ def fct_events(stg_events: DataFrame, event_types: DataFrame, dim_customer: Data
 
 
 def fct_invoices(stg_invoices: DataFrame, dim_customer: DataFrame, dim_subscription: DataFrame,
-                 dim_plan: DataFrame, target: DataFrame | None = None) -> DataFrame:
+                 dim_plan: DataFrame, mark: DataFrame | dt.datetime | None = None) -> DataFrame:
     """FC2: one row per invoice with MRR/ARR contribution."""
-    i = newer_than(stg_invoices, target)
+    i = newer_than(stg_invoices, mark)
     c = _customer_keys(dim_customer)
     s = current(dim_subscription).select(
         F.col("subscription_id").alias("s_subscription_id"), "subscription_sk",
@@ -150,9 +152,9 @@ def fct_invoices(stg_invoices: DataFrame, dim_customer: DataFrame, dim_subscript
 
 def fct_subscriptions(stg_subscriptions: DataFrame, dim_customer: DataFrame,
                       dim_product: DataFrame, dim_plan: DataFrame,
-                      target: DataFrame | None = None) -> DataFrame:
+                      mark: DataFrame | dt.datetime | None = None) -> DataFrame:
     """FC3: one row per subscription state (subscription_id, updated_at)."""
-    s = newer_than(stg_subscriptions, target)
+    s = newer_than(stg_subscriptions, mark)
     c = _customer_keys(dim_customer)
     p = dim_product.select(F.col("product_id").alias("p_product_id"), "product_sk")
     pl = F.broadcast(dim_plan.select(F.col("plan_code").alias("pl_plan_code"), "plan_sk"))

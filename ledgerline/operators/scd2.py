@@ -90,14 +90,6 @@ def scd2_check(history: DataFrame | None, incoming: DataFrame, key: str,
     return closed.unionByName(current)
 
 
-def close_missing(history: DataFrame, incoming: DataFrame, key: str,
-                  run_ts: dt.datetime) -> DataFrame:
-    """SN3: open versions whose key left the extract, closed at ``run_ts``."""
-    open_rows = history.filter(F.col("dbt_valid_to").isNull())
-    return (open_rows.join(incoming.select(key), key, "left_anti")
-            .withColumn("dbt_valid_to", lit_ts(run_ts)))
-
-
 # Snapshot declarations.
 CUSTOMER_SNAPSHOT_COLUMNS = ("customer_id", "email", "customer_name", "first_name", "last_name",
                              "country_code", "company_name", "customer_segment",

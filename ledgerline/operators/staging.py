@@ -122,7 +122,3 @@ STAGERS = {
     "invoices": stg_invoices,
     "products": stg_products,
 }
-
-
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: STAGERS[name](df) for name, df in raw.items()}

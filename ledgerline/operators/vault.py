@@ -7,13 +7,14 @@ the first load.
 
 Scale notes
 * Hubs/links deduplicate on ``hash_key`` (partial aggregation map-side)
-  and anti-join the target on the same key; only ``hash_key`` is read
-  from the target, and only the target keys that occur in the batch take
-  part (``target_keys_in``), so an incremental load costs a scan of one
-  target column plus batch-sized joins.
-* Satellites compare against the *latest* row per key (``max_by`` over
-  ``load_date``, a per-key aggregate) -- not against every row with an
-  open end date, which re-inserts changed keys on every run.
+  and anti-join the target on the same key; one column of the target is read.
+  Append-only entities (events) hand in only the rows newer than the target's
+  load mark (``sources.store.newer_than``).
+* Satellites reduce a batch to one row per key and compare it with the *latest*
+  stored row per key, a per-key aggregate joined once -- not with every row of
+  an open end date, which re-inserts changed keys on every run.  Rows are
+  unique per (hash_key, load_date): a load repeated with the same time
+  replaces its rows (``merge_satellite``).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import lit_ts
 from ..functions.keys import hash_key, hashdiff
+from ..sources.store import latest_per_key, upsert
 
 
 # ---------------------------------------------------------------- hubs
@@ -47,22 +49,10 @@ def load_hub(src: DataFrame, spec: HubSpec, load_ts: dt.datetime,
                 F.lit(spec.record_source).alias("record_source"))
             .dropDuplicates(["hash_key"]))
     if target is not None:
-        rows = rows.join(target_keys_in(target, rows), "hash_key", "left_anti")
+        rows = rows.join(target.select("hash_key"), "hash_key", "left_anti")
     return rows
 
 
-def target_keys_in(target: DataFrame, rows: DataFrame, *cols: str) -> DataFrame:
-    """Target rows (``hash_key`` + ``cols``) whose key occurs in ``rows``.
-
-    A semi join against the batch's distinct keys: when the batch is small
-    AQE broadcasts those keys and the target is only scanned (one or two
-    columns), never shuffled whole; the later anti join / comparison then
-    works on batch-sized data.
-    """
-    return (target.select("hash_key", *cols)
-            .join(rows.select("hash_key").distinct(), "hash_key", "left_semi"))
-
-
 # Hub declarations (business key, record source).
 HUBS = {
     "hub_customer": HubSpec("hub_customer", "customer_id", "customer_bk", "CRM"),
@@ -96,7 +86,7 @@ def load_link(src: DataFrame, spec: LinkSpec, load_ts: dt.datetime,
                 F.lit(spec.record_source).alias("record_source"))
             .dropDuplicates(["hash_key"]))
     if target is not None:
-        rows = rows.join(target_keys_in(target, rows), "hash_key", "left_anti")
+        rows = rows.join(target.select("hash_key"), "hash_key", "left_anti")
     return rows
 
 
@@ -139,30 +129,29 @@ def satellite_rows(src: DataFrame, spec: SatelliteSpec, load_ts: dt.datetime) ->
     )
 
 
-def latest_per_key(sat: DataFrame, *cols: str) -> DataFrame:
-    """Latest satellite row per ``hash_key`` (by ``load_date``), selected columns only.
-
-    A per-key aggregate: partial aggregation runs map-side, and one key
-    never holds more rows than it has versions.
-    """
-    return (sat.groupBy("hash_key")
-            .agg(*[F.max_by(c, "load_date").alias(c) for c in cols]))
-
-
 def load_satellite(src: DataFrame, spec: SatelliteSpec, load_ts: dt.datetime,
                    target: DataFrame | None = None) -> DataFrame:
-    """SA0: rows whose key is new or whose digest differs from the latest row."""
-    rows = satellite_rows(src, spec, load_ts)
+    """SA0: rows whose key is new or whose digest differs from the latest row.
+
+    Rows of one key within the batch are reduced to the latest by
+    ``updated_at``, else ``_loaded_at`` (ties by the other columns).
+    """
+    order = [c for c in ("updated_at", "_loaded_at") if c in src.columns]
+    rows = satellite_rows(latest_per_key(src, [spec.business_key], order), spec, load_ts)
     if target is None:
         return rows
-    latest = (latest_per_key(target_keys_in(target, rows, "hashdiff", "load_date"), "hashdiff")
-              .withColumnRenamed("hashdiff", "_tgt_hashdiff"))
-    return (rows.join(latest, "hash_key", "left")
-            .filter(F.col("_tgt_hashdiff").isNull() | (F.col("hashdiff") != F.col("_tgt_hashdiff")))
-            .drop("_tgt_hashdiff")
+    stored = (target.groupBy("hash_key").agg(F.max(F.struct("load_date", "hashdiff")).alias("t"))
+              .select("hash_key", F.col("t.hashdiff").alias("_stored")))
+    return (rows.join(stored, "hash_key", "left")
+            .filter(F.col("_stored").isNull() | (F.col("hashdiff") != F.col("_stored")))
             .select(rows.columns))
 
 
+def merge_satellite(sat: DataFrame | None, new: DataFrame) -> DataFrame:
+    """``sat`` with new rows merged on (hash_key, load_date)."""
+    return upsert(sat, new, ["hash_key", "load_date"])
+
+
 def with_end_dates(sat: DataFrame) -> DataFrame:
     """SA5: history view -- ``load_end_date`` = next ``load_date`` of the key."""
     w = Window.partitionBy("hash_key").orderBy("load_date")
@@ -170,10 +159,8 @@ def with_end_dates(sat: DataFrame) -> DataFrame:
 
 
 def current_rows(sat: DataFrame) -> DataFrame:
-    """Open (latest) satellite row per key."""
-    w = Window.partitionBy("hash_key")
-    return (sat.withColumn("_latest", F.max("load_date").over(w))
-            .filter(F.col("load_date") == F.col("_latest")).drop("_latest"))
+    """The latest satellite row per key, exactly one (ties by the other columns)."""
+    return latest_per_key(sat, ["hash_key"], ["load_date"])
 
 
 def _same(*names):
@@ -218,17 +205,3 @@ SATELLITE_SOURCE = {"sat_customer_details": "customers",
                     "sat_subscription_details": "subscriptions",
                     "sat_product_details": "products",
                     "sat_event_details": "events"}
-
-
-def load_vault(stg: dict[str, DataFrame], load_ts: dt.datetime,
-               targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """All hubs, links and satellites for one load: new rows per table."""
-    targets = targets or {}
-    out = {}
-    for name, spec in HUBS.items():
-        out[name] = load_hub(stg[HUB_SOURCE[name]], spec, load_ts, targets.get(name))
-    for name, spec in LINKS.items():
-        out[name] = load_link(stg[LINK_SOURCE[name]], spec, load_ts, targets.get(name))
-    for name, spec in SATELLITES.items():
-        out[name] = load_satellite(stg[SATELLITE_SOURCE[name]], spec, load_ts, targets.get(name))
-    return out

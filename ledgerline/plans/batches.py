@@ -57,16 +57,51 @@ def subscriptions_batch(raw: DataFrame, n: int) -> DataFrame:
     raise ValueError(n)
 
 
-def split_by_load_time(raw: DataFrame, cutoff: dt.datetime, n: int) -> DataFrame:
-    """1: rows loaded before ``cutoff``; 2 and later: all rows."""
+def split_by_load_time(raw: DataFrame, cutoff: dt.datetime, n: int, stale: str) -> DataFrame:
+    """1: rows loaded before ``cutoff``; 2 and later: all rows, those loaded
+    before it with another ``stale`` column -- changes without a new load time,
+    which a load behind the high-water mark must not see."""
+    old = F.col("_loaded_at") < lit_ts(cutoff)
     if n == 1:
-        return raw.filter(F.col("_loaded_at") < lit_ts(cutoff))
-    return raw
+        return raw.filter(old)
+    return raw.withColumn(stale, F.when(old, F.lit("STALE")).otherwise(F.col(stale)))
 
 
 def events_batch(raw: DataFrame, n: int) -> DataFrame:
-    return split_by_load_time(raw, EVENT_CUTOFF, n)
+    return split_by_load_time(raw, EVENT_CUTOFF, n, "platform")
 
 
 def invoices_batch(raw: DataFrame, n: int) -> DataFrame:
-    return split_by_load_time(raw, INVOICE_CUTOFF, n)
+    return split_by_load_time(raw, INVOICE_CUTOFF, n, "payment_method")
+
+
+def subscriptions_split(raw: DataFrame, n: int) -> DataFrame:
+    """``subscriptions_batch`` for a split load: in batch 2 old rows that were not
+    cancelled carry another reason, without a new load time."""
+    batch = subscriptions_batch(raw, n)
+    if n == 1:
+        return batch
+    old = F.col("_loaded_at") < lit_ts(SUBSCRIPTION_CUTOFF)
+    return batch.withColumn("cancellation_reason", F.when(old, F.lit("STALE")).otherwise(F.col("cancellation_reason")))
+
+
+def customers_corrected(raw: DataFrame) -> DataFrame:
+    """All customers, every fifth key with a corrected segment: a load repeated
+    under the time of batch 2."""
+    k = F.col("customer_id").cast("bigint")
+    return customers_batch(raw, 2).unionByName(raw.filter(k % 11 == 0)).withColumn(
+        "customer_segment", F.when(k % 5 == 0, F.lit("CORRECTED")).otherwise(F.col("customer_segment")))
+
+
+def partition_batches(fct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two batches of the subscription fact for a partitioned merge: the first
+    has NULL months for every seventh key; the second moves every fifth key by a
+    month (and every 35th out of NULL), sets every sixth to NULL, and has a new
+    column."""
+    k = F.col("subscription_id").cast("bigint")
+    month = F.trunc("start_date_key", "month")
+    first = fct.withColumn("partition_month", F.when(k % 7 != 0, month))
+    second = (fct.filter((k % 5 == 0) | (k % 6 == 0))
+              .withColumn("partition_month", F.when(k % 6 != 0, F.add_months(month, 1)))
+              .withColumn("sales_channel", F.concat(F.lit("channel "), (k % 3).cast("string"))))
+    return first, second

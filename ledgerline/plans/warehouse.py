@@ -16,7 +16,7 @@ Level order (each depends only on earlier ones):
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import (business, churn, cohorts, dimensions, facts, obt,
-                         revenue, scd2, staging, usage, vault)
+                         quality, revenue, scd2, staging, usage, vault)
 from ..sources import seeds
 from ..sources.fixtures import raw_tables
-from ..sources.store import TableStore
+from ..sources.store import TableStore, newer_than
 
 VAULT_TABLES = list(vault.HUBS) + list(vault.LINKS) + list(vault.SATELLITES)
 VAULT_SOURCE = {**vault.HUB_SOURCE, **vault.LINK_SOURCE, **vault.SATELLITE_SOURCE}
@@ -125,53 +125,78 @@ FACTS = {  # name: (source entity, unique key, date the month partition derives
     "fct_invoices": ("invoices", "invoice_sk", "invoice_date_key"),
     "fct_subscriptions": ("subscriptions", "subscription_event_sk", "start_date_key"),
 }
-PARTITION = "partition_month"
+PARTITION, LOAD_DAY = "partition_month", "load_day"
 MARTS = ["mart_revenue", "mart_churn", "mart_usage", "obt_saas_metrics", "cohort_retention"]
 
 
-def _vault_rows(wh: Warehouse, name: str, load_ts, target: DataFrame | None) -> DataFrame:
+def _vault_change(store: TableStore, wh: Warehouse, name: str, load_ts: dt.datetime, staging_dir: str) -> str:
+    """Load one vault table into the store.
+
+    Events are append-only, so their hub, link and satellite look only at rows
+    loaded after the stored table's mark; the other entities deliver full
+    extracts.  Hubs and links append; a satellite merges on (hash_key,
+    load_date) into the partition of its load day, the only one it can touch.
+    """
     src = wh.t("stg_" + VAULT_SOURCE[name])
+    if VAULT_SOURCE[name] == "events":
+        src = newer_than(src, store.mark("raw_vault", name))
+        mark = src.agg(F.max("_loaded_at")).first()[0]
+        if mark is None and store.exists("raw_vault", name):
+            return store.table_path("raw_vault", name)
+    else:
+        mark = None
+    stored = store.read("raw_vault", name)
     if name in vault.HUBS:
-        return vault.load_hub(src, vault.HUBS[name], load_ts, target)
+        return store.append("raw_vault", name, vault.load_hub(src, vault.HUBS[name], load_ts, stored), mark)
     if name in vault.LINKS:
-        return vault.load_link(src, vault.LINKS[name], load_ts, target)
-    return vault.load_satellite(src, vault.SATELLITES[name], load_ts, target)
+        return store.append("raw_vault", name, vault.load_link(src, vault.LINKS[name], load_ts, stored), mark)
+    rows = vault.load_satellite(src, vault.SATELLITES[name], load_ts, stored)
+    return store.merge_partitions("raw_vault", name, rows.withColumn(LOAD_DAY, F.col("load_date").cast("date")),
+                                  ["hash_key", "load_date"], LOAD_DAY, staging_dir, mark=mark, keys_move=False)
 
 
-def _fact_rows(wh: Warehouse, name: str, target: DataFrame | None) -> DataFrame:
+def _fact_rows(wh: Warehouse, name: str, mark: dt.datetime | None) -> DataFrame:
     t = wh.t
     if name == "fct_events":
         return facts.fct_events(t("stg_events"), t("event_types"), t("customer_keys"),
-                                t("subscription_keys"), target)
+                                t("subscription_keys"), mark)
     if name == "fct_invoices":
         return facts.fct_invoices(t("stg_invoices"), t("customer_keys"), t("subscription_keys"),
-                                  t("dim_plan"), target)
+                                  t("dim_plan"), mark)
     return facts.fct_subscriptions(t("stg_subscriptions"), t("customer_keys"), t("dim_product"),
-                                   t("dim_plan"), target)
-
+                                   t("dim_plan"), mark)
 
-def _snapshot_history(store: TableStore, name: str) -> DataFrame | None:
-    """Full SCD2 history = append-only closed versions + current open versions."""
-    open_rows = store.read("snapshots", name + "__open")
-    closed = store.read("snapshots", name + "__closed")
-    if open_rows is None:
-        return None
-    return open_rows if closed is None else closed.unionByName(open_rows)
 
+def _snapshot_run(store: TableStore, name: str, fn, stg: DataFrame, run_ts: dt.datetime) -> str:
+    """Merge one extract into a stored snapshot, in one commit.
 
-def _snapshot_run(store: TableStore, name: str, fn, stg: DataFrame, run_ts, staging_dir: str) -> str:
-    """Merge one extract into a stored snapshot.
-
-    Only the open versions are read and rewritten; versions closed by this
-    run are appended to the closed part.  The merge output is staged once
-    (in ``staging_dir``) and split, so it is computed once.
+    Only the open versions are read and rewritten; versions closed by this run
+    are added to the closed part.
     """
-    step = fn(store.read("snapshots", name + "__open"), stg, run_ts)
-    path = f"{staging_dir.rstrip('/')}/snapshot-{name}-{uuid.uuid4().hex}"
-    step.write.parquet(path)
-    staged = store.spark.read.parquet(path)
-    store.append("snapshots", name + "__closed", staged.filter(F.col("dbt_valid_to").isNotNull()))
-    return store.write("snapshots", name + "__open", staged.filter(F.col("dbt_valid_to").isNull()))
+    step = fn(store.read_part("snapshots", name, "open"), stg, run_ts)
+    return store.replace("snapshots", name, step, F.col("dbt_valid_to").isNotNull())
+
+
+def check_results(wh: Warehouse) -> DataFrame:
+    """``(check_name, violations)`` of every data-quality check on the built tables."""
+    out = None
+    for layer in ("raw", "stg"):
+        table = lambda n: wh.raw[n] if layer == "raw" else wh.t("stg_" + n)  # noqa: B023, E731
+        found = [(f"unique.{layer}.{n}.{c}", quality.unique(table(n), c)) for n, c in quality.UNIQUE_CHECKS]
+        nulls = quality.NOT_NULL_SOURCE if layer == "raw" else quality.NOT_NULL_STAGING
+        found += [(f"not_null.{layer}.{n}.{c}", table(n).where(F.col(c).isNull())) for n, cols in nulls.items() for c in cols]
+        if layer == "stg":
+            found += [
+                ("accepted_values.subscriptions.status", quality.accepted_values(table("subscriptions"), "status", quality.ACCEPTED_STATUS)),
+                ("relationships.subscriptions.customer_id", quality.relationships(
+                    table("subscriptions"), "customer_id", table("customers"), "customer_id")),
+                ("events_not_in_future", quality.events_not_in_future(table("events"), wh.cfg.load_ts)),
+                ("mrr_non_negative", quality.mrr_non_negative(wh.t("fct_invoices"))),
+                ("no_orphan_subscriptions", quality.no_orphan_subscriptions(wh.t("fct_subscriptions"), wh.t("dim_customer")))]
+        for name, rows in found:
+            one = rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+            out = one if out is None else out.unionByName(one)
+    return out
 
 
 def _in_parallel(jobs: list, workers: int) -> list:
@@ -183,15 +208,18 @@ def _in_parallel(jobs: list, workers: int) -> list:
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
-        staging_dir: str | None = None, workers: int = 4) -> dict[str, str]:
+        staging_dir: str | None = None, workers: int = 4, stop_on_violation: bool = False) -> dict[str, str]:
     """One warehouse run against the store at ``root`` (first run = full build).
 
     * reference tables, business vault, dimensions and marts are rebuilt;
     * hubs, links and satellites append the rows new in this extract;
-    * snapshots merge the extract into their history (SCD2);
+    * snapshots merge the extract into their history (SCD2), in one commit;
     * facts load the rows after their high-water mark and merge them on
       their unique key, rewriting only the touched month partitions
-      (``partition_month``; a month filter on a fact prunes files).
+      (``partition_month``; a month filter on a fact prunes files);
+    * every data-quality check runs on the result: the counts of violations
+      are stored as ``check_results``, and with ``stop_on_violation`` any
+      violation raises.
 
     Every level is written before the next one reads it, which cuts the
     lineage; a rerun after a failure recomputes from the last written level.
@@ -215,25 +243,24 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
         level({n: l for l, n in tables}, jobs)
 
     rebuild(REFERENCE_TABLES)
-    jobs = {}
-    for name in VAULT_TABLES:
-        rows = _vault_rows(wh, name, cfg.load_ts, store.read("raw_vault", name))
-        jobs[name] = lambda n=name, df=rows: store.append("raw_vault", n, df)
-    for name, (entity, fn) in SNAPSHOTS.items():
-        jobs[name] = (lambda n=name, e=entity, f=fn:
-                      _snapshot_run(store, n, f, wh.t("stg_" + e), cfg.load_ts, staging_dir))
-    level({n: "raw_vault" for n in VAULT_TABLES}, {n: j for n, j in jobs.items() if n in VAULT_TABLES})
-    for name in SNAPSHOTS:
-        written[name] = jobs[name]()
-        wh.put(name, _snapshot_history(store, name))
+    level(dict.fromkeys(VAULT_TABLES, "raw_vault"),
+          {name: (lambda n=name: _vault_change(store, wh, n, cfg.load_ts, staging_dir)) for name in VAULT_TABLES})
+    level(dict.fromkeys(SNAPSHOTS, "snapshots"),
+          {name: (lambda n=name, e=entity, f=fn: _snapshot_run(store, n, f, wh.t("stg_" + e), cfg.load_ts))
+           for name, (entity, fn) in SNAPSHOTS.items()})
     rebuild(REBUILT[:2])                 # business vault
     rebuild(REBUILT[2:])                 # dimensions
     jobs = {}
     for name, (_, key, date_col) in FACTS.items():
-        inc = (_fact_rows(wh, name, store.read("facts", name))
+        inc = (_fact_rows(wh, name, store.mark("facts", name))
                .withColumn(PARTITION, F.trunc(F.col(date_col), "month")))
         jobs[name] = lambda n=name, df=inc, k=key: store.merge_partitions("facts", n, df, [k], PARTITION,
                                                                           staging_dir)
     level({n: "facts" for n in FACTS}, jobs)
     rebuild([("marts", name) for name in MARTS])
+    written["check_results"] = store.write("marts", "check_results", check_results(wh))
+    if stop_on_violation:
+        bad = store.read("marts", "check_results").where("violations > 0").orderBy("check_name").collect()
+        if bad:
+            raise RuntimeError("data checks failed: " + ", ".join(f"{r.check_name} ({r.violations})" for r in bad))
     return written

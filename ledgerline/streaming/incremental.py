@@ -9,10 +9,12 @@ processed, so a batch is never skipped because an older file arrived late
 Every micro-batch runs the *same* table functions as a batch build:
 
 * ``vault_sink``   hubs / links / satellites of one entity -- new rows are
-  anti-joined (or digest-compared) against the stored table and appended;
-  re-running a batch after a failure appends nothing twice.
-* ``fact_sink``    a fact increment merged on its unique key into a new
-  table version (``TableStore.merge``), idempotent as well.
+  anti-joined (or digest-compared) against the stored table; hubs and links
+  append, satellites merge on (hash_key, load_date).  Re-running a batch after
+  a failure adds nothing twice.
+* ``fact_sink``    a fact increment merged on its unique key, rewriting only
+  the months it touches (``TableStore.merge_partitions``), into the same table
+  that a batch run keeps; idempotent as well.
 
 ``daily_active_users`` is a watermarked event-time aggregate (chained
 windowed aggregations, append mode): distinct customers per day, emitted
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import facts, staging, vault
+from ..plans.warehouse import FACTS, LOAD_DAY, PARTITION
+from ..session import ensure_checkpoint_dir
 from ..sources.raw import read_raw_stream
 from ..sources.store import TableStore
 
@@ -56,23 +60,19 @@ def vault_sink(store: TableStore, entity: str,
             store.append("raw_vault", name, vault.load_link(stg, vault.LINKS[name], ts,
                                                             store.read("raw_vault", name)))
         for name in sats:
-            store.append("raw_vault", name, vault.load_satellite(stg, vault.SATELLITES[name], ts,
-                                                                 store.read("raw_vault", name)))
+            rows = vault.load_satellite(stg, vault.SATELLITES[name], ts, store.read("raw_vault", name))
+            store.merge_partitions("raw_vault", name, rows.withColumn(LOAD_DAY, F.col("load_date").cast("date")),
+                                   ["hash_key", "load_date"], LOAD_DAY, ensure_checkpoint_dir(store.spark), keys_move=False)
     return run
 
 
-FACT_KEYS = {"fct_events": "event_sk", "fct_invoices": "invoice_sk",
-             "fct_subscriptions": "subscription_event_sk"}
-FACT_SOURCE = {"fct_events": "events", "fct_invoices": "invoices", "fct_subscriptions": "subscriptions"}
-
-
 def fact_sink(store: TableStore, fact: str, lookups: dict[str, DataFrame]) -> Callable[[DataFrame, int], None]:
     """foreachBatch function merging a fact increment into the stored fact.
 
     ``lookups`` holds the dimension frames the fact needs (``customer_keys``,
     ``subscription_keys``, ``dim_product``, ``dim_plan``, ``event_types``).
     """
-    entity = FACT_SOURCE[fact]
+    entity = FACTS[fact][0]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         stg = staging.STAGERS[entity](batch)
@@ -85,7 +85,9 @@ def fact_sink(store: TableStore, fact: str, lookups: dict[str, DataFrame]) -> Ca
         else:
             inc = facts.fct_subscriptions(stg, lookups["customer_keys"], lookups["dim_product"],
                                           lookups["dim_plan"])
-        store.merge("facts", fact, inc, [FACT_KEYS[fact]])
+        _, key, date_col = FACTS[fact]
+        store.merge_partitions("facts", fact, inc.withColumn(PARTITION, F.trunc(F.col(date_col), "month")), [key], PARTITION,
+                               ensure_checkpoint_dir(store.spark))
     return run
 
 

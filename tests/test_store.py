@@ -28,39 +28,116 @@ def test_sync_columns_adds_and_drops(spark):
     assert sync_columns(tgt, upd).columns == ["k", "added"]
 
 
-def test_table_store_versions(spark):
-    store = TableStore(spark, tempfile.mkdtemp(prefix="ll-store-"))
+def test_updates_are_reduced_to_the_latest_row_per_key(spark):
+    tgt = spark.createDataFrame([("1", 10, 1)], "k string, v int, _loaded_at int")
+    upd = spark.createDataFrame([("1", 20, 3), ("1", 30, 2), ("2", 5, 1), ("2", 6, 1)], "k string, v int, _loaded_at int")
+    assert sorted(tuple(r) for r in upsert(tgt, upd, ["k"]).collect()) == [("1", 20, 3), ("2", 6, 1)]
+
+
+def test_the_mark_is_a_plain_filter(spark):
+    src = spark.range(10).withColumn("_loaded_at", F.timestamp_seconds("id"))
+    plan = newer_than(src, dt.datetime(1970, 1, 1, 0, 0, 5))._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan and "OR" not in plan
+
+
+def test_the_mark_skips_row_groups(spark):
+    """A scan behind the mark reads fewer rows than are stored, where the load
+    time is a TIMESTAMP in microseconds (Spark prunes neither INT96 nor NTZ)."""
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    path = tempfile.mkdtemp(prefix="ll-mark-") + "/t"
+    rows = spark.range(200_000).coalesce(1).withColumn("_loaded_at", F.timestamp_seconds("id")).sortWithinPartitions("id")
+    rows.write.option("parquet.block.size", 100_000).option("parquet.page.row.count.limit", 5000).parquet(path)
+    spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    df = newer_than(spark.read.parquet(path), dt.datetime(1970, 1, 3, 0, 0, 0))
+    assert df.count() == 200_000 - 172_801
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    assert plan.metrics().apply("numOutputRows").value() < 200_000
+
+
+def store_at(spark):
+    scratch = tempfile.mkdtemp(prefix="ll-store-")
+    return TableStore(spark, f"{scratch}/wh"), f"{scratch}/stage"
+
+
+def test_table_store_changes(spark):
+    store, _ = store_at(spark)
     assert store.read("facts", "t") is None
     store.write("facts", "t", spark.createDataFrame([("1", 1)], "k string, v int"))
     store.merge("facts", "t", spark.createDataFrame([("1", 2), ("2", 3)], "k string, v int"), ["k"])
-    assert store.current_path("facts", "t").endswith("v=2")
+    assert store.commits("facts", "t") == [1, 2]
     assert sorted(tuple(r) for r in store.read("facts", "t").collect()) == [("1", 2), ("2", 3)]
-    store.append("facts", "t", spark.createDataFrame([("3", 4)], "k string, v int"))
-    assert store.read("facts", "t").count() == 3
+    store.append("facts", "t", spark.createDataFrame([("3", 4, "x")], "k string, v int, w string"))
+    assert sorted(tuple(r) for r in store.read("facts", "t").fillna("").collect()) == [("1", 2, ""), ("2", 3, ""), ("3", 4, "x")]
 
 
-def test_vacuum_keeps_newest_versions(spark):
-    store = TableStore(spark, tempfile.mkdtemp(prefix="ll-vac-"))
+def test_vacuum_keeps_newest_states(spark):
+    store, stage = store_at(spark)
     for i in range(4):
         store.write("marts", "m", spark.createDataFrame([(str(i), i)], "k string, v int"))
-    dropped = store.vacuum("marts", "m", keep=2)
-    assert [p.rsplit("=", 1)[1] for p in dropped] == ["1", "2"]
-    assert store.current_path("marts", "m").endswith("v=4")
-    assert [r.v for r in store.read("marts", "m").collect()] == [3]
-
-
-def test_merge_partitions_moves_keys_and_clears_emptied_partitions(spark):
-    scratch = tempfile.mkdtemp(prefix="ll-mp-")
-    store = TableStore(spark, f"{scratch}/wh")
-    jan, feb, mar = dt.date(2001, 1, 1), dt.date(2001, 2, 1), dt.date(2001, 3, 1)
-    schema = "k string, v int, partition_month date"
-    store.write("facts", "f", spark.createDataFrame([("a", 1, jan), ("b", 2, feb), ("c", 3, mar)], schema),
-                ["partition_month"])
-    upd = spark.createDataFrame([("a", 10, feb), ("d", 4, mar)], schema)     # a moves jan -> feb
-    store.merge_partitions("facts", "f", upd, ["k"], "partition_month", f"{scratch}/stage")
-    got = sorted((r.k, r.v, r.partition_month) for r in store.read("facts", "f").collect())
-    assert got == [("a", 10, feb), ("b", 2, feb), ("c", 3, mar), ("d", 4, mar)]
-    import os
-    parts = sorted(p for p in os.listdir(store.current_path("facts", "f").replace("file:", ""))
-                   if p.startswith("partition_month="))
-    assert parts == ["partition_month=2001-02-01", "partition_month=2001-03-01"]
+    assert [p.rsplit("=", 1)[1] for p in store.vacuum("marts", "m", keep=2)] == ["1", "2"]
+    assert store.commits("marts", "m") == [3, 4] and [r.v for r in store.read("marts", "m").collect()] == [3]
+    store.append("marts", "m", store.read("marts", "m"))
+    store.vacuum("marts", "m", keep=1)
+    assert store.read("marts", "m").count() == 2
+
+
+JAN, FEB, MAR = dt.date(2001, 1, 1), dt.date(2001, 2, 1), dt.date(2001, 3, 1)
+SCHEMA = "k string, v int, partition_month date"
+
+
+def merged(spark, store, stage, rows, schema=SCHEMA):
+    store.merge_partitions("facts", "f", spark.createDataFrame(rows, schema), ["k"], "partition_month", stage)
+    return sorted((tuple(r) for r in store.read("facts", "f").collect()), key=str)
+
+
+def test_merge_moves_keys_and_clears_emptied_partitions(spark):
+    store, stage = store_at(spark)
+    merged(spark, store, stage, [("a", 1, JAN), ("b", 2, FEB), ("c", 3, MAR)])
+    got = merged(spark, store, stage, [("a", 10, FEB), ("d", 4, MAR)])          # a moves jan -> feb
+    assert got == [("a", 10, FEB), ("b", 2, FEB), ("c", 3, MAR), ("d", 4, MAR)]
+    assert [p.split("/")[1] for p in store.commit("facts", "f")["parts"]] == ["partition_month=2001-02-01", "partition_month=2001-03-01"]
+
+
+def test_merge_keeps_and_moves_null_partitions(spark):
+    store, stage = store_at(spark)
+    merged(spark, store, stage, [("k1", 1, JAN), ("k2", 2, None), ("k3", 3, None)])
+    assert [r[0] for r in merged(spark, store, stage, [("k4", 4, None)])] == ["k1", "k2", "k3", "k4"]
+    got = merged(spark, store, stage, [("k2", 20, FEB), ("k1", 10, None)])
+    assert got == [("k1", 10, None), ("k2", 20, FEB), ("k3", 3, None), ("k4", 4, None)]
+
+
+def test_merge_takes_new_columns_and_drops_old_ones(spark):
+    store, stage = store_at(spark)
+    merged(spark, store, stage, [("k1", 1, JAN), ("k2", 2, FEB)])
+    got = merged(spark, store, stage, [("k2", FEB, "w")], "k string, partition_month date, w string")
+    assert got == [("k1", JAN, None), ("k2", FEB, "w")]
+
+
+def test_untouched_partitions_and_empty_increments_write_nothing(spark):
+    store, stage = store_at(spark)
+    merged(spark, store, stage, [("k1", 1, JAN), ("k2", 2, FEB)])
+    merged(spark, store, stage, [("k3", 3, FEB)])
+    assert [p.split("/")[0] for p in store.commit("facts", "f")["parts"]] == ["ledgerline_change=1", "ledgerline_change=2"]
+    merged(spark, store, stage, [])
+    assert store.commits("facts", "f") == [1, 2]
+    assert store._names(stage) == []                                            # staged increments are gone
+
+
+def test_a_half_finished_change_is_invisible_and_can_be_rerun(spark, monkeypatch):
+    store, stage = store_at(spark)
+    schema = SCHEMA + ", _loaded_at timestamp_ntz"
+    t = [dt.datetime(2001, 1, d) for d in (1, 2, 3)]
+    merged(spark, store, stage, [("k1", 1, JAN, t[0]), ("k2", 2, FEB, t[1])], schema)
+    before = merged(spark, store, stage, [], schema)
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "_publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        try:
+            merged(spark, store, stage, [("k1", 9, FEB, t[2])], schema)
+        except OSError:
+            pass
+    assert sorted((tuple(r) for r in store.read("facts", "f").collect()), key=str) == before and store.mark("facts", "f") == t[1]
+    got = merged(spark, store, stage, [("k1", 9, FEB, t[2])], schema)
+    assert got == [("k1", 9, FEB, t[2]), ("k2", 2, FEB, t[1])] and store.mark("facts", "f") == t[2]
