@@ -130,16 +130,18 @@ def matches(texts: DataFrame, items: DataFrame) -> DataFrame:
     own = own.select("*", shingle_hashes("words").alias("hashes"))
     own = materialize(own.select("n", "window", "words", fingerprint("hashes").alias("fp")), "window-fingerprints")
     own = own.select("*", F.expr(f"inline(transform(sequence(0, {BLOCKS - 1}), b -> struct(b as block, {block} as value)))"))
-    index = items.select("item_id", "n", F.col("fp").alias("item_fp"), F.col("words").alias("item_words"), F.expr(
+    index = items.select("item_id", "n", F.col("fp").alias("item_fp"), F.expr(
         f"inline(flatten(transform(sequence(0, {BLOCKS - 1}), b -> transform(array({', '.join(map(str, flips))}), x -> struct(b as block, ({block}) ^ x as value)))))"))
+    index = materialize(index, "item-index")      # stored, so a broadcast is decided by its own size
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = own.join(index, ["n", "block", "value"]).where(bits <= RADIUS).groupBy("window", "item_id").agg(
-        F.first("n").alias("n"), F.first(bits).alias("bits"), F.first("words").alias("words"), F.first("item_words").alias("item_words"))
+    near = own.select("n", "window", "fp", "block", "value").join(index, ["n", "block", "value"]).where(bits <= RADIUS)
+    near = near.select("n", "window", "item_id", bits.alias("bits")).distinct()
+    near = near.join(items.select("item_id", F.col("words").alias("item_words")), "item_id").withColumn("words", F.split("window", " "))
     near = near.select("*", shingle_texts("words").alias("x"), shingle_texts("item_words").alias("y"))
     shared = F.expr("""if(size(array_distinct(x)) = n and size(array_distinct(y)) = n, size(array_intersect(x, y)),
         aggregate(array_distinct(x), 0, (t, v) -> t + least(size(filter(x, u -> u = v)), size(filter(y, u -> u = v)))))""")
-    near = near.select("window", "item_id", "bits", "n", shared.alias("shared"))
-    near = near.select("window", "item_id", "bits", (F.col("shared") / (2 * F.col("n") - F.col("shared"))).alias("similarity"))
+    near = near.select("window", "item_id", "bits", F.size("x").alias("n1"), F.size("y").alias("n2"), shared.alias("shared"))
+    near = near.select("window", "item_id", "bits", (F.col("shared") / (F.col("n1") + F.col("n2") - F.col("shared"))).alias("similarity"))
     return materialize(near, "candidates").where(F.col("similarity") >= SIMILARITY)
 
 
