@@ -47,12 +47,6 @@ def report_months(spark: SparkSession, as_of: dt.date, years_back: int = 3,
         lit_date(first), lit_date(last), _one_month())).alias("report_month"))
 
 
-def _attach(left: DataFrame, right: DataFrame) -> DataFrame:
-    r = right.withColumnRenamed("report_month", "_m").withColumnRenamed("plan_code", "_p")
-    cond = (F.col("report_month") == F.col("_m")) & F.col("plan_code").eqNullSafe(F.col("_p"))
-    return left.join(r, cond, "left").drop("_m", "_p")
-
-
 def churn_counts(fct_subscriptions: DataFrame, as_of: dt.date, years_back: int = 3,
                  calendar_start: dt.date | None = None) -> DataFrame:
     """MC2: active / churned / new subscriptions and active MRR by month and plan.
@@ -60,49 +54,58 @@ def churn_counts(fct_subscriptions: DataFrame, as_of: dt.date, years_back: int =
     Active at month start m: ``start_date <= m`` and (``cancelled_at`` is
     NULL or ``cancelled_at > m``); each fact row (state) counts, so MRR of
     several states of one subscription adds up.
+
+    One pass over the fact, as sums of changes: a state covers a run of months;
+    per subscription the runs are united, and each united run adds one active
+    subscription in its first month and takes it away after its last.  The
+    changes are summed by plan and month and run up over the months, so no row
+    is multiplied by the months it covers.
     """
     first, last = report_window(as_of, years_back, calendar_start)
     lo, hi = lit_date(first), lit_date(last)
-    s = fct_subscriptions.select("subscription_id", "plan_code", "mrr_usd", "start_date", "cancelled_at")
-
-    start_m = month_start("start_date")
-    first_m = F.when(F.col("start_date") == start_m, start_m).otherwise(F.add_months(start_m, 1))
-    canc_m = month_start("cancelled_at")
-    last_m = F.when(F.col("cancelled_at") > canc_m.cast("timestamp_ntz"), canc_m) \
-              .otherwise(F.add_months(canc_m, -1))
-    active = (s.select("subscription_id", "plan_code", "mrr_usd",
-                       F.greatest(first_m, lo).alias("a_first"),
-                       F.least(F.coalesce(last_m, hi), hi).alias("a_last"))
-              .filter(F.col("a_first") <= F.col("a_last"))
-              .select("subscription_id", "plan_code", "mrr_usd",
-                      F.explode(F.sequence("a_first", "a_last", _one_month())).alias("report_month"))
-              .groupBy("report_month", "plan_code")
-              .agg(F.count_distinct("subscription_id").alias("active_subs"),
-                   F.count(F.lit(1)).alias("active_rows"),
-                   F.sum("mrr_usd").alias("active_mrr_usd")))
-    churned = (s.filter(F.col("cancelled_at").isNotNull())
-               .select("subscription_id", "plan_code", month_start("cancelled_at").alias("report_month"))
-               .filter(F.col("report_month").between(lo, hi))
-               .groupBy("report_month", "plan_code")
-               .agg(F.count_distinct("subscription_id").alias("churned_subs")))
-    new = (s.select("subscription_id", "plan_code", month_start("start_date").alias("report_month"))
-           .filter(F.col("report_month").between(lo, hi))
-           .groupBy("report_month", "plan_code")
-           .agg(F.count_distinct("subscription_id").alias("new_subs")))
-    grid = (s.groupBy("plan_code").agg(F.count(F.lit(1)).alias("plan_rows"))
-            .select("plan_code", "plan_rows",
-                    F.explode(F.sequence(lo, hi, _one_month())).alias("report_month")))
-
-    out = _attach(_attach(_attach(grid, active), churned), new)
+    start_m, canc_m = month_start("start_date"), month_start("cancelled_at")
+    from_m = F.greatest(F.when(F.col("start_date") == start_m, start_m).otherwise(F.add_months(start_m, 1)), lo)
+    to_m = F.least(F.coalesce(F.when(F.col("cancelled_at") > canc_m.cast("timestamp_ntz"), canc_m)
+                              .otherwise(F.add_months(canc_m, -1)), hi), hi)
+    runs = F.col("start_date").isNotNull() & (F.col("a") <= F.col("b"))
+    within = lambda m: F.when(m.between(lo, hi), m)
+    s = fct_subscriptions.select("subscription_id", "plan_code", "mrr_usd", "start_date", from_m.alias("a"), to_m.alias("b"),
+                                 within(canc_m).alias("gone"), within(start_m).alias("came"))
+    per = s.groupBy("plan_code", "subscription_id").agg(      # the states of one subscription
+        F.array_sort(F.collect_list(F.when(runs, F.struct("a", "b")))).alias("runs"),
+        F.collect_list(F.when(runs, F.struct("a", "b", "mrr_usd"))).alias("money"),
+        F.collect_set("gone").alias("gone"), F.collect_set("came").alias("came"), F.count(F.lit(1)).alias("n"))
+    change = "named_struct('m', {m}, 'active', {active}, 'gone', {gone}, 'came', {came}, 'mrr', {mrr}, 'paid', {paid}, 'states', {states}, 'n', {n})"
+    zero = dict(active="0L", gone="0L", came="0L", mrr="cast(0 as decimal(38,2))", paid="0L", states="0L", n="0L")
+    at = lambda m, **v: change.format(m=m, **zero | v)
+    one = "if(subscription_id is null, 0L, 1L)"
+    united = """aggregate(runs, cast(array() as array<struct<a:date,b:date>>), (u, r) ->
+        if(size(u) = 0 or r.a > element_at(u, -1).b, array_append(u, named_struct('a', r.a, 'b', r.b)),
+           array_append(slice(u, 1, size(u) - 1), named_struct('a', element_at(u, -1).a, 'b', greatest(element_at(u, -1).b, r.b)))))"""
+    after = "add_months(r.b, 1)"
+    mrr, paid = "cast(coalesce(r.mrr_usd, 0) as decimal(38,2))", "if(r.mrr_usd is null, 0L, 1L)"
+    changes = F.expr(f"""explode(flatten(array(
+        transform({united}, r -> {at('r.a', active=one)}), transform({united}, r -> {at(after, active='-' + one)}),
+        transform(money, r -> {at('r.a', mrr=mrr, paid=paid, states='1L')}),
+        transform(money, r -> {at(after, mrr='cast(-' + mrr + ' as decimal(38,2))', paid='-' + paid, states='-1L')}),
+        transform(gone, m -> {at('m', gone=one)}), transform(came, m -> {at('m', came=one)}),
+        array({at(f"date'{first}'", n='n')}))))""")
+    sums = per.select("plan_code", changes.alias("c")).groupBy("plan_code", F.col("c.m").alias("report_month")).agg(
+        *[F.sum(f"c.{c}").alias(c) for c in ("active", "gone", "came", "mrr", "paid", "states", "n")])
+    months = F.sequence(lo, hi, _one_month())
+    grid = sums.groupBy("plan_code").agg(F.sum("n").alias("plan_rows")).select("plan_code", "plan_rows", F.explode(months).alias("report_month"))
+    sums = sums.select(F.col("plan_code").alias("_p"), F.col("report_month").alias("_m"), "active", "gone", "came", "mrr", "paid", "states")
+    rows = grid.join(sums, (F.col("report_month") == F.col("_m")) & F.col("plan_code").eqNullSafe(F.col("_p")), "left")
+    w = Window.partitionBy("plan_code").orderBy("report_month").rowsBetween(Window.unboundedPreceding, 0)
+    run = lambda c: F.sum(F.coalesce(c, F.lit(0))).over(w)
+    rows = rows.select("report_month", "plan_code", "plan_rows", run("active").alias("active_subs"), run("mrr").alias("mrr"),
+                       run("paid").alias("paid"), run("states").alias("states"), "gone", "came")
     # The reference sums 0 for every inactive row: NULL only if all rows are active with NULL MRR.
-    mrr = F.when(F.col("active_mrr_usd").isNull() & (F.col("active_rows") == F.col("plan_rows")),
-                 F.lit(None)).otherwise(F.coalesce("active_mrr_usd", F.lit(0)))
-    return out.select(
-        "report_month", "plan_code",
-        F.coalesce("active_subs", F.lit(0)).cast("bigint").alias("active_subs"),
-        F.coalesce("churned_subs", F.lit(0)).cast("bigint").alias("churned_subs"),
-        F.coalesce("new_subs", F.lit(0)).cast("bigint").alias("new_subs"),
-        mrr.cast(MONEY).alias("active_mrr_usd"))
+    unpriced = (F.col("paid") == 0) & (F.col("states") == F.col("plan_rows"))
+    return rows.select(
+        "report_month", "plan_code", F.col("active_subs").cast("bigint").alias("active_subs"),
+        F.coalesce("gone", F.lit(0)).cast("bigint").alias("churned_subs"), F.coalesce("came", F.lit(0)).cast("bigint").alias("new_subs"),
+        F.when(~unpriced, F.col("mrr")).cast(MONEY).alias("active_mrr_usd"))
 
 
 def mart_churn(fct_subscriptions: DataFrame, as_of: dt.date, years_back: int = 3,

@@ -30,8 +30,15 @@ def first_month_start_on_or_after(d: dt.date) -> dt.date:
     return d if d.day == 1 else (d.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
 
 
-def customer_months(dim_customer: DataFrame, calendar_start: dt.date, as_of: dt.date) -> DataFrame:
-    """OB1: month starts from the cohort month up to ``as_of``, per current customer."""
+# Customer attributes of the grid and the wide table.
+ATTRIBUTES = ("customer_id", "customer_name", "email", "company_name", "customer_segment", "acquisition_channel",
+              "country_code", "cohort_month", "cohort_quarter", "cohort_year", "first_subscription_date",
+              "is_active_customer", "has_churned")
+
+
+def month_grid(dim_customer: DataFrame, calendar_start: dt.date, as_of: dt.date) -> DataFrame:
+    """``(report_month, customer_sk)``: month starts from the cohort month up to
+    ``as_of``, per current customer."""
     lo = lit_date(first_month_start_on_or_after(calendar_start))
     hi = lit_date(as_of.replace(day=1))
     c = current(dim_customer)
@@ -40,13 +47,16 @@ def customer_months(dim_customer: DataFrame, calendar_start: dt.date, as_of: dt.
     first = F.when(first == month_start(first), first).otherwise(F.add_months(month_start(first), 1))
     # NULL cohort month: no rows (``greatest`` would skip the NULL)
     return (c.filter(F.col("cohort_month").isNotNull())
-            .select("*", first.alias("_first"))
+            .select("customer_sk", first.alias("_first"))
             .filter(F.col("_first") <= hi)
-            .select(F.explode(F.sequence(F.col("_first"), hi, _one_month())).alias("report_month"),
-                    "customer_id", "customer_sk", "customer_name", "email", "company_name",
-                    "customer_segment", "acquisition_channel", "country_code", "cohort_month",
-                    "cohort_quarter", "cohort_year", "first_subscription_date",
-                    "is_active_customer", "has_churned"))
+            .select(F.explode(F.sequence(F.col("_first"), hi, _one_month())).alias("report_month"), "customer_sk"))
+
+
+def customer_months(dim_customer: DataFrame, calendar_start: dt.date, as_of: dt.date) -> DataFrame:
+    """OB1: the grid with the customers' attributes."""
+    grid = month_grid(dim_customer, calendar_start, as_of)
+    return grid.join(current(dim_customer).select("customer_sk", *ATTRIBUTES), "customer_sk").select(
+        "report_month", "customer_id", "customer_sk", *ATTRIBUTES[1:])
 
 
 def customer_revenue(fct_invoices: DataFrame) -> DataFrame:
@@ -94,12 +104,16 @@ def started_subscriptions(fct_subscriptions: DataFrame, plan_tiers: DataFrame |
 def obt_saas_metrics(dim_customer: DataFrame, fct_invoices: DataFrame, fct_events: DataFrame,
                      fct_subscriptions: DataFrame, calendar_start: dt.date,
                      as_of: dt.date) -> DataFrame:
-    """OB5."""
+    """OB5: the monthly aggregates meet on (month, customer) alone; the wide
+    attributes are attached last, by customer.  Facts without a customer match
+    no grid row and are left out first."""
     keys = ["report_month", "customer_sk"]
-    cm = customer_months(dim_customer, calendar_start, as_of)
-    j = (cm.join(customer_revenue(fct_invoices), keys, "left")
-           .join(customer_usage(fct_events), keys, "left")
-           .join(started_subscriptions(fct_subscriptions), keys, "left"))
+    known = F.col("customer_sk") != "UNKNOWN"
+    j = (month_grid(dim_customer, calendar_start, as_of)
+         .join(customer_revenue(fct_invoices.filter(known)), keys, "left")
+         .join(customer_usage(fct_events.filter(known)), keys, "left")
+         .join(started_subscriptions(fct_subscriptions.filter(known)), keys, "left")
+         .join(current(dim_customer).select("customer_sk", *ATTRIBUTES), "customer_sk"))
     z = F.lit(0)
     active_days = F.coalesce("active_days", z)
     features = F.coalesce("features_used", z)
@@ -107,10 +121,7 @@ def obt_saas_metrics(dim_customer: DataFrame, fct_invoices: DataFrame, fct_event
     score = (active_days * 3 + features * 5
              + F.when(F.col("mrr_usd") > 0, 20).otherwise(0) - signals * 10)
     return j.select(
-        "report_month", "customer_id", "customer_name", "email", "company_name",
-        "customer_segment", "acquisition_channel", "country_code", "cohort_month",
-        "cohort_quarter", "cohort_year", "first_subscription_date", "is_active_customer",
-        "has_churned",
+        "report_month", *ATTRIBUTES,
         F.coalesce("mrr_usd", z).cast(MONEY8).alias("mrr_usd"),
         F.coalesce("arr_usd", z).cast(MONEY).alias("arr_usd"),
         F.coalesce("collected_usd", z).cast(MONEY).alias("collected_usd"),

@@ -36,23 +36,34 @@ def recent_events(fct_events: DataFrame, as_of: dt.date, years_back: int = 2) ->
                     "engagement_score", "is_conversion_event", "is_churn_signal"))
 
 
+def _customer_day_sums(events: DataFrame) -> DataFrame:
+    """Everything the daily numbers add up, per customer and active day."""
+    flag = lambda c: F.count(F.when(c, 1))
+    return events.groupBy("event_date", "customer_sk").agg(
+        F.sum("engagement_score").cast("bigint").alias("user_engagement_score"),
+        F.count(F.lit(1)).alias("user_event_count"),
+        flag(F.col("event_category") == "ENGAGEMENT").alias("engagement_events"),
+        flag(F.col("is_conversion_event")).alias("conversion_events"),
+        flag(F.col("is_churn_signal")).alias("churn_signal_events"))
+
+
 def customer_days(events: DataFrame) -> DataFrame:
     """MU2: one row per customer per active day."""
-    return (events.groupBy("event_date", "customer_sk")
-            .agg(F.sum("engagement_score").cast("bigint").alias("user_engagement_score"),
-                 F.count(F.lit(1)).alias("user_event_count")))
+    return _customer_day_sums(events).select("event_date", "customer_sk", "user_engagement_score", "user_event_count")
 
 
 def daily_usage(events: DataFrame) -> DataFrame:
-    """MU3: daily aggregate."""
-    return (events.groupBy("event_date").agg(
-        F.count_distinct("customer_sk").alias("dau"),
-        F.sum("engagement_score").cast("bigint").alias("daily_engagement_score"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.count(F.when(F.col("event_category") == "ENGAGEMENT", 1)).alias("engagement_events"),
-        F.count(F.when(F.col("is_conversion_event"), 1)).alias("conversion_events"),
-        F.count(F.when(F.col("is_churn_signal"), 1)).alias("churn_signal_events"),
-        F.count_distinct("feature_name").alias("distinct_features_used")))
+    """MU3: daily aggregate, from the customer-day sums; features from the
+    distinct (day, feature) pairs.  No distinct count runs over raw events."""
+    daily = _customer_day_sums(events).groupBy("event_date").agg(
+        F.count("customer_sk").alias("dau"),
+        F.sum("user_engagement_score").cast("bigint").alias("daily_engagement_score"),
+        *[F.sum(c).cast("bigint").alias(n) for c, n in (
+            ("user_event_count", "total_events"), ("engagement_events", "engagement_events"),
+            ("conversion_events", "conversion_events"), ("churn_signal_events", "churn_signal_events"))])
+    features = (events.select("event_date", "feature_name").distinct().groupBy("event_date")
+                .agg(F.count("feature_name").alias("distinct_features_used")))
+    return daily.join(features, "event_date")
 
 
 def rolling_actives(cust_days: DataFrame, days: DataFrame, window_days: int,
