@@ -278,8 +278,14 @@ def _metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # ---------------------------------------------------------------- data quality
+def _dirty(spark: SparkSession, sf_dir: str, table: str) -> Warehouse:
+    """The warehouse over raw tables with faults in one of them."""
+    cfg = _cfg()
+    return Warehouse(spark, batches.dirty(_wh(spark, sf_dir).raw, table, cfg.load_ts), cfg)
+
+
 def _dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = _wh(spark, sf_dir)
+    w = _dirty(spark, sf_dir, "customers")
     out = None
     for layer in ("raw", "stg"):
         for table, col in quality.UNIQUE_CHECKS:
@@ -311,19 +317,22 @@ def _dq_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def q(fn):
         return lambda spark, sf_dir: fn(_wh(spark, sf_dir))
 
+    def faulty(table, fn):
+        return lambda spark, sf_dir: fn(_dirty(spark, sf_dir, table))
+
     return {
         "dq_unique": _dq_unique,
         "dq_not_null": _dq_not_null,
-        "dq_accepted_values": q(lambda w: quality.accepted_values(
+        "dq_accepted_values": faulty("subscriptions", lambda w: quality.accepted_values(
             w.t("stg_subscriptions"), "status", quality.ACCEPTED_STATUS)),
         "dq_relationships": q(lambda w: quality.relationships(
             w.t("stg_subscriptions"), "customer_id", w.t("stg_customers"), "customer_id")
             .select("subscription_id", "customer_id")),
         "dq_future_events": q(lambda w: quality.events_not_in_future(w.t("stg_events"), DQ_FUTURE_AS_OF)),
-        "dq_mrr_non_negative": q(lambda w: quality.mrr_non_negative(w.t("fct_invoices"))),
+        "dq_mrr_non_negative": faulty("invoices", lambda w: quality.mrr_non_negative(w.t("fct_invoices"))),
         "dq_orphan_subscriptions": q(lambda w: quality.no_orphan_subscriptions(
-            w.t("fct_subscriptions"), w.t("dim_customer"))),
-        "dq_freshness": q(lambda w: quality.freshness(w.raw, c.load_ts)),
+            w.t("fct_subscriptions"), w.t("dim_customer").filter(F.col("customer_id").cast("bigint") % 10 != 3))),
+        "dq_freshness": faulty("products", lambda w: quality.freshness(w.raw, c.load_ts)),
     }
 
 
@@ -343,7 +352,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     names = GRAPH_TABLES + list(_sub_operators()) + list(_batch_queries()) + list(_metric_queries()) \
         + list(_dq_queries())
-    out = {n: duck.table(n) for n in names}
+    out = {n: duck.dirty_table(n, duck.DIRTY[n]) if n in duck.DIRTY else duck.table(n) for n in names}
     out["obt_customer_months"] = duck.sql("select * exclude (customer_sk) from obt_customer_months")
     if llm:
         out.update(llm.ORACLE_SQL)

@@ -105,3 +105,22 @@ def partition_batches(fct: DataFrame) -> tuple[DataFrame, DataFrame]:
               .withColumn("partition_month", F.when(k % 6 != 0, F.add_months(month, 1)))
               .withColumn("sales_channel", F.concat(F.lit("channel "), (k % 3).cast("string"))))
     return first, second
+
+
+def dirty(raw: dict[str, DataFrame], table: str, load_ts: dt.datetime) -> dict[str, DataFrame]:
+    """The raw tables with faults in one of them that a data check must find:
+    repeated customers, an unknown subscription status, paid invoices below
+    zero, products last loaded 18 hours before ``load_ts``."""
+    df = raw[table]
+    if table == "customers":
+        df = df.unionByName(df.filter(F.col("customer_id") % 100 == 1))
+    elif table == "subscriptions":
+        df = df.withColumn("status", F.when(F.col("subscription_id") % 50 == 0, F.lit("Expired")).otherwise(F.col("status")))
+    elif table == "invoices":
+        df = df.withColumn("net_amount_usd", F.when((F.col("subscription_id") % 30 == 0) & (F.col("invoice_status") == "paid"), -F.col("net_amount_usd"))
+                           .otherwise(F.col("net_amount_usd")).cast(df.schema["net_amount_usd"].dataType))
+    elif table == "products":
+        df = df.withColumn("_loaded_at", lit_ts(load_ts - dt.timedelta(hours=18)))
+    else:
+        raise ValueError(table)
+    return {**raw, table: df}
