@@ -11,13 +11,19 @@ the scan.  Events are shifted back 23 years so that one reporting date
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _size(df: DataFrame) -> Column:
+    """The rows of a table, as a scalar in another table's query: keys that point
+    into it then cover it at every scale factor."""
+    return df.select(F.count(F.lit(1))).scalar()
+
+
 def raw_customers(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     read = read or _scan
     c = read(spark, sf_dir, "customer")
@@ -53,7 +59,7 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     return o.select(
         key.alias("subscription_id"),
         F.col("o_custkey").alias("customer_id"),
-        (key % 200).alias("product_id"),
+        (key % _size(read(spark, sf_dir, "part"))).alias("product_id"),
         F.when(F.col("o_orderstatus") == "O", "Active")
          .when(finished, "Cancelled")
          .when(key % 3 == 0, "Paused").when(key % 3 == 1, "Trialing")
@@ -126,7 +132,8 @@ def raw_events(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
             .select(
                 eid.alias("event_id"),
                 F.col("user_id").alias("customer_id"),
-                F.when(eid % 4 == 0, F.lit(None).cast("bigint")).otherwise(eid % 1500).alias("subscription_id"),
+                F.when(eid % 4 == 0, F.lit(None).cast("bigint")).otherwise(
+                    eid % _size(read(spark, sf_dir, "orders"))).alias("subscription_id"),
                 F.col("mapped_type").alias("event_type"),
                 F.when(et == "error", "diagnostics").otherwise("product").alias("event_category"),
                 F.when(eid % 10 == 0, F.lit(None).cast("string"))
