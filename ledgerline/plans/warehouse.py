@@ -126,9 +126,22 @@ FACTS = {  # name: (source entity, unique key, date the month partition derives
     "fct_subscriptions": ("subscriptions", "subscription_event_sk", "start_date_key"),
 }
 PARTITION, LOAD_DAY = "partition_month", "load_day"
+# The order in which published results are read (descending: "-").
+READING_ORDER = {
+    "mart_revenue": ("-revenue_month", "-tier_level"),
+    "mart_churn": ("-report_month", "plan_code"),
+    "mart_usage": ("-event_date",),
+    "cohort_retention": ("cohort_month", "months_since_acquisition"),
+}
 MARTS = ["mart_revenue", "mart_churn", "mart_usage", "obt_saas_metrics", "cohort_retention"]
 
 
+def in_reading_order(name: str, df: DataFrame) -> DataFrame:
+    """A published result sorted for its readers; stored tables are not sorted."""
+    order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in READING_ORDER.get(name, ())]
+    return df.orderBy(*order) if order else df
+
+
 def _vault_change(store: TableStore, wh: Warehouse, name: str, load_ts: dt.datetime, staging_dir: str) -> str:
     """Load one vault table into the store.
 

@@ -3,12 +3,16 @@ import dataclasses
 import datetime as dt
 import tempfile
 
+import pytest
+
 from ledgerline.config import Config
 from ledgerline.plans import batches
-from ledgerline.plans.warehouse import FACTS, Warehouse, run
+from ledgerline.plans.warehouse import FACTS, Warehouse, in_reading_order, run
 from ledgerline.sources.fixtures import raw_tables
 from ledgerline.sources.store import TableStore
 
+from ledgerline.session import ensure_checkpoint_dir
+
 from conftest import SF_SMALL
 
 
@@ -37,3 +41,28 @@ def test_incremental_run_equals_full_build(spark):
     assert store.read("marts", "mart_usage").count() == full.t("mart_usage").count()
     checks = {r.check_name: r.violations for r in spark.read.parquet(out["check_results"]).collect()}
     assert checks["unique.stg.events.event_id"] == 0 and checks["relationships.subscriptions.customer_id"] > 0
+
+
+def test_reading_order(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "b"), (2, "a")], "report_month int, plan_code string")
+    assert [tuple(r) for r in in_reading_order("mart_churn", df).collect()] == [(2, "a"), (2, "b"), (1, "b")]
+    assert in_reading_order("other", df) is df
+
+
+def test_run_times_are_required():
+    with pytest.raises(TypeError):
+        Config()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})()
+        sparkContext = type("Context", (), {"master": "yarn"})()
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_violations_stop_a_run(spark):
+    raw = raw_tables(spark, SF_SMALL)
+    with pytest.raises(RuntimeError, match="relationships.subscriptions.customer_id"):
+        run(spark, raw, Config.fixtures(), tempfile.mkdtemp(prefix="ll-strict-") + "/wh", stop_on_violation=True)
