@@ -125,6 +125,55 @@ from d join e on d.source is not distinct from e.source left join cut on d.sourc
 """
 
 
+def _op1_sql() -> str:
+    """Base spans by position sums over pieces and matches; the models as counts
+    of transitions; a run's ratio as a sum over its transitions."""
+    quoted = {k: p.replace("'", "''") for k, (p, _, _) in secrets.PATTERNS.items()} | {"random": secrets.RUN}
+    n = secrets.STATES
+    values = " union ".join(f"select unnest(list_filter(regexp_extract_all(t, '{quoted[k]}', {g}), lambda x: len(x) >= {m})) as x from s"
+                            for k, (_, g, m) in secrets.PATTERNS.items())
+    held = " or ".join(f"len(list_filter(regexp_extract_all(x, '{quoted[k]}', {g}), lambda y: len(y) >= {m})) > 0"
+                       for k, (_, g, m) in secrets.PATTERNS.items())
+    found = " union all ".join(
+        f"select r, {i} as k, generate_subscripts(h, 1) as i, unnest(h) as h, unnest(p[:len(h)]) as p, unnest(v) as v from ("
+        f"select r, regexp_extract_all(t, '{quoted[k]}') as h, string_split_regex(t, '{quoted[k]}') as p, "
+        f"regexp_extract_all(t, '{quoted[k]}', {2 if k == 'assign' else 0}) as v from d)" for i, k in enumerate(secrets.KINDS))
+    least = "case k " + " ".join(f"when {i} then {secrets.PATTERNS[k][2]}" for i, k in enumerate(secrets.KINDS[:3])) + " end"
+    name = "case k " + " ".join(f"when {i} then '{k}'" for i, k in enumerate(secrets.KINDS)) + " end"
+    steps = f"""unnest(list_transform(range(1, len(c) + 1), lambda i: {{
+        'p': case when i = 1 then 0 else position(c[i - 1] in '{secrets.ALPHABET}') end, 'q': position(c[i] in '{secrets.ALPHABET}')}}))"""
+    listed = lambda which: f"coalesce(string_agg({name} || ':' || a || ':' || b, ',' order by a, k){which}, '')"
+    return f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t, md5(coalesce(cast(doc_id as varchar), text, '')) as h from documents),
+s as (select t from d where h <= (select max(h) from (select h from d order by h limit {secrets.SAMPLE_DOCS}))),
+w as (select string_split_regex(t, '[\\x20\\x09-\\x0D]+') as w from s),
+pairs as (select unnest(w) as x, unnest(w[2:] || [null]) as y from w),
+names as (select distinct x from (select x from pairs union all select x || '_' || lower(y) from pairs union all select x || '-' || lower(y) from pairs
+          union all select x || upper(y[1]) || lower(y[2:]) from pairs) where x <> '' and not ({held})),
+samples as (select x, true as random from ({values})
+            union all select to_base64(unhex(sha256(x))), true from (select distinct x from pairs)
+            union all select x, false from names),
+steps as (select random, {steps} as z from (select random, string_split(x, '') as c from samples where x <> '')),
+counts as (select z.p as p, z.q as q, count_if(random) as a, count_if(not random) as b from steps group by all),
+cells as (select p, q, coalesce(a, 0) as a, coalesce(b, 0) as b
+  from (select p, q from (select unnest(range({n})) as p) x, (select unnest(range({n})) as q) y) g left join counts using (p, q)),
+sums as (select *, sum(a) over (partition by p) as pa, sum(b) over (partition by p) as pb, sum(a) over (partition by q) as qa, sum(b) over (partition by q) as qb,
+                sum(a) over () as na, sum(b) over () as nb from cells),
+model as (select p, q, round(1000 * ln(
+    ((a + {secrets.BACK_OFF}::double * ((qa + {secrets.SMOOTHING}::double) / (na + {secrets.SMOOTHING * n}::double))) / (pa + {secrets.BACK_OFF}::double))
+  / ((b + {secrets.BACK_OFF}::double * ((qb + {secrets.SMOOTHING}::double) / (nb + {secrets.SMOOTHING * n}::double))) / (pb + {secrets.BACK_OFF}::double))))::bigint as ratio from sums),
+found as ({found}),
+placed as (select *, (sum(len(p)) over o + coalesce(sum(len(h)) over (partition by r, k order by i rows between unbounded preceding and 1 preceding), 0))::bigint as a
+           from found window o as (partition by r, k order by i)),
+base as (select r, k, a, a + len(h) as b from placed where len(v) >= {least}),
+scores as (select r, i, sum(ratio) as total from (select r, i, {steps} as z from (select r, i, string_split(h, '') as c from placed where k = 3)) join model on p = z.p and q = z.q group by all),
+runs as (select x.r, x.k, x.a, x.a + len(x.h) as b from placed x join scores y using (r, i) where x.k = 3 and total >= {secrets.MIN_RATIO} * len(x.h)),
+spans as (from base union all select * from runs where not exists (select 1 from base where base.r = runs.r and base.a < runs.b and runs.a < base.b))
+select doc_id, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex, count(*) filter (k = 3) as n_random,
+  sha256({listed(' filter (k < 3)')}) as base_sha256, {listed('')} as spans
+from d left join spans using (r) group by r, doc_id"""
+
+
 def _op10_sql() -> str:
     low = f"translate(coalesce(url, ''), '{url_filter._UPPER}', '{url_filter._LOWER}')"
     hit = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::int"
@@ -166,4 +215,4 @@ select conv_id, rejected_id, (case when eq then last else last - 1 end)::int as
 from p
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": OP5_SQL, "op7_preference_format": OP7_SQL, "op10_url_filter": _op10_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_secret_scan": _op1_sql(), "op5_mixing": OP5_SQL, "op7_preference_format": OP7_SQL, "op10_url_filter": _op10_sql()}
