@@ -2,15 +2,19 @@
 
 1. ``classes``: equal vectors of one label become one class (its smallest id,
    its number of copies).
-2. Passes: each pass has ``HASH_BITS`` random hyperplanes; the signs of a
-   vector's projections, concatenated, are its key.  All classes are ordered
+2. Passes: each pass has ``HASH_BITS`` random hyperplanes through the mean
+   direction of the label; the sides on which a vector lies, concatenated, are
+   its key.  All classes are ordered
    by (label, dimension, key) with a range-partitioned sort, numbered, and cut
    into blocks of ``WINDOW``.  A class is compared with those up to ``WINDOW``
    places after it; a block gets its own rows and the next block's, so a task
    never holds more than two windows.  Verified pairs (cosine of at least the
    limit, in double precision) become links; a block emits a spanning forest
    of its links, not all pairs.
-3. The links of all passes are united into connected components.
+3. The links of all passes are united into connected components.  Passes come
+   in rounds, each as long as all rounds before it, until a round finds no link
+   between two components: a pair that a pass meets rarely, since the label is
+   large or crowded, calls for more passes, so their number follows the data.
 4. ``counted``: windows are bounded, so a class may have partners it never
    met.  Within each component all classes are compared, in tiles of about
    ``TILE`` by ``TILE``, each a task of its own; only the number of links per
@@ -63,18 +67,33 @@ def _planes(which: int, dim: int) -> np.ndarray:
     return np.random.default_rng([which, dim]).standard_normal((dim, HASH_BITS))
 
 
-def keyed(nodes: DataFrame, passes: int) -> DataFrame:
-    """``(pass, label, dim, key, node)``: every class once per pass."""
+def centred(nodes: DataFrame) -> DataFrame:
+    """``(label, dim, mean)``: the mean of the unit vectors of each label and
+    dimension.  It steers which vectors are near in the order, never results."""
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (label, dim), rows in batch.groupby(["label", batch["vec"].map(len)]):
+                yield pd.DataFrame({"label": label, "dim": np.int32(dim), "at": np.arange(dim, dtype=np.int32),
+                                    "sum": _unit(rows["vec"]).sum(axis=0), "n": np.int64(len(rows))})
+    label = nodes.schema["label"].dataType.simpleString()
+    parts = nodes.select("label", "vec").mapInPandas(sums, f"label {label}, dim int, at int, sum double, n long")
+    means = parts.groupBy("label", "dim", "at").agg(F.round(F.sum("sum") / F.sum("n"), 6).alias("m"))
+    return means.groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("at", "m"))).getField("m").alias("mean"))
+
+
+def keyed(nodes: DataFrame, first: int, passes: int) -> DataFrame:
+    """``(pass, label, dim, key, node)``: every class once per pass, from pass
+    ``first`` on; ``nodes`` hold the ``mean`` of their label."""
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = 1 << np.arange(HASH_BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             for dim, rows in batch.groupby(batch["vec"].map(len)):
-                x = _unit(rows["vec"])
-                for p in range(passes):
+                x = _unit(rows["vec"]) - np.array(rows["mean"].tolist())
+                for p in range(first, first + passes):
                     yield pd.DataFrame({"pass": np.int32(p), "label": rows["label"], "dim": np.int32(dim),
                                         "key": ((x @ _planes(p, dim)) > 0) @ bits, "node": rows["node"]})
     label = nodes.schema["label"].dataType.simpleString()
-    return nodes.select("label", "node", "vec").mapInPandas(keys, f"pass int, label {label}, dim int, key long, node long")
+    return nodes.select("label", "node", "vec", "mean").mapInPandas(keys, f"pass int, label {label}, dim int, key long, node long")
 
 
 def ranked(keys: DataFrame) -> DataFrame:
@@ -128,6 +147,27 @@ def window_links(nodes: DataFrame, ranks: DataFrame, limit: float) -> DataFrame:
     return rows.groupBy("block").applyInPandas(compare, "a long, b long")
 
 
+def components(nodes: DataFrame, limit: float, passes: int) -> DataFrame:
+    """``(node, component)`` as ``connected_components`` gives them, from
+    rounds of passes until one joins no two components."""
+    means = materialize(centred(nodes), "label-means")
+    placed = materialize(nodes.withColumn("dim", F.size("vec")).join(means, ["label", "dim"]).select("label", "node", "vec", "mean"), "placed")
+    parts, done = None, 0
+    while True:
+        size = max(passes, done)
+        links = window_links(nodes, ranked(keyed(placed, done, size)), limit)
+        if parts is not None:
+            for end in ("a", "b"):
+                links = links.join(parts.select(F.col("node").alias(end), F.col("component").alias("_c")), end, "left").withColumn(
+                    end, F.coalesce("_c", end)).drop("_c")
+            links = materialize(links.where("a <> b").distinct(), "new-links")
+            if links.isEmpty():
+                return parts
+            links = links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        parts = materialize(connected_components(links), "components")
+        done += size
+
+
 def counted(nodes: DataFrame, parts: DataFrame, limit: float) -> DataFrame:
     """``(node, links)``: vectors in other classes that each class links with,
     from all pairs within its component, tile by tile."""
@@ -162,14 +202,14 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
 
     A row with a null id has a null component and is not kept; any other
     vector that links with nothing is its own component and is kept.
+    ``passes`` is the length of the first round.
     """
     vec = F.col(vector_col)
     able = usable(vec) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
     rows = embeddings.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), vec.alias("vec"), able.alias("able"))
     rows = rows.withColumn("h1", F.when(F.col("able"), F.xxhash64(F.lit(1), "vec"))).withColumn("h2", F.when(F.col("able"), F.xxhash64(F.lit(2), "vec")))
     nodes = materialize(classes(rows.where("able")), "classes")
-    ranks = ranked(keyed(nodes, passes))
-    parts = materialize(connected_components(window_links(nodes, ranks, limit)), "components")
+    parts = components(nodes, limit, passes)
     links = materialize(counted(nodes, parts, limit), "link-counts")
     own = nodes.join(parts, "node", "left").join(links, "node", "left").select(
         "label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))

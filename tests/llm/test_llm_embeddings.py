@@ -68,5 +68,19 @@ def test_recall_on_the_table(spark):
     assert all(g[1] <= w[1] for g, w in zip(got, want))
 
 
+def test_isolated_pairs_off_centre(spark, monkeypatch):
+    """Pairs that share one common direction with all vectors of a large label."""
+    monkeypatch.setattr(E, "WINDOW", 4)
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.sqrt((v * v).sum(axis=-1, keepdims=True))
+    x = unit(3 * unit(rng.standard_normal(64)) + unit(rng.standard_normal((3000, 64))))     # cosine about 0.9
+    x[:200] = unit(x[200:400] + 0.19 * unit(rng.standard_normal((200, 64))))                # pairs of about 0.982
+    near = x @ x.T >= 0.98
+    rows = [(i, v, 0) for i, v in enumerate(x.astype(np.float32).astype(float).tolist())]
+    got = {r[0]: r[1] for r in E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    want = near.sum(axis=1) - 1
+    assert want.sum() >= 380 and [got[i] for i in range(len(x))] == want.tolist()
+
+
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
