@@ -66,6 +66,20 @@ def test_matches_equal_brute_force(spark):
     assert all(r.bits <= D.RADIUS for r in got)
 
 
+def test_items_cut_off_by_the_ends_of_a_document(spark):
+    w = ["c%d" % i for i in range(30)]
+    fill = ["f%d" % i for i in range(600)]
+    docs = {1: w[:-2], 2: w[2:], 3: fill + w[:-3], 4: w[3:] + fill, 5: w[1:-1], 6: fill[:255] + w[:-3],
+            7: w[:-6], 8: fill[:300] + w[:-3] + fill[300:], 9: w[:-5]}
+    frame = spark.createDataFrame([(d, " ".join(x)) for d, x in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(w[:-3])), (3, "u v w x y z")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in D.find_contamination(frame, bench).collect()}
+    cut = {(1, 1): (24, 0), (2, 1): (24, 0), (3, 1): (23, 600), (4, 1): (23, 0), (5, 1): (24, 0), (6, 1): (23, 255), (9, 1): (21, 0)}
+    want = {k: (round(n / 26, 9), at) for k, (n, at) in cut.items() if n / 26 >= 0.8}
+    assert {k: v for k, v in got.items() if k[1] == 1} == want
+    assert (8, 2) in got and (3, 2) in got and not any(i == 3 for _, i in got)
+
+
 def test_blocks_cover_the_radius():
     """Any two codes within RADIUS bits agree to BLOCK_RADIUS bits on some block."""
     assert D.BLOCKS * D.BLOCK_BITS == 64 and D.RADIUS < D.BLOCKS * (D.BLOCK_RADIUS + 1)
