@@ -59,7 +59,9 @@ def churn_counts(fct_subscriptions: DataFrame, as_of: dt.date, years_back: int =
     per subscription the runs are united, and each united run adds one active
     subscription in its first month and takes it away after its last.  The
     changes are summed by plan and month and run up over the months, so no row
-    is multiplied by the months it covers.
+    is multiplied by the months it covers.  The states of a subscription are first
+    summed by their months, so however many it has (or those without an id have),
+    what is collected is bounded by the months of the report.
     """
     first, last = report_window(as_of, years_back, calendar_start)
     lo, hi = lit_date(first), lit_date(last)
@@ -71,10 +73,14 @@ def churn_counts(fct_subscriptions: DataFrame, as_of: dt.date, years_back: int =
     within = lambda m: F.when(m.between(lo, hi), m)
     s = fct_subscriptions.select("subscription_id", "plan_code", "mrr_usd", "start_date", from_m.alias("a"), to_m.alias("b"),
                                  within(canc_m).alias("gone"), within(start_m).alias("came"))
-    per = s.groupBy("plan_code", "subscription_id").agg(      # the states of one subscription
-        F.array_sort(F.collect_list(F.when(runs, F.struct("a", "b")))).alias("runs"),
-        F.collect_list(F.when(runs, F.struct("a", "b", "mrr_usd"))).alias("money"),
-        F.collect_set("gone").alias("gone"), F.collect_set("came").alias("came"), F.count(F.lit(1)).alias("n"))
+    sums = s.groupBy("plan_code", "subscription_id", F.when(runs, F.col("a")).alias("a"), F.when(runs, F.col("b")).alias("b"), "gone", "came").agg(
+        F.sum(F.when(runs, F.coalesce("mrr_usd", F.lit(0)))).cast("decimal(38,2)").alias("mrr"),
+        F.count_if(runs & F.col("mrr_usd").isNotNull()).alias("paid"), F.count_if(runs).alias("states"), F.count(F.lit(1)).alias("n"))
+    has = F.col("states") > 0
+    per = sums.groupBy("plan_code", "subscription_id").agg(   # the states of one subscription, by their months
+        F.array_sort(F.collect_list(F.when(has, F.struct("a", "b")))).alias("runs"),
+        F.collect_list(F.when(has, F.struct("a", "b", "mrr", "paid", "states"))).alias("money"),
+        F.collect_set("gone").alias("gone"), F.collect_set("came").alias("came"), F.sum("n").alias("n"))
     change = "named_struct('m', {m}, 'active', {active}, 'gone', {gone}, 'came', {came}, 'mrr', {mrr}, 'paid', {paid}, 'states', {states}, 'n', {n})"
     zero = dict(active="0L", gone="0L", came="0L", mrr="cast(0 as decimal(38,2))", paid="0L", states="0L", n="0L")
     at = lambda m, **v: change.format(m=m, **zero | v)
@@ -83,11 +89,11 @@ def churn_counts(fct_subscriptions: DataFrame, as_of: dt.date, years_back: int =
         if(size(u) = 0 or r.a > element_at(u, -1).b, array_append(u, named_struct('a', r.a, 'b', r.b)),
            array_append(slice(u, 1, size(u) - 1), named_struct('a', element_at(u, -1).a, 'b', greatest(element_at(u, -1).b, r.b)))))"""
     after = "add_months(r.b, 1)"
-    mrr, paid = "cast(coalesce(r.mrr_usd, 0) as decimal(38,2))", "if(r.mrr_usd is null, 0L, 1L)"
+    less = dict(mrr="cast(-r.mrr as decimal(38,2))", paid="-r.paid", states="-r.states")
     changes = F.expr(f"""explode(flatten(array(
         transform({united}, r -> {at('r.a', active=one)}), transform({united}, r -> {at(after, active='-' + one)}),
-        transform(money, r -> {at('r.a', mrr=mrr, paid=paid, states='1L')}),
-        transform(money, r -> {at(after, mrr='cast(-' + mrr + ' as decimal(38,2))', paid='-' + paid, states='-1L')}),
+        transform(money, r -> {at('r.a', mrr='r.mrr', paid='r.paid', states='r.states')}),
+        transform(money, r -> {at(after, **less)}),
         transform(gone, m -> {at('m', gone=one)}), transform(came, m -> {at('m', came=one)}),
         array({at(f"date'{first}'", n='n')}))))""")
     sums = per.select("plan_code", changes.alias("c")).groupBy("plan_code", F.col("c.m").alias("report_month")).agg(

@@ -95,3 +95,16 @@ def test_highest_plan_alphabetical_or_by_tier(spark):
     alpha = obt.started_subscriptions(fct).first().highest_plan_code
     tier = obt.started_subscriptions(fct, seeds.plan_tiers(spark)).first().highest_plan_code
     assert (alpha, tier) == ("STARTER", "ENTERPRISE")
+
+
+def test_churn_collects_months_not_states(spark, monkeypatch):
+    """100,000 states without an id: no array is longer than there are months."""
+    fct = spark.range(100_000).selectExpr("cast(null as string) subscription_id", "'PRO' plan_code", "cast(1 as decimal(18,2)) mrr_usd",
+                                          "date'2000-01-01' + cast(id % 90 as int) start_date", "cast(null as timestamp_ntz) cancelled_at")
+    frames, select = [], type(fct).select
+    monkeypatch.setattr(type(fct), "select", lambda self, *c: frames.append(self) or select(self, *c))
+    got = {r.report_month: r for r in churn.churn_counts(fct, dt.date(2001, 1, 1), 3, dt.date(2000, 1, 1)).collect()}
+    monkeypatch.undo()
+    per = next(f for f in frames if "money" in f.columns)
+    assert max(len(r.money) for r in per.select("money").collect()) <= 13 * 13
+    assert got[dt.date(2001, 1, 1)].active_mrr_usd == 100_000 and got[dt.date(2001, 1, 1)].active_subs == 0
