@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (decontaminate, embedding_dedup, html_text, mixing, preference, quality, secrets,
-                            simhash_dedup, token_rollup, url_filter)
+from ledgerline.llm import (alignment, decontaminate, embedding_dedup, html_text, mixing, preference, quality, secrets,
+                            simhash_dedup, token_rollup, toxicity, url_filter, whitening)
 from ledgerline.session import ensure_checkpoint_dir, materialize
 
 
@@ -84,6 +84,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``passages``: start:end of the significant toxic passages, comma-joined."""
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.find_passages(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+    spans = F.array_join(F.transform("passages", lambda p: F.concat_ws(":", p["start"], p["end"])), ",")
+    return found.withColumn("passages", spans)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str, vocabularies: str = alignment.VOCABULARIES) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), folder=vocabularies)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -95,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollup": op8_token_rollup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_toxicity": op11_toxicity,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 # The mix by definition: documents in hash order, running sums, the document

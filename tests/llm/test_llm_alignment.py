@@ -1,0 +1,113 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from ledgerline.llm import alignment as A
+from ledgerline.llm import queries
+
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def both():
+    return A.Tokenizers(*(open(f"{A.VOCABULARIES}/{f}", "rb").read() for f in (A.FILE_A, A.FILE_B)))
+
+
+def grouped(both, text):
+    """Groups by walking both token lists, or None."""
+    if not text:
+        return None
+    own = (" " + text).encode()
+    a, b = both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)
+    if b"".join(both.bytes_a[i] for i in a) != own or b"".join(both.bytes_b[i] for i in b) != own:
+        return None
+    out, i, j, at, bt = [], 0, 0, 0, 0
+    while i < len(a):
+        ga, gb = [a[i]], [b[j]]
+        at, bt, i, j = at + len(both.bytes_a[a[i]]), bt + len(both.bytes_b[b[j]]), i + 1, j + 1
+        while at != bt:
+            if at < bt:
+                ga.append(a[i])
+                at, i = at + len(both.bytes_a[a[i]]), i + 1
+            else:
+                gb.append(b[j])
+                bt, j = bt + len(both.bytes_b[b[j]]), j + 1
+        out.append((ga, gb))
+    return out
+
+
+def brute(both, rows):
+    groups = {n: grouped(both, t) for n, (_, t) in enumerate(rows)}
+    links = {n: [(x, y) for ga, gb in g for x in ga for y in gb] for n, g in groups.items() if g}
+    count, best = Counter(p for ls in links.values() for p in set(ls)), defaultdict(int)
+    for (x, _), c in count.items():
+        best[x] = max(best[x], c)
+    out = []
+    for n, (i, _) in enumerate(rows):
+        g, ls = groups[n], links.get(n, [])
+        out.append((i, sum(len(x) for x, _ in g or []), sum(len(y) for _, y in g or []), len(g or []), len(ls),
+                    sum(count[p] == best[p[0]] for p in ls), sum(count[p] for p in ls),
+                    hashlib.sha256(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in g).encode()).hexdigest() if g else ""))
+    return out
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+TEXTS = ["hello world", "hello world", "Hello  world\n\n", "日本語のテキスト 😀😀", "a▁b", "▁", "<|endoftext|> in a text", "<s></s><unk>", "\t\0x", " ",
+         "ünïcödé " * 40, "naïve café", "don't won't", "x" * 3000, " " * 5000, "\n" * 3000, "1234567890" * 100, "𝔘𝔫𝔦", "́e", "", None, None]
+
+
+def test_equals_brute_force(spark, both):
+    rows = [(i if i % 5 else None, t) for i, t in enumerate(TEXTS)] + [(7, "hello world")] * 3
+    got = A.align_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert ordered(got) == ordered(brute(both, rows))
+
+
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_hot_and_cold_rows_meet_alike(spark, both, monkeypatch, share):
+    monkeypatch.setattr(A, "SHARE", share)
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100 + i, "the same words again") for i in range(40)]
+    assert ordered(A.align_documents(spark.createDataFrame(rows, SCHEMA)).collect()) == ordered(brute(both, rows))
+
+
+def test_wide_groups_count_by_distinct_ids(monkeypatch):
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        in_a, in_b = rng.integers(1, 30, 6), rng.integers(1, 30, 6)
+        a, b = rng.integers(0, 9, in_a.sum()), rng.integers(0, 9, in_b.sum())
+        expected, i, j = Counter(), 0, 0
+        for m, n in zip(in_a, in_b):
+            expected.update((int(x), int(y)) for x in a[i:i + m] for y in b[j:j + n])
+            i, j = i + m, j + n
+        for wide in (0, 100, 10_000):
+            monkeypatch.setattr(A, "WIDE_GROUP", wide)
+            pairs, times = A.id_pairs(a, b, in_a, in_b)
+            assert {(int(p) // A.PACK, int(p) % A.PACK): int(t) for p, t in zip(pairs, times)} == expected
+
+
+def test_very_long_texts(spark, both):
+    rows = [(1, "word " * 100_000), (2, " " * 400_000), (3, "é" * 200_000), (4, "=" * 300_000)]
+    out = {r.doc_id: r for r in A.align_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, t in rows:
+        g = grouped(both, t)
+        assert out[i].n_groups == len(g) and out[i].n_links == sum(len(x) * len(y) for x, y in g)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    empty = A.align_documents(spark.createDataFrame([], SCHEMA))
+    assert empty.count() == 0 and set(empty.columns) == {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"}
+    rows = spark.createDataFrame([(1, "some text"), (2, None)], SCHEMA)
+    extra = rows.withColumn("key", F.lit(1)).withColumn("k", F.lit(2)).withColumn("copies", F.lit(3)).withColumn("n_a", F.lit(9))
+    assert ordered(A.align_documents(extra).collect()) == ordered(A.align_documents(rows).collect())
+
+
+def test_query(spark, both):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    got = queries.op13_tokenizer_alignment(spark, SF_SMALL).collect()
+    assert ordered(got) == ordered(brute(both, [tuple(r) for r in docs]))
