@@ -7,13 +7,15 @@
    offsets where tokens of both end.  All A-B occurrence pairs of a group are
    links.  A text's id pairs are kept with their numbers of links, so a long group
    costs its distinct ids, not its square.
+   A's ids come from the file's vocabulary by its merge order, which is its order
+   of ids (checked); a file that has another order is encoded by its own library.
 3. ``pair_counts``: how many documents hold an id pair, copies counted, and whether
    that is the highest of the pair's A id.
 4. ``measure`` brings the counts back to the texts.  Pairs in at least one of
-   ``SHARE`` of all (text, pair) rows are at most ``SHARE`` pairs: they are broadcast.
+   ``PAIRS`` of all (text, pair) rows are at most ``PAIRS`` pairs: they are broadcast.
    The others, none of which can be hot, meet by a shuffle on the pair.
 5. ``align_documents`` joins measures to ids by the text's SHA-256, texts with at
-   least one of ``SHARE`` of all documents by a broadcast in the same way.
+   least one of ``TEXTS`` of all documents by a broadcast in the same way.
 
 The tokenizers' paths are parameters; the driver reads the files (below 2 MB
 each) and sends them to the tasks.
@@ -26,6 +28,7 @@ Repeated rows of a document are documents of their own; null ids are kept.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -34,11 +37,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm import bpe
 from ledgerline.session import materialize
 
 VOCABULARIES = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SHARE = 10_000
+PAIRS, TEXTS = 100_000, 10_000
 PACK = 1 << 31             # an id pair as one long: A id * PACK + B id
 WIDE_GROUP = 256           # links of a group from which distinct ids are counted first
 CHUNK = 1 << 20            # characters encoded at once
@@ -66,6 +70,7 @@ class Tokenizers:
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for entry, i in self.a.get_vocab().items():
             self.bytes_a[i] = bytes(letters.get(c, 0) for c in entry)
+        self.ranked = self._ranked(file_a, letters)
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
         self.size_a, self.size_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
@@ -74,12 +79,29 @@ class Tokenizers:
         self.width = len(ids)
         self.written = [i + end for end in (",", "|", ";") for i in ids]
 
+    def _ranked(self, file_a: bytes, letters: dict[str, int]) -> bpe.tiktoken.Encoding | None:
+        """A as ranks, if its ids are in the order of its merges and it cuts texts by the known pattern."""
+        form = json.loads(file_a)
+        ids, cut = self.a.get_vocab(with_added_tokens=False), form.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in form["model"]["merges"]]
+        order = [ids["".join(m)] for m in merges]
+        merged = set(order)
+        whole = order == sorted(set(order)) and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+        own = {entry: i for entry, i in ids.items() if all(c in letters for c in entry) and (len(entry) == 1 or i in merged)} if whole else {}
+        if form.get("normalizer") or not all(c in own and own[c] < order[0] for c in letters):
+            return None
+        return bpe.encoding(FILE_A, {self.bytes_a[i]: i for i in own.values()})
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked:
+            return [bpe.encode(self.ranked, t) for t in texts]
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Both id sequences per text; None where the tokens are not the text's bytes."""
         out = []
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for t, x, y in zip(texts, a, self.b.encode(texts, num_threads=1)):
-            own, x = (" " + t).encode("utf-8", "surrogatepass"), x.ids
+        for t, x, y in zip(texts, self.encode_a([" " + t for t in texts]), self.b.encode(texts, num_threads=1)):
+            own = (" " + t).encode("utf-8", "surrogatepass")
             same = b"".join([self.bytes_a[i] for i in x]) == own and b"".join([self.bytes_b[i] for i in y]) == own
             out.append((np.array(x, dtype=np.int64), np.array(y, dtype=np.int64)) if same else None)
         return out
@@ -187,7 +209,7 @@ def measure(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     """``(key, n_best, count_sum)`` of every aligned text."""
     links = aligned.select("key", F.explode(F.arrays_zip("pairs", "times")).alias("l")).select("key", "l.pairs", "l.times")
     total = counts.agg(F.sum("texts")).first()[0] or 0
-    hot = F.col("texts") * SHARE >= total
+    hot = F.col("texts") * PAIRS >= total
     sums = [F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum")]
     few = F.broadcast(counts.where(hot).select("pair", "count", "best"))
     met = links.join(few, links["pairs"] == few["pair"], "left")
@@ -206,7 +228,7 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialize(texts.join(measure(aligned, counts), "key"), "measures")
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(F.when(F.col(text_col) != "", F.col(text_col)), 256)).alias("k"))
     total = texts.agg(F.sum("copies")).first()[0] or 0
-    hot = F.col("copies") * SHARE >= total
+    hot = F.col("copies") * TEXTS >= total
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     value = F.struct("groups_sha256", *sums)
     few = F.broadcast(texts.where(hot).select("key", value.alias("few")))

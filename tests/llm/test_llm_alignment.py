@@ -71,11 +71,23 @@ def test_equals_brute_force(spark, both):
 
 @pytest.mark.parametrize("share", [1, 3, 1000])
 def test_hot_and_cold_rows_meet_alike(spark, both, monkeypatch, share):
-    monkeypatch.setattr(A, "SHARE", share)
+    monkeypatch.setattr(A, "PAIRS", share)
+    monkeypatch.setattr(A, "TEXTS", share)
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100 + i, "the same words again") for i in range(40)]
     assert ordered(A.align_documents(spark.createDataFrame(rows, SCHEMA)).collect()) == ordered(brute(both, rows))
 
 
+def test_ranks_encode_as_the_file_does(spark, both):
+    assert both.ranked is not None
+    texts = [t for t in TEXTS if t] + [" " * 300_000 + "x", "\u3000" * 200_000, "a \n" * 1000 + "\n" * 5000 + "b", "x" * 100_000, "'s" * 9000, "1" * 70_000]
+    texts += [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect() if r.text]
+    own = [e.ids for e in both.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert both.encode_a([" " + t for t in texts]) == own
+    ranked, both.ranked = both.ranked, None
+    assert both.encode_a([" " + t for t in texts[:40]]) == own[:40]
+    both.ranked = ranked
+
+
 def test_wide_groups_count_by_distinct_ids(monkeypatch):
     rng = np.random.default_rng(1)
     for _ in range(50):
