@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import queries
+from ledgerline.llm import bpe, queries
 from ledgerline.llm import token_rollup as T
 from ledgerline.session import ensure_checkpoint_dir
 
@@ -38,6 +38,39 @@ def test_a_batch_can_be_committed_anew(spark, rollup):
     assert totals(rollup) == {("a", "en", "v1"): (1, 6)}
 
 
+def test_a_lost_commit_changes_nothing(spark, rollup):
+    rows = spark.createDataFrame([("a", "en", 5), ("b", "en", 5)], "source string, lang string, t long")
+    rollup.commit(1, T.inserts(rows, "v1", "t"))
+    before = totals(rollup)
+    torn = spark.createDataFrame([("a", "en", "v1", 9, 900, 1, 2, 3), ("b", "en", "v1", 9, 900, 1, 2, 3)], rollup._rows().schema)
+    torn.write.mode("append").parquet(rollup.root)          # two of an attempt's three rows
+    assert totals(rollup) == before
+    rollup.commit(1, T.inserts(rows.limit(1), "v1", "t"))
+    assert sum(n for n, _ in totals(rollup).values()) == 1
+
+
+def test_no_batches_and_empty_batches(spark, rollup):
+    assert totals(rollup) == {}
+    rows = spark.createDataFrame([("a", "en", 5)], "source string, lang string, t long")
+    rollup.commit(1, T.inserts(rows.limit(0), "v1", "t"))
+    assert totals(rollup) == {}
+    rollup.commit(1, T.inserts(rows, "v1", "t"))
+    rollup.commit(1, T.inserts(rows.limit(0), "v1", "t"))
+    assert totals(rollup) == {}
+
+
+def test_long_runs_count_as_their_pieces(spark):
+    with open(PATH, "rb") as f:
+        encoding = T._encoding(f.read())
+    texts = [" " * n + end for n in (1999, 2000, 2001, 5000, 50_000) for end in ("", "x", "\n", " x  y")] + ["\n" * 9000 + "a", "\u3000\t" * 4000 + "é"]
+    for t in texts:
+        assert bpe.encode(encoding, t) == encoding.encode_ordinary(t)
+    huge = [" " * 1_000_000 + "x", "\n" * 1_000_000, "a" * 1_000_000, "= " * 1_000_000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(huge)], "i int, text string")
+    got = {r.i: r.n for r in frame.select("i", T.token_count(spark, F.col("text"), PATH).alias("n")).collect()}
+    assert got[0] == 1_000_000 and all(got[i] > 0 for i in got)
+
+
 def test_counts_equal_the_tokenizer(spark):
     with open(PATH, "rb") as f:
         encode = T._encoding(f.read()).encode_ordinary
