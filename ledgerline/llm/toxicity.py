@@ -23,8 +23,10 @@
    the same held-back documents, gives the score.
 
 Labels come only from ids whose CRC-32 (as text) is not a multiple of 5; of
-those a quarter (by another hash) calibrates, the others count.  Labels, ids,
-languages and sources are no inputs of a score.
+those a quarter (by another hash) calibrates, the others count.  Per class at most
+``SAMPLE`` ids are learned from, those of the lowest hash buckets, so labels can
+be broadcast and no text is shuffled.  Labels, ids, languages and sources are no
+inputs of a score.
 
 Words are runs of letters of any script, lower-cased, cut every 32 letters.
 A null or empty text has no words, no passages, and the score of no evidence.
@@ -47,6 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.quality import held_out
+from ledgerline.session import materialize
 
 BUCKETS = 1 << 18
 STEM = 5
@@ -59,6 +62,7 @@ UNIT = 1000                # scores are whole thousandths
 SIGNIFICANT = 0.01         # the most chance finds a passage may be expected to be
 MOST_EVIDENCE = 200.0      # evidence beyond this counts as this in the logistic curve
 THRESHOLD = 0.5
+SAMPLE, PARTS = 200_000, 4096
 WORD = re.compile(r"[^\W\d_]{1,32}")
 CACHE = 1 << 19
 
@@ -79,19 +83,6 @@ class _Buckets(dict):
         return b
 
 
-def buckets(text: str | None, known: _Buckets) -> np.ndarray:
-    """The buckets of a text's words, in order."""
-    return np.array([known[w] for w in WORD.findall(text)] if text else [], dtype=np.int64)
-
-
-def repeated(words: np.ndarray) -> np.ndarray:
-    """True for words within ``NEAR`` words of their last place."""
-    order = np.argsort(words, kind="stable")
-    out = np.zeros(len(words), dtype=bool)
-    out[order[1:]] = (words[order[1:]] == words[order[:-1]]) & (np.diff(order) <= NEAR)
-    return out
-
-
 # ---------------------------------------------------------------- segments
 def segments(scores: np.ndarray) -> list[tuple[int, int, int]]:
     """All maximal scoring segments ``(start, end, sum)``, end exclusive, in order.
@@ -137,14 +128,42 @@ class Odds:
     stem: np.ndarray
     stem_var: np.ndarray
 
-    def scores(self, words: np.ndarray) -> np.ndarray:
-        """Whole scores of a sequence of words."""
-        w, s = words // BUCKETS, words % BUCKETS
+    def score(self, bucket: int) -> int:
+        """A word's whole score, where it is new evidence."""
+        w, s = divmod(bucket, BUCKETS)
         own, drawn = 1 / self.word_var[w], 1 / (self.stem_var[s] + SPREAD ** 2)
         mean = (own * self.word[w] + drawn * self.stem[s]) / (own + drawn)
-        sure = np.maximum(np.abs(mean) - SHRINK / np.sqrt(own + drawn), 0.0)
-        score = np.sign(mean) * np.where(repeated(words), 0.0, sure) - DRIFT
-        return np.rint(UNIT * score).astype(np.int64)
+        sure = max(abs(mean) - SHRINK / (own + drawn) ** 0.5, 0.0)
+        return round(UNIT * ((sure if mean > 0 else -sure) - DRIFT))
+
+
+NOTHING = round(-UNIT * DRIFT)         # the score of a word that is no evidence
+
+
+class Scores(dict):
+    """Word -> score, remembered per task like ``_Buckets``."""
+
+    def __init__(self, odds: Odds) -> None:
+        super().__init__()
+        self.odds, self.buckets = odds, _Buckets()
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        s = self[word] = self.odds.score(self.buckets[word])
+        return s
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The scores of a text's words: a word within ``NEAR`` words of its last place is no new evidence."""
+        words = WORD.findall(text) if text else []
+        scores = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        last: dict[int, int] = {}
+        for i in np.flatnonzero(scores != NOTHING).tolist():
+            bucket = self.buckets[words[i]] // BUCKETS
+            if i - last.get(bucket, -NEAR - 1) <= NEAR:
+                scores[i] = NOTHING
+            last[bucket] = i
+        return scores
 
 
 def log_odds(prior: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,15 +183,15 @@ class Model:
     offset: float = 0.0
     share: float = 0.0         # of toxic labels, where nothing was learned
 
-    def found(self, text: str | None, known: _Buckets) -> tuple[float, list[tuple[int, int, float]]]:
+    def found(self, text: str | None, known: Scores) -> tuple[float, list[tuple[int, int, float]]]:
         """A text's evidence and its significant segments, as ``(first word, end, E-value)``."""
         if self.odds is None:
             return 0.0, []
-        words = buckets(text, known)
-        found = segments(self.odds.scores(words))
+        scores = known.of(text)
+        found = segments(scores)
         if not found:
             return 0.0, []
-        log_e = np.log(self.k * len(words)) - self.lam * np.array([s for _, _, s in found], dtype=float)
+        log_e = np.log(self.k * len(scores)) - self.lam * np.array([s for _, _, s in found], dtype=float)
         r = np.arange(1, len(found) + 1)
         evidence = float(np.max(np.cumsum(np.log(r)) - r * np.sort(log_e)))
         limit = np.log(SIGNIFICANT)
@@ -222,7 +241,7 @@ def _counts(rows: DataFrame, text_col: str, class_col: str | None = None) -> np.
         known, sums = _Buckets(), np.zeros((classes, 2, BUCKETS), dtype=np.int64)
         for rows in batches:
             for text, y in zip(rows["text"], rows["y"]):
-                held = np.unique(buckets(text, known))
+                held = np.array([known[w] for w in set(WORD.findall(text))] if text else [], dtype=np.int64)
                 sums[y, 0, np.unique(held // BUCKETS)] += 1
                 sums[y, 1, np.unique(held % BUCKETS)] += 1
         flat = sums.reshape(-1)
@@ -235,12 +254,21 @@ def _counts(rows: DataFrame, text_col: str, class_col: str | None = None) -> np.
     return out.reshape(classes, 2, BUCKETS)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``(text, y, calibrates)`` of the rows that may be learned from."""
-    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("id is not null and y in (0, 1)")
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+             most: int = SAMPLE) -> DataFrame:
+    """``(text, y, calibrates)`` of the rows that are learned from."""
+    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
              .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
+    known = materialize(known.withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(PARTS))), "labels")
+    sizes = known.groupBy("y", "part").agg(F.count(F.lit(1)).alias("n")).orderBy("y", "part").collect()      # at most 2 * PARTS
+    upto = {}
+    for y in (0, 1):
+        total = np.cumsum([r["n"] for r in sizes if r["y"] == y])
+        parts = [r["part"] for r in sizes if r["y"] == y]
+        upto[y] = PARTS if not len(total) or total[-1] <= most else parts[int(np.searchsorted(total, most, side="right"))]
+    known = known.where(F.col("part") < F.when(F.col("y") == 0, upto[0]).otherwise(upto[1])).select("id", "y")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(known, "id").select("text", "y", (F.pmod(F.xxhash64("id"), F.lit(4)) == 0).alias("calibrates"))
+    return texts.join(F.broadcast(known), "id").select("text", "y", (F.pmod(F.xxhash64("id"), F.lit(4)) == 0).alias("calibrates"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -256,10 +284,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Words per score, and segments as the null score."""
-        known, words, n = _Buckets(), {}, 0
+        known, words, n = Scores(odds), {}, 0
         for batch in batches:
             for text in batch["text"]:
-                scores = odds.scores(buckets(text, known))
+                scores = known.of(text)
                 n += len(segments(scores))
                 for s, m in zip(*np.unique(scores, return_counts=True)):
                     words[int(s)] = words.get(int(s), 0) + int(m)
@@ -279,7 +307,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     @F.pandas_udf("double")
     def evidence(texts: pd.Series) -> pd.Series:
-        known = _Buckets()
+        known = Scores(odds)
         return pd.Series([model.found(t, known)[0] for t in texts], dtype="float64")
 
     # evidence in steps of 1/8, so the fit gets a bounded table of counts
@@ -300,7 +328,8 @@ def find_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
     @F.pandas_udf("score double, evidence double, passages array<struct<start:int,end:int,e_value:double>>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, model = _Buckets(), shared.value
+        model = shared.value
+        known = Scores(model.odds)
         for texts in batches:
             evidence, passages = np.zeros(len(texts)), []
             for i, text in enumerate(texts):

@@ -56,10 +56,21 @@ def test_log_odds_match_the_formula():
     assert ratio[0] == pytest.approx(np.log(t / (nt - t)) - np.log(c / (nc - c))) and variance[0] == pytest.approx(1 / t + 1 / c)
 
 
-def test_repeated_words_near_each_other():
-    words = np.array([7, 1, 7, 2] + [3] + list(range(100, 100 + T.NEAR)) + [7])
-    assert T.repeated(words).tolist() == [False, False, True] + [False] * (len(words) - 3)
-    assert T.repeated(np.array([], dtype=np.int64)).tolist() == []
+def test_repeated_words_are_no_new_evidence():
+    flat = lambda x: np.full(T.BUCKETS, x)
+    known = T.Scores(T.Odds(flat(3.0), flat(0.01), flat(0.0), flat(100.0)))
+    apart = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(100, 100 + T.NEAR)]
+    scores = known.of(" ".join(["rude", "one", "RUDE", *apart, "rude"]))
+    assert scores[0] == scores[-1] == known.odds.score(known.buckets["rude"]) > 0 and scores[2] == T.NOTHING
+    assert known.of(None).tolist() == known.of("").tolist() == known.of("12 _").tolist() == []
+
+
+def test_labels_are_bounded(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    n = {r.y: r["count"] for r in T.labelled(docs, labels, most=500).groupBy("y").count().collect()}
+    assert all(400 < n[y] <= 500 for y in (0, 1))
+    assert T.labelled(docs, labels).count() == labels.where(~T.held_out(F.col("doc_id"))).count()
 
 
 @pytest.fixture(scope="module")
