@@ -11,6 +11,7 @@ DuckDB over the driver's views (see ``duck_oracle.py``).
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import os
 import sys
 import uuid
@@ -30,19 +31,22 @@ from ledgerline.plans import batches  # noqa: E402
 from ledgerline.plans.warehouse import Warehouse  # noqa: E402
 from ledgerline.session import ensure_checkpoint_dir, materialize  # noqa: E402
 
-# The training-data operators are an optional subpackage.
-try:
-    import ledgerline.llm.queries as llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("ledgerline.llm", "ledgerline.llm.queries"):
-        raise
-    llm = None
-try:
-    import corpus_pipeline  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline":
-        raise
-    corpus_pipeline = None
+# The training-data operators are an optional subpackage: without it, or without
+# the pipeline over it, their queries are left out.  Any other missing module is an error.
+OPTIONAL = ("ledgerline.llm", "corpus_pipeline")
+
+
+def _optional(name: str):
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if not missing.name or not any(missing.name == o or missing.name.startswith(o + ".") for o in OPTIONAL):
+            raise
+        return None
+
+
+llm = _optional("ledgerline.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline") if llm else None
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
