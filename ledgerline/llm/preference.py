@@ -68,13 +68,15 @@ def conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "tu
 
 def reply_pairs(convs: DataFrame, role: str = TRAINED) -> DataFrame:
     """Preference pairs for conversations without rated replies: chosen is a
-    conversation up to its last turn of ``role``; rejected has, in that turn's
-    place, the last such turn of its partner (the ids 2k and 2k + 1 are
-    partners).  ``(conv_id, rejected_id, chosen, rejected)``; conversations
-    without such a turn, or whose partner has none, form no pair."""
-    ends = convs.select("id", "turns", F.expr(f"size(turns) - array_position(reverse(transform(turns, t -> t.role <=> '{role}')), true) + 1").alias("end"))
-    ends = ends.select("id", F.expr("if(end > size(turns), 0, end)").cast("int").alias("end"), "turns")
-    own = ends.where("end > 0").select("id", F.expr("slice(turns, 1, end)").alias("turns"))
+    conversation up to its last turn of ``role``.  Rejected leaves it at one of its
+    turns of ``role``, the (id div 2 mod their number)-th from 0, where it has the last
+    such turn of its partner instead and ends; so sides part early and late.  The
+    ids 2k and 2k + 1 are partners.  ``(conv_id, rejected_id, chosen, rejected)``;
+    a conversation whose partner is missing or has no such turn keeps its row,
+    with a null id and side; one without such a turn has nothing to choose."""
+    places = f"filter(transform(turns, (t, i) -> if(t.role <=> '{role}', i + 1, 0)), i -> i > 0)"
+    own = convs.select("id", "turns", F.expr(places).alias("at")).where(F.size("at") > 0)
+    own = own.select("id", F.expr("slice(turns, 1, element_at(at, -1))").alias("turns"), F.expr("at[cast(pmod(shiftright(id, 1), size(at)) as int)]").alias("parts"))
     other = own.select(F.col("id").bitwiseXOR(F.lit(1)).alias("id"), F.col("id").alias("rejected_id"), F.expr("element_at(turns, -1)").alias("reply"))
-    return own.join(other, "id").select(F.col("id").alias("conv_id"), "rejected_id", F.col("turns").alias("chosen"),
-                                        F.expr("concat(slice(turns, 1, size(turns) - 1), array(reply))").alias("rejected"))
+    rejected = F.when(F.col("rejected_id").isNotNull(), F.expr("concat(slice(turns, 1, parts - 1), array(reply))"))
+    return own.join(other, "id", "left").select(F.col("id").alias("conv_id"), "rejected_id", F.col("turns").alias("chosen"), rejected.alias("rejected"))

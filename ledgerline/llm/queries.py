@@ -214,24 +214,27 @@ select page_id, host, path, rule,
 from r"""
 
 
-# Turn by turn: the rejected side is the chosen one but for its last turn, so the
-# prompt is everything before it unless both replies are equal.
+# Turn by turn: both sides share the turns before the one where they part, and that
+# one too if both replies are equal.
 OP7_SQL = r"""
 with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
 n as (select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as pos from t),
-e as (select conv_id, max(pos) as last from n where role = 'assistant' group by conv_id),
-r as (select n.*, e.last, replace(coalesce(role, ''), '<|', '< |') as ro, replace(coalesce(text, ''), '<|', '< |') as tx
-      from n join e on n.conv_id = e.conv_id and n.pos <= e.last),
+a as (select conv_id, pos, text, row_number() over (partition by conv_id order by pos) - 1 as k, count(*) over (partition by conv_id) as m from n where role = 'assistant'),
+e as (select conv_id, max(pos) as last, max_by(text, pos) as reply,
+             max(pos) filter (k = conv_id // 2 % m) as parts, max_by(text, pos) filter (k = conv_id // 2 % m) as own from a group by conv_id),
+p as (select x.conv_id, y.conv_id as rejected_id, x.last, y.reply,
+             case when y.conv_id is null then 0 when coalesce(x.own, '') = coalesce(y.reply, '') then x.parts else x.parts - 1 end as same,
+             y.conv_id is not null and coalesce(x.own, '') <> coalesce(y.reply, '') as differs
+      from e x left join e y on y.conv_id = xor(x.conv_id, 1)),
+r as (select p.*, n.pos, n.role, replace(coalesce(n.role, ''), '<|', '< |') as ro, replace(coalesce(n.text, ''), '<|', '< |') as tx from p join n on n.conv_id = p.conv_id and n.pos <= p.last),
 w as (select *, '<|' || ro || '|>' || chr(10) || tx || '<|end|>' || chr(10) as whole from r),
-l as (select conv_id, whole, ro, tx, text, last from w where pos = last),
-h as (select conv_id, string_agg(whole, '' order by pos) filter (where pos < last) as head from w group by conv_id),
-p as (select a.conv_id, b.conv_id as rejected_id, a.last, coalesce(h.head, '') as head, a.whole as x, b.whole as y,
-             coalesce(a.text, '') = coalesce(b.text, '') as eq, length(a.ro) as rl, length(a.whole) as xl, length(b.whole) as yl
-      from l a join l b on b.conv_id = xor(a.conv_id, 1) join h on h.conv_id = a.conv_id)
-select conv_id, rejected_id, (case when eq then last else last - 1 end)::int as prompt_turns, case when eq then head || x else head end as prompt,
-       case when eq then '' else x end as chosen, case when eq then '' else y end as rejected,
-       case when eq then '' else (rl + 5) || ':' || (xl - 1) end as chosen_mask, case when eq then '' else (rl + 5) || ':' || (yl - 1) end as rejected_mask
-from p
+o as (select *, sum(case when pos > same then length(whole) else 0 end) over (partition by conv_id order by pos) as upto from w)
+select conv_id, rejected_id, same::int as prompt_turns, coalesce(string_agg(whole, '' order by pos) filter (pos <= same), '') as prompt,
+       coalesce(string_agg(whole, '' order by pos) filter (pos > same), '') as chosen,
+       case when any_value(differs) then '<|assistant|>' || chr(10) || any_value(replace(coalesce(reply, ''), '<|', '< |')) || '<|end|>' || chr(10) else '' end as rejected,
+       coalesce(string_agg((upto - length(whole) + 5 + length(ro))::bigint || ':' || (upto - 1)::bigint, ',' order by pos) filter (pos > same and role = 'assistant'), '') as chosen_mask,
+       case when any_value(differs) then '14:' || (14 + length(any_value(replace(coalesce(reply, ''), '<|', '< |'))) + 7) else '' end as rejected_mask
+from o group by conv_id, rejected_id, same
 """
 
 ORACLE_SQL: dict[str, str] = {"op1_secret_scan": _op1_sql(), "op5_mixing": OP5_SQL, "op7_preference_format": OP7_SQL, "op10_url_filter": _op10_sql()}

@@ -50,6 +50,25 @@ def test_conversations_order_nulls_and_repeats(spark):
     assert pairs == {0: ([(U, "q"), (A, "r")], [(U, "q"), (A, "b")]), 1: ([(S, None), (U, "a"), (A, "b")], [(S, None), (U, "a"), (A, "r")])}
 
 
+def test_every_conversation_with_a_reply_has_a_row(spark):
+    talk = {4: [(U, "a"), (A, "b"), (U, "c"), (A, "d")], 5: [(A, "x")], 6: [(U, "a"), (A, "b"), (U, "c"), (A, "d")], 7: [(U, "q"), (A, "x")],
+            8: [(U, "q"), (A, "r")], 9: [(U, "no reply")], 12: [(A, "alone"), (U, "tail")], 20: [(A, "p"), (U, "c"), (A, "q")], 21: [(A, "p")]}
+    rows = [(i, n, *t) for i, ts in talk.items() for n, t in enumerate(ts)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in P.format_pairs(P.reply_pairs(P.conversations(turns)), ["conv_id", "rejected_id"]).collect()}
+    assert set(out) == {4, 5, 6, 7, 8, 12, 20, 21}
+    reply = lambda i: [t for t in talk[i] if t[0] == A]
+    for i, r in out.items():
+        upto = max(n for n, t in enumerate(talk[i]) if t[0] == A) + 1
+        chosen, side = talk[i][:upto], None
+        if i ^ 1 in talk and reply(i ^ 1):
+            at = [n for n, t in enumerate(chosen) if t[0] == A][i // 2 % len(reply(i))]
+            side = chosen[:at] + reply(i ^ 1)[-1:]
+        assert r.rejected_id == (i ^ 1 if side else None)
+        assert tuple(r)[2:] == brute(chosen, side)
+    assert out[4].prompt_turns == 1 and out[6].prompt_turns == 3 and out[20].prompt_turns == 1 and out[20].rejected == "" and out[12].prompt_turns == 0
+
+
 def test_empty_table(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert P.format_pairs(P.reply_pairs(P.conversations(turns)), ["conv_id"]).count() == 0
