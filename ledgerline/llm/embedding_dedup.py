@@ -1,7 +1,7 @@
 """Embedding near-duplicates by sorted projection passes.
 
-1. ``classes``: equal vectors of one label become one class (its smallest id,
-   its number of copies).
+1. ``classes``: equal vectors of one label become one numbered class (with its
+   smallest id and its number of copies).
 2. Passes: each pass has ``HASH_BITS`` random hyperplanes through the mean
    direction of the label; the sides on which a vector lies, concatenated, are
    its key.  All classes are ordered
@@ -23,7 +23,8 @@
 
 Vectors that are null, zero or hold null or non-finite numbers, and rows with a
 null label or id, link with nothing.  Vectors of different dimension never
-link.  Rows that share an id are separate vectors; each is returned.
+link.  Rows that share an id are separate vectors, and each is returned; classes are
+linked, not ids, and components in which one id has vectors are one.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.graph import connected_components
 from ledgerline.session import materialize
 
-PASSES, HASH_BITS, WINDOW, TILE = 10, 48, 64, 512
+PASSES, HASH_BITS, WINDOW, BLOCK, TILE = 5, 48, 64, 512, 512
 LIMIT = 0.98
 
 
@@ -49,12 +50,10 @@ def usable(vector: Column) -> Column:
 
 
 def classes(vectors: DataFrame) -> DataFrame:
-    """``(label, h1, h2, node, copies, vec)`` of equal usable vectors; a class
-    is told by its label and 128 bits of hash.  Where one id stands for several
-    vectors that would make it the smallest id of several classes, the class of
-    the smallest hash has it and the others link with nothing."""
-    found = vectors.groupBy("label", "h1", "h2").agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.any_value("vec").alias("vec"))
-    return found.groupBy("node").agg(F.min_by(F.struct("label", "h1", "h2", "copies", "vec"), F.struct("h1", "h2")).alias("c")).select("node", "c.*")
+    """``(label, h1, h2, id, copies, vec, node)`` of equal usable vectors, written and
+    numbered by ``node``; a class is told by its label and 128 bits of hash."""
+    found = vectors.groupBy("label", "h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("vec").alias("vec"))
+    return materialize(found.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -127,22 +126,29 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 def window_links(nodes: DataFrame, ranks: DataFrame, limit: float) -> DataFrame:
     """``(a, b)``: per block of the order, links that span the verified pairs."""
+    size = max(BLOCK, WINDOW)
+
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank", ignore_index=True)
-        own = rows["rank"].to_numpy() // WINDOW == rows["block"].iloc[0]
+        own = rows["rank"].to_numpy() // size == rows["block"].iloc[0]
         out = []
         for _, g in rows.groupby(["pass", "label", "dim"], sort=False):
-            if len(g) < 2 or not own[g.index].any():
+            mine = int(own[g.index].sum())                # own rows come first
+            if len(g) < 2 or not mine:
                 continue
             x, rank, node = _unit(g["vec"]), g["rank"].to_numpy(), g["node"].to_numpy()
-            near = x[own[g.index]] @ x.T >= limit
-            gap = rank[None, :] - rank[own[g.index]][:, None]
-            a, b = np.nonzero(near & (gap > 0) & (gap <= WINDOW))
-            out += [(node[i], node[j]) for i, j in _forest(np.nonzero(own[g.index])[0][a], b, len(g))]
+            left, right = [], []
+            for at in range(0, mine, WINDOW):
+                these, those = slice(at, min(at + WINDOW, mine)), slice(at, at + 2 * WINDOW)
+                gap = rank[None, those] - rank[these, None]
+                a, b = np.nonzero((x[these] @ x[those].T >= limit) & (gap > 0) & (gap <= WINDOW))
+                left.append(a + at)
+                right.append(b + at)
+            out += [(node[i], node[j]) for i, j in _forest(np.concatenate(left), np.concatenate(right), len(g))]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    block = F.floor(F.col("rank") / WINDOW).cast("long")
-    blocks = ranks.select("*", F.explode(F.array(block, block - 1)).alias("block"))
+    block, first = F.floor(F.col("rank") / size).cast("long"), F.pmod(F.col("rank"), F.lit(size)) < WINDOW
+    blocks = ranks.select("*", F.explode(F.when(first, F.array(block, block - 1)).otherwise(F.array(block))).alias("block"))
     rows = blocks.join(nodes.select("node", "vec"), "node")
     return rows.groupBy("block").applyInPandas(compare, "a long, b long")
 
@@ -196,6 +202,12 @@ def counted(nodes: DataFrame, parts: DataFrame, limit: float) -> DataFrame:
     return rows.groupBy("component", "t1", "t2").applyInPandas(tile, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def shared_ids(rows: DataFrame) -> DataFrame:
+    """``(a, b)``: components that are one since an id has vectors in both."""
+    ends = rows.where(F.col("component_id").isNotNull()).groupBy("id").agg(F.min("component_id").alias("a"), F.max("component_id").alias("z")).where("a <> z")
+    return rows.join(ends, "id").select("a", F.col("component_id").alias("b")).where("a <> b").distinct()
+
+
 def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     limit: float = LIMIT, passes: int = PASSES) -> DataFrame:
     """``(id_col, n_links, component_id, kept)`` for every row of ``embeddings``.
@@ -208,12 +220,18 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
     able = usable(vec) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()
     rows = embeddings.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), vec.alias("vec"), able.alias("able"))
     rows = rows.withColumn("h1", F.when(F.col("able"), F.xxhash64(F.lit(1), "vec"))).withColumn("h2", F.when(F.col("able"), F.xxhash64(F.lit(2), "vec")))
-    nodes = materialize(classes(rows.where("able")), "classes")
+    nodes = classes(rows.where("able"))
     parts = components(nodes, limit, passes)
     links = materialize(counted(nodes, parts, limit), "link-counts")
     own = nodes.join(parts, "node", "left").join(links, "node", "left").select(
-        "label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    out = rows.select("id", "label", "h1", "h2").join(materialize(own, "class-results"), ["label", "h1", "h2"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-                      F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
+        "label", "h1", "h2", "id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    own = materialize(own, "class-links")
+    least = own.groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("classes")).where("classes > 1")
+    own = own.join(least, "component", "left").select("label", "h1", "h2", "n_links", F.coalesce("component_id", "id").alias("component_id"))
+    own = materialize(own, "class-results")
+    out = rows.select("id", "label", "h1", "h2").join(own, ["label", "h1", "h2"], "left")
+    out = materialize(out.withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))), "rows")
+    joined = connected_components(shared_ids(out)).withColumnRenamed("node", "component_id")
+    out = out.join(joined, "component_id", "left").withColumn("component_id", F.coalesce("component", "component_id"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id",
+                      F.coalesce(F.col("component_id") == F.col("id"), F.lit(False)).alias("kept"))

@@ -51,6 +51,7 @@ def vectors(seed=2, big=40):
 @pytest.mark.parametrize("window,tile", [(64, 512), (4, 8)])
 def test_links_and_components_equal_brute_force(spark, monkeypatch, window, tile):
     monkeypatch.setattr(E, "WINDOW", window)
+    monkeypatch.setattr(E, "BLOCK", 4 * window)
     monkeypatch.setattr(E, "TILE", tile)
     rows = vectors()
     frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, label int, node int")
@@ -82,5 +83,16 @@ def test_isolated_pairs_off_centre(spark, monkeypatch):
     assert want.sum() >= 380 and [got[i] for i in range(len(x))] == want.tolist()
 
 
+def test_ids_that_stand_for_several_vectors(spark):
+    rng = np.random.default_rng(8)
+    v, w, u = (rng.standard_normal(16) for _ in range(3))
+    z = w + rng.standard_normal(16) * 0.01
+    rows = [(1, v, 0), (5, v, 0), (1, w, 0), (7, w, 0), (8, z, 0), (9, u, 0), (8, u, 0), (8, u, 1), (8, None, 0), (10, u, 1)]
+    rows = [(i, None if x is None else x.tolist(), n) for i, x, n in rows]
+    got = sorted(tuple(r) for r in E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect())
+    assert got == brute(rows)
+    assert {(i, n) for i, n, _, _ in got} >= {(7, 2), (8, 2)} and {c for i, _, c, _ in got} == {1}
+
+
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
