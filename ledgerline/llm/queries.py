@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    return secrets.scan(docs, secrets.learn(docs))
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,8 +151,6 @@ def _op1_sql() -> str:
     n = secrets.STATES
     values = " union ".join(f"select unnest(list_filter(regexp_extract_all(t, '{quoted[k]}', {g}), lambda x: len(x) >= {m})) as x from s"
                             for k, (_, g, m) in secrets.PATTERNS.items())
-    held = " or ".join(f"len(list_filter(regexp_extract_all(x, '{quoted[k]}', {g}), lambda y: len(y) >= {m})) > 0"
-                       for k, (_, g, m) in secrets.PATTERNS.items())
     found = " union all ".join(
         f"select r, {i} as k, generate_subscripts(h, 1) as i, unnest(h) as h, unnest(p[:len(h)]) as p, unnest(v) as v from ("
         f"select r, regexp_extract_all(t, '{quoted[k]}') as h, string_split_regex(t, '{quoted[k]}') as p, "
@@ -161,26 +159,45 @@ def _op1_sql() -> str:
     name = "case k " + " ".join(f"when {i} then '{k}'" for i, k in enumerate(secrets.KINDS)) + " end"
     steps = f"""unnest(list_transform(range(1, len(c) + 1), lambda i: {{
         'p': case when i = 1 then 0 else position(c[i - 1] in '{secrets.ALPHABET}') end, 'q': position(c[i] in '{secrets.ALPHABET}')}}))"""
+    ends = f"""unnest(list_transform(range(1, len(c) + 2), lambda i: {{'p': case when i = 1 then 0 else position(c[i - 1] in '{secrets.ALPHABET}') end,
+        'q': case when i = len(c) + 1 then 0 else position(c[i] in '{secrets.ALPHABET}') end}}))"""
+    at = lambda chars: ", ".join(str(secrets.ALPHABET.index(c) + 1) for c in chars)
+    small, up = (lambda x: f"{x} between {at('a')} and {at('z')}"), (lambda x: f"case when {x} = 0 then 0 else {x} - {secrets.ALPHABET.index('a')} end")
+    digits = f"(select unnest([{at('0123456789')}]) as d)"
+    forms = f"""
+  select p, q, n::double as n from pairs
+  union all select {up('p')}, {up('q')}, n from pairs where (p = 0 or {small('p')}) and (q = 0 or {small('q')})
+  union all select p, j, n / 4 from pairs, joints where q = 0
+  union all select {up('p')}, j, n / 4 from pairs, joints where q = 0 and {small('p')}
+  union all select j, q, n / 4 from pairs, joints where p = 0
+  union all select j, {up('q')}, n / 4 from pairs, joints where p = 0 and {small('q')}
+  union all select e.p, {up('s.q')}, e.n * s.n / greatest(1.0, (select sum(n) from pairs where p = 0 and {small('q')}))::double / 2
+            from pairs e, pairs s where e.q = 0 and s.p = 0 and {small('e.p')} and {small('s.q')}
+  union all select p, d, n / 200 from pairs, {digits} where q = 0 and {small('p')}
+  union all select {up('p')}, d, n / 200 from pairs, {digits} where q = 0 and {small('p')}
+  union all select d, 0, (select sum(n) from pairs where q = 0) / 200 from {digits}
+  union all select x.d, y.d, (select sum(n) from pairs where q = 0) / 2000 from {digits} x, {digits} y
+  union all select r, r, (select sum(n) from pairs where q = 0) / 20 from (select unnest([{at(secrets.RULES)}]) as r)"""
+    taken_out = secrets.FOUND.replace("'", "''")
+    mixed = lambda x: f"""({1 - secrets.MIX}::double * case when p{x} > 0 then {x} / p{x} else alone_{x} end + {secrets.MIX}::double * alone_{x})"""
+    alone = lambda x: f"({1 - secrets.MIX / 2}::double * case when n{x} > 0 then q{x} / n{x} else {1 / n}::double end + {secrets.MIX / 2 / n}::double)"
     listed = lambda which: f"coalesce(string_agg({name} || ':' || a || ':' || b, ',' order by a, k){which}, '')"
     return f"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t, md5(coalesce(cast(doc_id as varchar), text, '')) as h from documents),
 s as (select t from d where h <= (select max(h) from (select h from d order by h limit {secrets.SAMPLE_DOCS}))),
-w as (select string_split_regex(t, '[\\x20\\x09-\\x0D]+') as w from s),
-pairs as (select unnest(w) as x, unnest(w[2:] || [null]) as y from w),
-names as (select distinct x from (select x from pairs union all select x || '_' || lower(y) from pairs union all select x || '-' || lower(y) from pairs
-          union all select x || upper(y[1]) || lower(y[2:]) from pairs) where x <> '' and not ({held})),
-samples as (select x, true as random from ({values})
-            union all select to_base64(unhex(sha256(x))), true from (select distinct x from pairs)
-            union all select x, false from names),
-steps as (select random, {steps} as z from (select random, string_split(x, '') as c from samples where x <> '')),
-counts as (select z.p as p, z.q as q, count_if(random) as a, count_if(not random) as b from steps group by all),
-cells as (select p, q, coalesce(a, 0) as a, coalesce(b, 0) as b
-  from (select p, q from (select unnest(range({n})) as p) x, (select unnest(range({n})) as q) y) g left join counts using (p, q)),
+samples as (select x from ({values})
+            union all select to_base64(unhex(sha256(x))) from (select distinct unnest(string_split_regex(t, '[\\x20\\x09-\\x0D]+')) as x from s)),
+chance as (select z.p as p, z.q as q, count(*) as a from (select {ends} as z from (select string_split(x, '') as c from samples where x <> '')) group by all),
+words as (select x, count(*) as k from (select unnest(regexp_extract_all(regexp_replace(t, '{taken_out}', ' ', 'g'), '{secrets.TOKEN}')) as x from d) group by x),
+pairs as (select z.p as p, z.q as q, sum(k)::double as n from (select k, {ends} as z from (select k, string_split(x, '') as c from words)) group by all),
+joints as (select unnest([{at(secrets.JOINTS)}]) as j),
+usual as (select p, q, sum(n) as b from ({forms}) group by p, q),
+cells as (select p, q, coalesce(a, 0)::double as a, coalesce(b, 0)::double as b
+  from (select p, q from (select unnest(range({n})) as p) x, (select unnest(range({n})) as q) y) g left join chance using (p, q) left join usual using (p, q)),
 sums as (select *, sum(a) over (partition by p) as pa, sum(b) over (partition by p) as pb, sum(a) over (partition by q) as qa, sum(b) over (partition by q) as qb,
                 sum(a) over () as na, sum(b) over () as nb from cells),
-model as (select p, q, round(1000 * ln(
-    ((a + {secrets.BACK_OFF}::double * ((qa + {secrets.SMOOTHING}::double) / (na + {secrets.SMOOTHING * n}::double))) / (pa + {secrets.BACK_OFF}::double))
-  / ((b + {secrets.BACK_OFF}::double * ((qb + {secrets.SMOOTHING}::double) / (nb + {secrets.SMOOTHING * n}::double))) / (pb + {secrets.BACK_OFF}::double))))::bigint as ratio from sums),
+singles as (select *, {alone('a')} as alone_a, {alone('b')} as alone_b from sums),
+model as (select p, q, round(1000 * ln({mixed('a')} / {mixed('b')}))::bigint as ratio from singles),
 found as ({found}),
 placed as (select *, (sum(len(p)) over o + coalesce(sum(len(h)) over (partition by r, k order by i rows between unbounded preceding and 1 preceding), 0))::bigint as a
            from found window o as (partition by r, k order by i)),

@@ -25,7 +25,7 @@ def test_stages_take_effect(spark):
                 spark.createDataFrame(list(before.values()), docs.schema), bench).collect()}
         if name == "secrets":
             assert set(after) == set(before)
-            model = secrets.train(secrets.labelled_samples(docs))
+            model = secrets.learn(docs)
             assert secrets.scan(docs, model).where("n_access + n_hex > 0").count() == 0
             assert all(r.n_chars == len(r.text) for r in after.values() if r.text != before[r.doc_id].text)
         before = after
@@ -47,5 +47,20 @@ def test_null_and_repeated_rows_pass(spark):
         empty = empty.select(*P.COLUMNS)
 
 
-def test_queries_are_the_ten_operators():
-    assert [int(n[2:].split("_")[0]) for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+def test_rows_not_ids_decide(spark):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 80").orderBy("item_id").first()
+    item = "before the item " + bench.text + " and after it"
+    rows = [(None, item, "en", "a", 1), (None, item + " twice", "en", "a", 2), (None, "a clean text without an id, long enough to be told apart", "en", "a", 3),
+            (4, "a clean text of a repeated id that no one else holds", "en", "b", 4), (4, item, "en", "b", 5), (5, "x y z", "en", "b", 6)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    left = P.decontamination_stage(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted(r.n_chars for r in left) == [3, 4, 6]
+    same = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(7, same, None, None, 1), (7, same, None, None, 2), (None, same, None, None, 3), (3, same, None, None, 4), (3, "quite another text with words of its own in it", None, None, 5),
+            (None, None, None, None, 6), (None, "", None, None, 7)]
+    left = P.near_duplicate_stage(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted(r.n_chars for r in left) == [4, 5, 6] or sorted(r.n_chars for r in left) == [4, 5, 7]
+
+
+def test_queries_are_the_operators():
+    assert [int(n[2:].split("_")[0]) for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
