@@ -1,9 +1,10 @@
 """The corpus pipeline: quality, near-duplicates, contamination, secrets, mix.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage
-before it kept; all but the last return the columns of ``documents``.  A row
-with a null id passes the stages that judge by id (it can't be told from other
-such rows) and is judged by its text in the others.
+before it kept; all but the last return the columns of ``documents``.  Rows are
+judged one by one, under a number of their own: a row with a null id or with the
+id of another row stays or goes by its own text.  Of a near-duplicate group the
+row of the smallest id stays (null ids last), of rows with equal ids the first.
 """
 
 from __future__ import annotations
@@ -27,25 +28,36 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.select(*COLUMNS).where(quality.score_column(F.col("text"), net) >= quality.THRESHOLD)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row, written so that it stays the same in every later read."""
+    return materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "numbered-rows")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The numbered rows but for those in ``gone``."""
+    return docs.join(materialize(gone.select("row").distinct(), "gone"), "row", "left_anti").select(*COLUMNS)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each SimHash group the document of the smallest id."""
-    groups = simhash_dedup.simhash_groups(docs)
-    gone = materialize(groups.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keep one row of each SimHash group."""
+    rows = numbered(docs)
+    groups = simhash_dedup.simhash_groups(rows, id_col="row").select("row", "component_id")
+    groups = materialize(groups.join(rows.select("row", "doc_id"), "row"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    kept = groups.groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
+    return without(rows, groups.select("row").join(kept, "row", "left_anti"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
-    found = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
-    gone = materialize(found.select("doc_id").distinct(), "contaminated")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Drop rows that hold a benchmark item."""
+    rows = numbered(docs)
+    return without(rows, decontaminate.find_contamination(rows, _table(spark, sf_dir, "benchmark"), id_col="row"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts; every document stays."""
-    model = secrets.train(secrets.labelled_samples(docs))
-    clean = secrets.redact(docs.select(*COLUMNS, F.col("text").alias("_was")), model)
-    length = F.when(F.col("text") == F.col("_was"), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
+    clean = secrets.redact(docs.select(*COLUMNS, F.col("text").alias("was")), secrets.learn(docs))
+    length = F.when(F.col("text") == F.col("was"), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
     return clean.select("doc_id", "text", "lang", "source", F.coalesce(length, F.col("n_chars")).alias("n_chars"))
 
 
