@@ -128,13 +128,10 @@ class Odds:
     stem: np.ndarray
     stem_var: np.ndarray
 
-    def score(self, bucket: int) -> int:
-        """A word's whole score, where it is new evidence."""
-        w, s = divmod(bucket, BUCKETS)
-        own, drawn = 1 / self.word_var[w], 1 / (self.stem_var[s] + SPREAD ** 2)
-        mean = (own * self.word[w] + drawn * self.stem[s]) / (own + drawn)
-        sure = max(abs(mean) - SHRINK / (own + drawn) ** 0.5, 0.0)
-        return round(UNIT * ((sure if mean > 0 else -sure) - DRIFT))
+    def parts(self) -> tuple[list[float], ...]:
+        """Per bucket the weight and weighted value of a word's own counts, and of its stem's."""
+        own, drawn = 1 / self.word_var, 1 / (self.stem_var + SPREAD ** 2)
+        return own.tolist(), (own * self.word).tolist(), drawn.tolist(), (drawn * self.stem).tolist()
 
 
 NOTHING = round(-UNIT * DRIFT)         # the score of a word that is no evidence
@@ -143,15 +140,21 @@ NOTHING = round(-UNIT * DRIFT)         # the score of a word that is no evidence
 class Scores(dict):
     """Word -> score, remembered per task like ``_Buckets``."""
 
-    def __init__(self, odds: Odds) -> None:
+    def __init__(self, odds: Odds | None) -> None:
         super().__init__()
-        self.odds, self.buckets = odds, _Buckets()
+        self.own, self.own_sum, self.drawn, self.drawn_sum = odds.parts() if odds else ([], [], [], [])
 
     def __missing__(self, word: str) -> int:
+        """A word's whole score, where it is new evidence."""
         if len(self) >= CACHE:
             self.clear()
-        s = self[word] = self.odds.score(self.buckets[word])
-        return s
+        low = word.lower()
+        w, s = _bucket(low), _bucket("^" + low[:STEM])
+        weight = self.own[w] + self.drawn[s]
+        mean = (self.own_sum[w] + self.drawn_sum[s]) / weight
+        sure = max(abs(mean) - SHRINK / weight ** 0.5, 0.0)
+        score = self[word] = round(UNIT * ((sure if mean > 0 else -sure) - DRIFT))
+        return score
 
     def of(self, text: str | None) -> np.ndarray:
         """The scores of a text's words: a word within ``NEAR`` words of its last place is no new evidence."""
@@ -159,7 +162,7 @@ class Scores(dict):
         scores = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         last: dict[int, int] = {}
         for i in np.flatnonzero(scores != NOTHING).tolist():
-            bucket = self.buckets[words[i]] // BUCKETS
+            bucket = _bucket(words[i].lower())
             if i - last.get(bucket, -NEAR - 1) <= NEAR:
                 scores[i] = NOTHING
             last[bucket] = i

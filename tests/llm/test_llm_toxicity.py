@@ -61,7 +61,7 @@ def test_repeated_words_are_no_new_evidence():
     known = T.Scores(T.Odds(flat(3.0), flat(0.01), flat(0.0), flat(100.0)))
     apart = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(100, 100 + T.NEAR)]
     scores = known.of(" ".join(["rude", "one", "RUDE", *apart, "rude"]))
-    assert scores[0] == scores[-1] == known.odds.score(known.buckets["rude"]) > 0 and scores[2] == T.NOTHING
+    assert scores[0] == scores[-1] == known["rude"] > 0 and scores[2] == T.NOTHING
     assert known.of(None).tolist() == known.of("").tolist() == known.of("12 _").tolist() == []
 
 
