@@ -24,11 +24,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import duck_oracle as duck  # noqa: E402
 from ledgerline.config import Config  # noqa: E402
-from ledgerline.operators import (business, churn, cohorts, facts, metrics,  # noqa: E402
+from ledgerline.operators import (bitmaps, business, churn, cohorts, metrics,  # noqa: E402
                                   obt, quality, revenue, scd2, staging, usage, vault)
-from ledgerline.sources.store import TableStore, newer_than, upsert  # noqa: E402
+from ledgerline.sources.merging import newer_than  # noqa: E402
+from ledgerline.sources.store import TableStore  # noqa: E402
 from ledgerline.plans import batches  # noqa: E402
-from ledgerline.plans.warehouse import Warehouse  # noqa: E402
+from ledgerline.plans.warehouse import FACTS, LOAD_MONTH, PARTITION, Warehouse, fact_rows, load_vault  # noqa: E402
 from ledgerline.session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 # The training-data operators are an optional subpackage: without it, or without
@@ -177,14 +178,55 @@ def _event_history(name: str):
     return run
 
 
+def _scratch(spark: SparkSession, label: str) -> TableStore:
+    return TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+
+
 def _partition_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IO6, IO9 on disk: a fact in month partitions (NULL among them) merged with
-    a batch of moved keys, NULL months and a new column."""
-    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/partition-merge-{uuid.uuid4().hex}"
-    store = TableStore(spark, scratch)
+    """IO6, IO9 on disk: a fact in partitions of its key, merged with a batch of
+    moved and NULL months, a new column and changed types."""
+    store = _scratch(spark, "partition-merge")
+    part = F.concat(F.lit("p"), F.pmod(F.xxhash64("subscription_event_sk"), F.lit(16)))
     for batch in batches.partition_batches(_wh(spark, sf_dir).t("fct_subscriptions")):
-        store.merge_partitions("facts", "fct_subscriptions", batch, ["subscription_event_sk"], "partition_month", f"{scratch}/stage")
-    return store.read("facts", "fct_subscriptions")
+        store.merge("facts", "fct_subscriptions", batch.withColumn("key_part", part), ["subscription_event_sk"], ["key_part"])
+    return store.read("facts", "fct_subscriptions").drop("key_part")
+
+
+def _satellite_event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SA4 stored: the event satellite loaded in two increments behind the mark, the
+    second one twice, with end dates."""
+    store, raw = _scratch(spark, "event-satellite"), _wh(spark, sf_dir).raw["events"]
+    old, every = (staging.stg_events(batches.events_batch(raw, n)) for n in (1, 2))
+    load_vault(store, "sat_event_details", old, batches.CUSTOMER_RUNS[0])
+    for _ in range(2):
+        load_vault(store, "sat_event_details", newer_than(every, old), batches.CUSTOMER_RUNS[1])
+    return vault.with_end_dates(store.read("raw_vault", "sat_event_details").drop(vault.KEY_PART, LOAD_MONTH))
+
+
+def _usage_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MU3-MU5 from stored day bitmaps: all days, then the last days once more, as
+    after late events; daily, weekly and monthly actives by OR."""
+    store, w, c = _scratch(spark, "bitmaps"), _wh(spark, sf_dir), _cfg()
+    events = materialize(usage.recent_events(w.t("fct_events"), c.as_of, c.usage_years_back).select("event_date", "customer_sk"), "recent-events")
+    numbers = materialize(bitmaps.dense_numbers(events), "customer-numbers")
+    cut = F.lit(batches.EVENT_CUTOFF).cast("date")
+    bitmaps.refresh_days(store, bitmaps.day_bitmaps(events.where((F.col("event_date") <= cut) | (F.hash("customer_sk") % 2 == 0)), numbers))
+    days = bitmaps.refresh_days(store, bitmaps.day_bitmaps(events.where(F.col("event_date") > cut), numbers))
+    return bitmaps.rolling_actives(days)
+
+
+def _monthly_actives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ME11 by month from day bitmaps."""
+    events = _wh(spark, sf_dir).t("fct_events").select(F.col("event_date_key").alias("event_date"), "customer_sk")
+    events = materialize(events, "events")
+    days = bitmaps.day_bitmaps(events, bitmaps.dense_numbers(events))
+    return bitmaps.actives(days, F.trunc("event_date", "month"), "metric_time__month", "active_users")
+
+
+def _event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3: typed values of event properties, some of them malformed."""
+    raw = batches.odd_properties(_wh(spark, sf_dir).raw["events"])
+    return staging.property_values(staging.stg_events(raw), {"k_number": ("$.k", "int"), "k_text": ("$.k", "string"), "second": ("$[1]", "bigint")})
 
 
 def _hub_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,31 +242,19 @@ def _hub_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_load(table: str, batch_fn, n_batches: int):
-    """IO6 + IO8: a fact loaded in batches (high-water mark, merge on its key)."""
-    key = {"fct_events": "event_sk", "fct_invoices": "invoice_sk",
-           "fct_subscriptions": "subscription_event_sk"}[table]
-    raw_name = {"fct_events": "events", "fct_invoices": "invoices",
-                "fct_subscriptions": "subscriptions"}[table]
+    """IO6 + IO8: a stored fact loaded in batches (high-water mark, merge on its key)."""
+    raw_name, key, _ = FACTS[table]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_checkpoint_dir(spark)
+        store = _scratch(spark, "split-load")
         w = _wh(spark, sf_dir)
         # the dimensions a fact load looks up are written before the loads (as in a run)
         for dim in ("customer_keys", "subscription_keys", "dim_product"):
             w.put(dim, materialize(w.t(dim), dim))
-        target = None
         for n in range(1, n_batches + 1):
-            stg = staging.STAGERS[raw_name](batch_fn(w.raw[raw_name], n))
-            if table == "fct_events":
-                inc = facts.fct_events(stg, w.t("event_types"), w.t("customer_keys"), w.t("subscription_keys"), target)
-            elif table == "fct_invoices":
-                inc = facts.fct_invoices(stg, w.t("customer_keys"), w.t("subscription_keys"), w.t("dim_plan"), target)
-            else:
-                inc = facts.fct_subscriptions(stg, w.t("customer_keys"), w.t("dim_product"), w.t("dim_plan"), target)
-            target = upsert(target, inc, [key])
-            if n < n_batches:   # cut the lineage between batches: a table in spark.checkpoint.dir
-                target = materialize(target, f"{table}-batch{n}")
-        return target
+            w.put(f"stg_{raw_name}", staging.STAGERS[raw_name](batch_fn(w.raw[raw_name], n)))
+            store.merge("facts", table, fact_rows(w, table, store.mark("facts", table)), [key], [PARTITION])
+        return store.read("facts", table).drop(PARTITION)
     return run
 
 
@@ -236,6 +266,10 @@ def _batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sat_customer_history": _customer_satellite_history,
         "hub_event_history": _event_history("hub_event"),
         "lnk_subscription_event_history": _event_history("lnk_subscription_event"),
+        "sat_event_history": _satellite_event_history,
+        "stg_event_properties": _event_properties,
+        "usage_bitmap_actives": _usage_bitmaps,
+        "metric_monthly_active_users": _monthly_actives,
         "fct_subscriptions_partition_merge": _partition_merge,
         "hub_customer_history": _hub_history,
         "fct_events_split_load": _split_load("fct_events", batches.events_batch, 3),
@@ -275,9 +309,18 @@ def _events_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.fill_spine(daily, w.t("time_spine"), "metric_time__day", ["total_events"])
 
 
+def _metrics_by_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ME5: metrics of two models side by side, one of them filtered."""
+    w = _wh(spark, sf_dir)
+    tables = {n: w.t(n) for n in ("fct_invoices", "fct_subscriptions")}
+    return metrics.metrics_query(tables, ("mrr", "invoice_count", "active_subscriptions", "subscription_mrr"), ("plan_code",), "month",
+                                 {"fct_invoices_sm": F.col("is_paid"), "fct_subscriptions_sm": F.col("status") != "cancelled"})
+
+
 def _metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {n: _metric(*spec) for n, spec in METRIC_QUERIES.items()}
     out["metric_total_events_filled"] = _events_filled
+    out["metrics_by_plan"] = _metrics_by_plan
     return out
 
 

@@ -39,6 +39,7 @@ class Config:
     churn_years_back: int = 3
     usage_years_back: int = 2
     cohort_max_months: int = 24
+    vault_key_digits: int = 1      # stored vault tables have 16 ** digits key partitions
 
     @staticmethod
     def fixtures(root: str | None = None) -> "Config":

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key, ts_surrogate_key
-from ..sources.store import newer_than
+from ..sources.merging import newer_than
 from .business import dec_div
 from .dimensions import current
 

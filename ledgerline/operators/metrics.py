@@ -118,6 +118,38 @@ def metric_query(tables: dict[str, DataFrame], metric: str, by: tuple = (),
             .agg(agg.alias(metric)))
 
 
+def metrics_query(tables: dict[str, DataFrame], metrics: tuple, by: tuple = (), grain: str = "day",
+                  where: dict[str, Column] | None = None) -> DataFrame:
+    """ME5 over several metrics: one row per ``metric_time__<grain>`` and shared dimensions.
+
+    Metrics (or measures by name) of one semantic model are one aggregation of its
+    table, behind that model's filter in ``where`` (by model name).  The models'
+    results, small by then, are stacked and folded by time and dimensions, which
+    meets NULL dimensions as equal; a metric without rows is NULL.  Every
+    dimension must be one of every model's.
+    """
+    per_model: dict[str, list[tuple[str, Measure]]] = {}
+    for name in metrics:
+        sm, measure = measure_model(METRICS[name].measure if name in METRICS else name)
+        per_model.setdefault(sm.name, []).append((name, measure))
+    unknown = set(where or {}) - set(per_model)
+    if unknown:
+        raise ValueError(f"filters for models that no metric reads: {sorted(unknown)}")
+    time = f"metric_time__{grain}"
+    stack = None
+    for model, measures in per_model.items():
+        sm = SEMANTIC_MODELS[model]
+        for d in by:
+            if d not in sm.dimensions:
+                raise ValueError(f"{d} is not a dimension of {model}")
+        rows = tables[sm.table]
+        if where and model in where:
+            rows = rows.filter(where[model])
+        rows = rows.groupBy(time_bucket(sm.time_dimension, grain).alias(time), *by).agg(*[m.column().alias(n) for n, m in measures])
+        stack = rows if stack is None else stack.unionByName(rows, allowMissingColumns=True)
+    return stack.groupBy(time, *by).agg(*[F.max(n).alias(n) for n in metrics])
+
+
 def fill_spine(df: DataFrame, spine: DataFrame, time_col: str, value_cols: list[str],
                spine_col: str = "date_day") -> DataFrame:
     """ME13: one row per spine day, missing values filled with 0."""

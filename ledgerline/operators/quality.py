@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_ts
@@ -100,3 +101,55 @@ NOT_NULL_STAGING = {
     "products": ["product_id", "product_name", "plan_code"],
 }
 ACCEPTED_STATUS = ["active", "cancelled", "paused", "trialing", "past_due"]
+
+
+class BuildChecks:
+    """Row checks counted while a build writes its tables (``DataFrame.observe``).
+
+    ``raw``, ``stg`` and ``rows`` return the frame with its checks attached; the
+    counts are there when the first action on that frame, a write that reads all
+    its rows, is done.  No row is read for a check alone.  ``skipped`` frames count 0.
+    """
+
+    def __init__(self, as_of: dt.datetime):
+        self.as_of = as_of
+        self._held: dict[str, tuple[Observation, list[str]]] = {}
+        self._zero: list[str] = []
+
+    def _checks(self, layer: str, table: str) -> dict[str, Column]:
+        nulls = (NOT_NULL_SOURCE if layer == "raw" else NOT_NULL_STAGING)[table]
+        out = {f"not_null.{layer}.{table}.{c}": F.count_if(F.col(c).isNull()) for c in nulls}
+        if (layer, table) == ("stg", "events"):
+            out["events_not_in_future"] = F.count_if(F.col("occurred_at") > lit_ts(self.as_of))
+        if (layer, table) == ("stg", "subscriptions"):
+            odd = F.when(~F.col("status").isin(*ACCEPTED_STATUS), F.col("status"))     # one violation a value
+            out["accepted_values.subscriptions.status"] = F.size(F.collect_set(odd)).cast("bigint")
+        return out
+
+    def _observe(self, name: str, df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+        observation = Observation(name)
+        self._held[name] = (observation, list(checks))
+        return df.observe(observation, *[c.alias(f"c{i}") for i, c in enumerate(checks.values())])
+
+    def raw(self, table: str, df: DataFrame) -> DataFrame:
+        return self._observe(f"raw.{table}", df, self._checks("raw", table))
+
+    def stg(self, table: str, df: DataFrame) -> DataFrame:
+        return self._observe(f"stg.{table}", df, self._checks("stg", table))
+
+    def invoices(self, fct_invoices: DataFrame) -> DataFrame:
+        below = (F.col("mrr_contribution_usd") < 0) & (F.col("is_refunded") == F.lit(False))
+        return self._observe("fct_invoices", fct_invoices, {"mrr_non_negative": F.count_if(below)})
+
+    def skipped(self, table: str) -> None:
+        self._zero += [*self._checks("raw", table), *self._checks("stg", table)]
+
+    def counts(self) -> list[tuple[str, int]]:
+        found = []
+        for observation, names in self._held.values():
+            try:
+                values = observation.get
+            except Py4JJavaError:      # Spark left an empty frame out of its plan, and the checks with it
+                values = {}
+            found += [(name, values.get(f"c{i}", 0)) for i, name in enumerate(names)]
+        return found + [(name, 0) for name in self._zero]

@@ -1,8 +1,8 @@
 """MR1-MR4: monthly revenue, MRR movements, NRR/GRR.
 
 MR1 aggregates invoices to one row per (month, plan, tier, customer,
-subscription).  MR2 compares each row with the same subscription's row
-of the previous calendar month (a keyed ``lag``, see ``mrr_movements``).  MR4's
+subscription).  MR2 compares each subscription's month with its previous
+calendar month (a keyed window, see ``mrr_movements``).  MR4's
 window partitions by plan (a handful of groups over month rows, i.e.
 tiny after aggregation).
 """
@@ -36,31 +36,31 @@ def monthly_invoices(fct_invoices: DataFrame) -> DataFrame:
 def mrr_movements(monthly: DataFrame) -> DataFrame:
     """MR2: new / expansion / contraction / churned MRR vs the previous month.
 
-    The previous month's row of the same (customer_sk, subscription_sk) is
-    found with ``lag`` over that key ordered by month, kept only when it is
-    exactly one calendar month earlier.  This equals the equi-join on
-    (customer_sk, subscription_sk, month - 1) because MR1 holds one row per
-    (customer_sk, subscription_sk, month): plan and tier are functions of
-    the subscription key.  One shuffle on the key, and MR1 is computed once
-    (a self-join would plan its input twice).  A key holds at most one row
-    per month, so even the ``'UNKNOWN'`` key is a short window.
+    A key's (customer_sk, subscription_sk) months are compared as sums: the
+    previous calendar month is a range of one month over the key's months, and
+    where a month has several rows, as after an edit of a plan's tier, the
+    movement of their sum is booked once, on the row of the highest MRR (ties by
+    tier, then plan).  One shuffle on the key; MR1 is computed once.  A key
+    holds few rows a month, so even the ``'UNKNOWN'`` key is a short window.
     """
-    w = Window.partitionBy("customer_sk", "subscription_sk").orderBy("revenue_month")
-    prev_month = F.lag("revenue_month").over(w)
-    prev_mrr = F.lag("mrr_usd").over(w)
-    j = monthly.withColumn(
-        "p_mrr", F.when(F.add_months(prev_month, 1) == F.col("revenue_month"), prev_mrr))
-    cur, p = F.col("mrr_usd"), F.col("p_mrr")
+    month = F.year("revenue_month") * 12 + F.month("revenue_month")
+    key = Window.partitionBy("customer_sk", "subscription_sk")
+    of_month = Window.partitionBy("customer_sk", "subscription_sk", "revenue_month")
     zero = F.lit(0).cast(MONEY8)
+    j = monthly.withColumn("p_mrr", F.sum("mrr_usd").over(key.orderBy(month).rangeBetween(-1, -1)).cast(MONEY8))
+    j = j.withColumn("month_mrr", F.sum("mrr_usd").over(of_month).cast(MONEY8))
+    j = j.withColumn("books", F.row_number().over(of_month.orderBy(F.desc("mrr_usd"), F.desc("tier_level"), F.desc("plan_code"))) == 1)
+    cur, p, books = F.col("month_mrr"), F.col("p_mrr"), F.col("books")
+    booked = lambda condition, amount: F.when(books & condition, amount).otherwise(zero).cast(MONEY8)
     return j.select(
         "revenue_month", "plan_code", "tier_level", "customer_sk", "subscription_sk",
-        cur.alias("current_mrr"),
-        F.coalesce(p, zero).alias("prior_mrr"),
-        (cur - F.coalesce(p, zero)).cast(MONEY8).alias("mrr_change"),
-        F.when(p.isNull() & (cur > 0), cur).otherwise(zero).cast(MONEY8).alias("new_mrr"),
-        F.when((p > 0) & (cur > p), cur - p).otherwise(zero).cast(MONEY8).alias("expansion_mrr"),
-        F.when((p > 0) & (cur < p) & (cur > 0), p - cur).otherwise(zero).cast(MONEY8).alias("contraction_mrr"),
-        F.when((p > 0) & (cur == 0), p).otherwise(zero).cast(MONEY8).alias("churned_mrr"),
+        F.col("mrr_usd").alias("current_mrr"),
+        booked(p.isNotNull(), p).alias("prior_mrr"),
+        booked(F.lit(True), cur - F.coalesce(p, zero)).alias("mrr_change"),
+        booked(p.isNull() & (cur > 0), cur).alias("new_mrr"),
+        booked((p > 0) & (cur > p), cur - p).alias("expansion_mrr"),
+        booked((p > 0) & (cur < p) & (cur > 0), p - cur).alias("contraction_mrr"),
+        booked((p > 0) & (cur == 0), p).alias("churned_mrr"),
         "collected_usd", "refunded_usd", "paid_count", "failed_count")
 
 

@@ -50,7 +50,7 @@ def scd2_check(history: DataFrame | None, incoming: DataFrame, key: str,
 
     ``history`` may also be just the open versions: the result is then the
     versions this run closes plus the new open set, which lets a store keep
-    closed history append-only (``plans.warehouse._snapshot_run``).
+    closed history append-only (``plans.warehouse.snapshot_run``).
     """
     payload = list(incoming.columns)
     if history is None:

@@ -57,7 +57,7 @@ def stg_subscriptions(raw: DataFrame) -> DataFrame:
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
-    """ST3.  ``event_properties`` stays JSON text (``try_parse_json`` on demand)."""
+    """ST3.  ``event_properties`` stays the text as it came; ``event_variants`` reads it."""
     return raw.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
@@ -75,6 +75,24 @@ def stg_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def event_variants(stg: DataFrame) -> DataFrame:
+    """ST3: events with their properties as a VARIANT, NULL where the text is no JSON."""
+    return stg.withColumn("event_properties", F.try_parse_json("event_properties"))
+
+
+def property_values(stg: DataFrame, paths: dict[str, tuple[str, str]], keys: tuple = ("event_id",)) -> DataFrame:
+    """Typed values of event properties: ``paths`` maps a column to (path, type).
+
+    The text is parsed once a row into a VARIANT; a value that is missing or doesn't
+    cast to its type is NULL.  ``is_json`` tells malformed text, ``json_type`` the
+    variant's own type.
+    """
+    v = F.col("event_properties")
+    return event_variants(stg.select(*keys, "event_properties")).select(
+        *keys, v.isNotNull().alias("is_json"), F.schema_of_variant(v).alias("json_type"),
+        *[F.try_variant_get(v, path, kind).alias(name) for name, (path, kind) in paths.items()])
+
+
 def stg_invoices(raw: DataFrame) -> DataFrame:
     """ST4."""
     return raw.select(

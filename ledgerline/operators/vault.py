@@ -9,7 +9,10 @@ Scale notes
 * Hubs/links deduplicate on ``hash_key`` (partial aggregation map-side)
   and anti-join the target on the same key; one column of the target is read.
   Append-only entities (events) hand in only the rows newer than the target's
-  load mark (``sources.store.newer_than``).
+  load mark (``sources.merging.newer_than``).
+* Stored tables are partitioned by the head of the hash key (``key_part``); a load
+  reads the partitions of its own keys only (``stored_part``), so a small increment
+  reads a small share of a long history.
 * Satellites reduce a batch to one row per key and compare it with the *latest*
   stored row per key, a per-key aggregate joined once -- not with every row of
   an open end date, which re-inserts changed keys on every run.  Rows are
@@ -27,7 +30,29 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import lit_ts
 from ..functions.keys import hash_key, hashdiff
-from ..sources.store import latest_per_key, upsert
+from ..sources.merging import latest_per_key, upsert
+from ..sources.store import one_of
+
+
+KEY_PART = "key_part"
+
+
+def with_key_part(rows: DataFrame, digits: int) -> DataFrame:
+    """Rows with their partition, the first hex digits of the hash key."""
+    return rows.withColumn(KEY_PART, F.concat(F.lit("k"), F.substring("hash_key", 1, digits)))
+
+
+def stored_part(stored: DataFrame | None, rows: DataFrame) -> DataFrame | None:
+    """The stored rows in the partitions of ``rows``; their names, 16 to the power of
+    the digits at most, go to the driver, so the scan is pruned before it starts."""
+    if stored is None:
+        return None
+    return stored.where(one_of(KEY_PART, [r[0] for r in rows.select(KEY_PART).distinct().collect()]))
+
+
+def not_stored(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Rows of keys that the stored table doesn't have."""
+    return rows if stored is None else rows.join(stored.select("hash_key"), "hash_key", "left_anti").select(rows.columns)
 
 
 # ---------------------------------------------------------------- hubs
@@ -48,9 +73,7 @@ def load_hub(src: DataFrame, spec: HubSpec, load_ts: dt.datetime,
                 lit_ts(load_ts).alias("load_date"),
                 F.lit(spec.record_source).alias("record_source"))
             .dropDuplicates(["hash_key"]))
-    if target is not None:
-        rows = rows.join(target.select("hash_key"), "hash_key", "left_anti")
-    return rows
+    return not_stored(rows, target)
 
 
 # Hub declarations (business key, record source).
@@ -85,9 +108,7 @@ def load_link(src: DataFrame, spec: LinkSpec, load_ts: dt.datetime,
                 lit_ts(load_ts).alias("load_date"),
                 F.lit(spec.record_source).alias("record_source"))
             .dropDuplicates(["hash_key"]))
-    if target is not None:
-        rows = rows.join(target.select("hash_key"), "hash_key", "left_anti")
-    return rows
+    return not_stored(rows, target)
 
 
 # Link declarations.
@@ -137,7 +158,11 @@ def load_satellite(src: DataFrame, spec: SatelliteSpec, load_ts: dt.datetime,
     ``updated_at``, else ``_loaded_at`` (ties by the other columns).
     """
     order = [c for c in ("updated_at", "_loaded_at") if c in src.columns]
-    rows = satellite_rows(latest_per_key(src, [spec.business_key], order), spec, load_ts)
+    return changed(satellite_rows(latest_per_key(src, [spec.business_key], order), spec, load_ts), target)
+
+
+def changed(rows: DataFrame, target: DataFrame | None) -> DataFrame:
+    """Satellite rows whose digest differs from the latest stored one of their key."""
     if target is None:
         return rows
     stored = (target.groupBy("hash_key").agg(F.max(F.struct("load_date", "hashdiff")).alias("t"))

@@ -94,19 +94,32 @@ def customers_corrected(raw: DataFrame) -> DataFrame:
 
 
 def partition_batches(fct: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two batches of the subscription fact for a partitioned merge: the first
-    has NULL months for every seventh key; the second moves every fifth key by a
-    month (and every 35th out of NULL), sets every sixth to NULL, and has a new
-    column."""
+    """Two batches of the subscription fact for a stored merge: the first has NULL
+    months for every seventh key; the second moves every fifth key by a month (and
+    every 35th out of NULL), sets every sixth to NULL, has a new column, a wider
+    number and a flag that has turned to text."""
     k = F.col("subscription_id").cast("bigint")
     month = F.trunc("start_date_key", "month")
     first = fct.withColumn("partition_month", F.when(k % 7 != 0, month))
     second = (fct.filter((k % 5 == 0) | (k % 6 == 0))
               .withColumn("partition_month", F.when(k % 6 != 0, F.add_months(month, 1)))
-              .withColumn("sales_channel", F.concat(F.lit("channel "), (k % 3).cast("string"))))
+              .withColumn("sales_channel", F.concat(F.lit("channel "), (k % 3).cast("string")))
+              .withColumn("mrr_usd", F.col("mrr_usd").cast("decimal(22,4)"))
+              .withColumn("is_churned", F.when(F.col("is_churned"), "true").otherwise("false")))
     return first, second
 
 
+def odd_properties(raw: DataFrame) -> DataFrame:
+    """Events of which every seventh has cut-off JSON, every eleventh a number as
+    text, every thirteenth a list, and every seventeenth none."""
+    e, p = F.col("event_id"), F.col("properties")
+    k = F.get_json_object("properties", "$.k")
+    return raw.withColumn("properties", F.when(e % 17 == 0, F.lit(None).cast("string"))
+                          .when(e % 13 == 0, F.concat(F.lit("[1, "), k, F.lit("]")))
+                          .when(e % 11 == 0, F.concat(F.lit('{"k": "'), k, F.lit('"}')))
+                          .when(e % 7 == 0, F.expr("substring(properties, 1, length(properties) - 1)")).otherwise(p))
+
+
 def dirty(raw: dict[str, DataFrame], table: str, load_ts: dt.datetime) -> dict[str, DataFrame]:
     """The raw tables with faults in one of them that a data check must find:
     repeated customers, an unknown subscription status, paid invoices below

@@ -2,22 +2,17 @@
 
 ``Warehouse.t(name)`` returns any table of the dependency graph as a lazy
 DataFrame built from the raw tables (one full build: first vault load,
-first snapshot run).  ``run`` materialises the same graph level by level
-through a ``TableStore``: each level is written once and downstream
-levels read the written files, which cuts lineage and lets a lost
-executor recompute at most one level.
-
-Level order (each depends only on earlier ones):
-  0 raw, seeds            1 staging (never materialised), dim_plan
-  2 vault, snapshots, dim_product, dim_date
-  3 business vault        4 dim_customer, dim_subscription
-  5 facts                 6 marts, cohort retention
+first snapshot run).  ``run`` writes the same graph through a ``TableStore`` in
+the order of its dependencies: reference tables, vault, snapshots, business
+vault, dimensions, facts, marts.  Each table is written once and later ones read
+the written files, which cuts lineage and lets a lost executor recompute at
+most one table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +22,9 @@ from ..operators import (business, churn, cohorts, dimensions, facts, obt,
                          quality, revenue, scd2, staging, usage, vault)
 from ..sources import seeds
 from ..sources.fixtures import raw_tables
-from ..sources.store import TableStore, newer_than
+from ..session import materialize
+from ..sources.merging import newer_than
+from ..sources.store import TableStore
 
 VAULT_TABLES = list(vault.HUBS) + list(vault.LINKS) + list(vault.SATELLITES)
 VAULT_SOURCE = {**vault.HUB_SOURCE, **vault.LINK_SOURCE, **vault.SATELLITE_SOURCE}
@@ -118,14 +115,12 @@ class Warehouse:
 REFERENCE_TABLES = [("ref_data", "dim_plan"), ("dimensions", "dim_product"), ("dimensions", "dim_date")]
 SNAPSHOTS = {"snp_customers": ("customers", scd2.snp_customers),
              "snp_subscriptions": ("subscriptions", scd2.snp_subscriptions)}
-REBUILT = [("business_vault", "bv_customer_lifetime"), ("business_vault", "bv_subscription_health"),
-           ("dimensions", "dim_customer"), ("dimensions", "dim_subscription")]
-FACTS = {  # name: (source entity, unique key, date the month partition derives from)
+FACTS = {  # name: (source entity, unique key, the date of its month partition, which never changes for a key)
     "fct_events": ("events", "event_sk", "event_date_key"),
     "fct_invoices": ("invoices", "invoice_sk", "invoice_date_key"),
-    "fct_subscriptions": ("subscriptions", "subscription_event_sk", "start_date_key"),
+    "fct_subscriptions": ("subscriptions", "subscription_event_sk", "updated_at"),
 }
-PARTITION, LOAD_DAY = "partition_month", "load_day"
+PARTITION, LOAD_MONTH = "partition_month", "load_month"
 # The order in which published results are read (descending: "-").
 READING_ORDER = {
     "mart_revenue": ("-revenue_month", "-tier_level"),
@@ -142,136 +137,161 @@ def in_reading_order(name: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*order) if order else df
 
 
-def _vault_change(store: TableStore, wh: Warehouse, name: str, load_ts: dt.datetime, staging_dir: str) -> str:
-    """Load one vault table into the store.
+def load_vault(store: TableStore, name: str, stg: DataFrame, load_ts: dt.datetime, key_digits: int = 1) -> None:
+    """Load the rows of one staged extract or increment into a stored vault table.
 
-    Events are append-only, so their hub, link and satellite look only at rows
-    loaded after the stored table's mark; the other entities deliver full
-    extracts.  Hubs and links append; a satellite merges on (hash_key,
-    load_date) into the partition of its load day, the only one it can touch.
+    Hubs and links append new keys; a satellite merges changed rows on (hash_key,
+    load_date).  After the first load the extract's rows are written once, and of
+    the stored table only the partitions that they fall into are read.
     """
-    src = wh.t("stg_" + VAULT_SOURCE[name])
-    if VAULT_SOURCE[name] == "events":
-        src = newer_than(src, store.mark("raw_vault", name))
-        mark = src.agg(F.max("_loaded_at")).first()[0]
-        if mark is None and store.exists("raw_vault", name):
-            return store.table_path("raw_vault", name)
+    by = [vault.KEY_PART] + ([LOAD_MONTH] if name in vault.SATELLITES else [])
+    if name in vault.SATELLITES:
+        store.finish("raw_vault", name)
+        rows = vault.load_satellite(stg, vault.SATELLITES[name], load_ts).withColumn(LOAD_MONTH, F.trunc("load_date", "month"))
     else:
-        mark = None
+        rows = (vault.load_hub(stg, vault.HUBS[name], load_ts) if name in vault.HUBS
+                else vault.load_link(stg, vault.LINKS[name], load_ts))
+    rows = vault.with_key_part(rows, key_digits)
     stored = store.read("raw_vault", name)
-    if name in vault.HUBS:
-        return store.append("raw_vault", name, vault.load_hub(src, vault.HUBS[name], load_ts, stored), mark)
-    if name in vault.LINKS:
-        return store.append("raw_vault", name, vault.load_link(src, vault.LINKS[name], load_ts, stored), mark)
-    rows = vault.load_satellite(src, vault.SATELLITES[name], load_ts, stored)
-    return store.merge_partitions("raw_vault", name, rows.withColumn(LOAD_DAY, F.col("load_date").cast("date")),
-                                  ["hash_key", "load_date"], LOAD_DAY, staging_dir, mark=mark, keys_move=False)
+    if stored is None:
+        store.write("raw_vault", name, rows, by)
+        return
+    rows = materialize(rows, f"{name}-extract")
+    stored = vault.stored_part(stored, rows)
+    if name in vault.SATELLITES:
+        store.merge("raw_vault", name, vault.changed(rows, stored), ["hash_key", "load_date"], by, mark_col=None)
+    else:
+        store.append("raw_vault", name, vault.not_stored(rows, stored), by)
 
 
-def _fact_rows(wh: Warehouse, name: str, mark: dt.datetime | None) -> DataFrame:
+def fact_rows(wh: Warehouse, name: str, mark: dt.datetime | None) -> DataFrame:
+    """A fact's rows loaded after ``mark``, with their month partition."""
     t = wh.t
     if name == "fct_events":
-        return facts.fct_events(t("stg_events"), t("event_types"), t("customer_keys"),
-                                t("subscription_keys"), mark)
-    if name == "fct_invoices":
-        return facts.fct_invoices(t("stg_invoices"), t("customer_keys"), t("subscription_keys"),
-                                  t("dim_plan"), mark)
-    return facts.fct_subscriptions(t("stg_subscriptions"), t("customer_keys"), t("dim_product"),
-                                   t("dim_plan"), mark)
+        rows = facts.fct_events(t("stg_events"), t("event_types"), t("customer_keys"), t("subscription_keys"), mark)
+    elif name == "fct_invoices":
+        rows = facts.fct_invoices(t("stg_invoices"), t("customer_keys"), t("subscription_keys"), t("dim_plan"), mark)
+    else:
+        rows = facts.fct_subscriptions(t("stg_subscriptions"), t("customer_keys"), t("dim_product"), t("dim_plan"), mark)
+    return rows.withColumn(PARTITION, F.trunc(F.col(FACTS[name][2]), "month"))
 
 
-def _snapshot_run(store: TableStore, name: str, fn, stg: DataFrame, run_ts: dt.datetime) -> str:
-    """Merge one extract into a stored snapshot, in one commit.
+CLOSED_RUN = "closed_run"
 
-    Only the open versions are read and rewritten; versions closed by this run
-    are added to the closed part.
-    """
-    step = fn(store.read_part("snapshots", name, "open"), stg, run_ts)
-    return store.replace("snapshots", name, step, F.col("dbt_valid_to").isNotNull())
 
+def snapshot_run(store: TableStore, name: str, fn, stg: DataFrame, run_ts: dt.datetime) -> None:
+    """Merge one extract into a stored snapshot.
 
-def check_results(wh: Warehouse) -> DataFrame:
-    """``(check_name, violations)`` of every data-quality check on the built tables."""
-    out = None
+    Open versions are a table of their own, which a run reads and replaces; those
+    that it closes are added to the closed ones, as a partition of the run's own.
+    """
+    store.finish("snapshots", f"{name}_open")
+    current = store.read("snapshots", f"{name}_open")
+    step = fn(current, stg, run_ts)
+    if current is None:
+        store.write("snapshots", f"{name}_open", step)
+        return
+    step = step.withColumn(CLOSED_RUN, F.when(F.col("dbt_valid_to").isNotNull(), F.lit(f"run-{uuid.uuid4().hex}")))
+    store.overwrite("snapshots", step, {f"{name}_open": (f"{CLOSED_RUN} is null", [], True),
+                                        f"{name}_closed": (f"{CLOSED_RUN} is not null", [CLOSED_RUN], False)})
+
+
+def read_snapshot(store: TableStore, name: str) -> DataFrame | None:
+    """All versions of a stored snapshot."""
+    current, closed = (store.read("snapshots", f"{name}_{part}") for part in ("open", "closed"))
+    if current is None or closed is None:
+        return None if current is None else current.drop(CLOSED_RUN)
+    return current.drop(CLOSED_RUN).unionByName(closed.drop(CLOSED_RUN))
+
+
+def check_results(wh: Warehouse, counted: list[tuple[str, int]]) -> DataFrame:
+    """``(check_name, violations)`` of every data-quality check on the built tables:
+    those counted while the tables were written, and those that need a join or a group."""
+    out = wh.spark.createDataFrame(counted, "check_name string, violations bigint").coalesce(1)
+    found = []
     for layer in ("raw", "stg"):
-        table = lambda n: wh.raw[n] if layer == "raw" else wh.t("stg_" + n)  # noqa: B023, E731
-        found = [(f"unique.{layer}.{n}.{c}", quality.unique(table(n), c)) for n, c in quality.UNIQUE_CHECKS]
-        nulls = quality.NOT_NULL_SOURCE if layer == "raw" else quality.NOT_NULL_STAGING
-        found += [(f"not_null.{layer}.{n}.{c}", table(n).where(F.col(c).isNull())) for n, cols in nulls.items() for c in cols]
-        if layer == "stg":
-            found += [
-                ("accepted_values.subscriptions.status", quality.accepted_values(table("subscriptions"), "status", quality.ACCEPTED_STATUS)),
-                ("relationships.subscriptions.customer_id", quality.relationships(
-                    table("subscriptions"), "customer_id", table("customers"), "customer_id")),
-                ("events_not_in_future", quality.events_not_in_future(table("events"), wh.cfg.load_ts)),
-                ("mrr_non_negative", quality.mrr_non_negative(wh.t("fct_invoices"))),
-                ("no_orphan_subscriptions", quality.no_orphan_subscriptions(wh.t("fct_subscriptions"), wh.t("dim_customer")))]
-        for name, rows in found:
-            one = rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
-            out = one if out is None else out.unionByName(one)
+        for n, c in quality.UNIQUE_CHECKS:
+            found.append((f"unique.{layer}.{n}.{c}", quality.unique(wh.raw[n] if layer == "raw" else wh.t("stg_" + n), c)))
+    found += [
+        ("relationships.subscriptions.customer_id", quality.relationships(
+            wh.t("stg_subscriptions"), "customer_id", wh.t("stg_customers"), "customer_id")),
+        ("no_orphan_subscriptions", quality.no_orphan_subscriptions(wh.t("fct_subscriptions"), wh.t("dim_customer")))]
+    for name, rows in found:
+        out = out.unionByName(rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations"))
     return out
 
 
-def _in_parallel(jobs: list, workers: int) -> list:
-    """Run independent write actions as concurrent Spark jobs (one level at a time)."""
-    if workers <= 1 or len(jobs) <= 1:
-        return [job() for job in jobs]
-    with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
-
-
-def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
-        staging_dir: str | None = None, workers: int = 4, stop_on_violation: bool = False) -> dict[str, str]:
+def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str, stop_on_violation: bool = False) -> dict[str, str]:
     """One warehouse run against the store at ``root`` (first run = full build).
 
     * reference tables, business vault, dimensions and marts are rebuilt;
-    * hubs, links and satellites append the rows new in this extract;
-    * snapshots merge the extract into their history (SCD2), in one commit;
+    * hubs and links append the keys new in this extract, satellites the changed
+      rows, each reading the stored partitions of its own keys only;
+    * snapshots merge the extract into their history (SCD2);
     * facts load the rows after their high-water mark and merge them on
       their unique key, rewriting only the touched month partitions
       (``partition_month``; a month filter on a fact prunes files);
-    * every data-quality check runs on the result: the counts of violations
-      are stored as ``check_results``, and with ``stop_on_violation`` any
-      violation raises.
-
-    Every level is written before the next one reads it, which cuts the
-    lineage; a rerun after a failure recomputes from the last written level.
-    The tables of one level are independent: their plans are built on the
-    driver thread and their writes run as up to ``workers`` concurrent jobs.
+    * the data-quality checks are counted, those of single rows on the rows that this
+      run reads while it writes them: the counts of violations are stored as
+      ``check_results``, and with ``stop_on_violation`` any violation raises.
+
+    Events are append-only: their vault tables look only at rows loaded after the
+    last run's mark.  The other entities deliver full extracts.
     """
-    from ..session import ensure_checkpoint_dir
     store = TableStore(spark, root)
-    staging_dir = staging_dir or ensure_checkpoint_dir(spark)
     wh = Warehouse(spark, raw, cfg)
+    checks = quality.BuildChecks(cfg.load_ts)
     written: dict[str, str] = {}
 
-    def level(layer_of: dict[str, str], jobs: dict) -> None:
-        paths = _in_parallel(list(jobs.values()), workers)
-        for name, path in zip(jobs, paths):
-            written[name] = path
-            wh.put(name, store.read(layer_of[name], name))
-
-    def rebuild(tables: list[tuple[str, str]]) -> None:
-        jobs = {name: (lambda l=layer, n=name, df=wh.t(name): store.write(l, n, df)) for layer, name in tables}
-        level({n: l for l, n in tables}, jobs)
-
-    rebuild(REFERENCE_TABLES)
-    level(dict.fromkeys(VAULT_TABLES, "raw_vault"),
-          {name: (lambda n=name: _vault_change(store, wh, n, cfg.load_ts, staging_dir)) for name in VAULT_TABLES})
-    level(dict.fromkeys(SNAPSHOTS, "snapshots"),
-          {name: (lambda n=name, e=entity, f=fn: _snapshot_run(store, n, f, wh.t("stg_" + e), cfg.load_ts))
-           for name, (entity, fn) in SNAPSHOTS.items()})
-    rebuild(REBUILT[:2])                 # business vault
-    rebuild(REBUILT[2:])                 # dimensions
-    jobs = {}
-    for name, (_, key, date_col) in FACTS.items():
-        inc = (_fact_rows(wh, name, store.mark("facts", name))
-               .withColumn(PARTITION, F.trunc(F.col(date_col), "month")))
-        jobs[name] = lambda n=name, df=inc, k=key: store.merge_partitions("facts", n, df, [k], PARTITION,
-                                                                          staging_dir)
-    level({n: "facts" for n in FACTS}, jobs)
-    rebuild([("marts", name) for name in MARTS])
-    written["check_results"] = store.write("marts", "check_results", check_results(wh))
+    def done(layer: str, name: str) -> None:
+        stored = store.read(layer, name)           # a partitioned table without rows has no files
+        wh.put(name, wh.t(name).limit(0) if stored is None else stored.drop(vault.KEY_PART, LOAD_MONTH))
+        written[name] = store.table_path(layer, name)
+
+    def rebuild(layer: str, *names: str) -> None:
+        for name in names:
+            store.write(layer, name, wh.t(name))
+            done(layer, name)
+
+    for layer, name in REFERENCE_TABLES:
+        rebuild(layer, name)
+
+    events = newer_than(raw["events"], store.mark("raw_vault", "events"))
+    mark = events.agg(F.max("_loaded_at")).first()[0]
+    for name in VAULT_TABLES:
+        entity = VAULT_SOURCE[name]
+        src = events if entity == "events" else raw[entity]
+        if entity == "events" and mark is None and store.read("raw_vault", name) is not None:
+            if name in vault.SATELLITES:
+                checks.skipped(entity)
+        elif name in vault.SATELLITES:          # reads every row and column of its entity once: the checks ride on it
+            load_vault(store, name, checks.stg(entity, staging.STAGERS[entity](checks.raw(entity, src))), cfg.load_ts, cfg.vault_key_digits)
+        else:
+            load_vault(store, name, staging.STAGERS[entity](src), cfg.load_ts, cfg.vault_key_digits)
+        done("raw_vault", name)
+    store.set_mark("raw_vault", "events", mark)
+
+    for name, (entity, fn) in SNAPSHOTS.items():
+        snapshot_run(store, name, fn, wh.t("stg_" + entity), cfg.load_ts)
+        wh.put(name, read_snapshot(store, name))
+        written[name] = store.table_path("snapshots", f"{name}_open")
+    rebuild("business_vault", "bv_customer_lifetime", "bv_subscription_health")
+    rebuild("dimensions", "dim_customer", "dim_subscription")
+
+    lazy = wh.t("stg_invoices")
+    for name, (entity, key, _) in FACTS.items():
+        if entity == "invoices":                # its only table: the checks of its staging ride on the fact
+            new = newer_than(raw["invoices"], store.mark("facts", name))
+            wh.put("stg_invoices", checks.stg("invoices", staging.stg_invoices(checks.raw("invoices", new))))
+            rows = checks.invoices(fact_rows(wh, name, None))
+            wh.put("stg_invoices", lazy)
+        else:
+            rows = fact_rows(wh, name, store.mark("facts", name))
+        store.merge("facts", name, rows, [key], [PARTITION])
+        done("facts", name)
+    rebuild("marts", *MARTS)
+    store.write("marts", "check_results", check_results(wh, checks.counts()))
+    written["check_results"] = store.table_path("marts", "check_results")
     if stop_on_violation:
         bad = store.read("marts", "check_results").where("violations > 0").orderBy("check_name").collect()
         if bad:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.shuffle.partitions", str(parts))
+             .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")

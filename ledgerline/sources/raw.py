@@ -10,9 +10,10 @@ produce; staging casts again, so a source with looser types still works.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DecimalType, LongType,
                                StringType, StructField, StructType,
-                               TimestampNTZType)
+                               TimestampNTZType, TimestampType)
 
 
 def _schema(*cols) -> StructType:
@@ -56,6 +57,31 @@ def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
 
 
+def land(df: DataFrame, path: str, files: int | None = None, group_bytes: int | None = None) -> None:
+    """Append a delivery to a landed table, clustered by load time.
+
+    Rows are range-partitioned and sorted on ``_loaded_at``, stored as a TIMESTAMP in
+    microseconds, so each file and row group holds a narrow range of load times
+    and a scan behind a high-water mark (``merging.newer_than``) skips the others.
+    Spark prunes neither INT96 nor TIMESTAMP_NTZ, so the session must write
+    ``spark.sql.parquet.outputTimestampType=TIMESTAMP_MICROS``.
+    """
+    if df.sparkSession.conf.get("spark.sql.parquet.outputTimestampType") != "TIMESTAMP_MICROS":
+        raise ValueError("set spark.sql.parquet.outputTimestampType to TIMESTAMP_MICROS, or no load mark can skip anything")
+    timed = df.withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp"))
+    by = timed.repartitionByRange(files, "_loaded_at") if files else timed.repartitionByRange("_loaded_at")
+    out = by.sortWithinPartitions("_loaded_at").write.mode("append")
+    if group_bytes:
+        out = out.option("parquet.block.size", group_bytes).option("parquet.page.row.count.limit", 5000)
+    out.parquet(path)
+
+
+def read_landed(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Batch read of a table written by ``land``."""
+    fields = [StructField(f.name, TimestampType()) if f.name == "_loaded_at" else f for f in RAW_SCHEMAS[name].fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def read_raw_stream(spark: SparkSession, path: str, name: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of one landed raw table (new files as they land)."""

@@ -9,11 +9,11 @@ processed, so a batch is never skipped because an older file arrived late
 Every micro-batch runs the *same* table functions as a batch build:
 
 * ``vault_sink``   hubs / links / satellites of one entity -- new rows are
-  anti-joined (or digest-compared) against the stored table; hubs and links
-  append, satellites merge on (hash_key, load_date).  Re-running a batch after
-  a failure adds nothing twice.
+  anti-joined (or digest-compared) against the stored partitions of their keys;
+  hubs and links append, satellites merge on (hash_key, load_date).  Re-running a
+  batch after a failure adds nothing twice.
 * ``fact_sink``    a fact increment merged on its unique key, rewriting only
-  the months it touches (``TableStore.merge_partitions``), into the same table
+  the months it touches (``TableStore.merge``), into the same table
   that a batch run keeps; idempotent as well.
 
 ``daily_active_users`` is a watermarked event-time aggregate (chained
@@ -30,39 +30,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import facts, staging, vault
-from ..plans.warehouse import FACTS, LOAD_DAY, PARTITION
-from ..session import ensure_checkpoint_dir
+from ..operators import facts, staging
+from ..plans.warehouse import FACTS, PARTITION, load_vault
 from ..sources.raw import read_raw_stream
 from ..sources.store import TableStore
 
 VAULT_TABLES_OF = {
-    "customers": (["hub_customer"], [], ["sat_customer_details"]),
-    "subscriptions": (["hub_subscription"], ["lnk_customer_subscription", "lnk_subscription_product"],
-                      ["sat_subscription_details"]),
-    "products": (["hub_product"], [], ["sat_product_details"]),
-    "events": (["hub_event"], ["lnk_subscription_event"], ["sat_event_details"]),
+    "customers": ["hub_customer", "sat_customer_details"],
+    "subscriptions": ["hub_subscription", "lnk_customer_subscription", "lnk_subscription_product", "sat_subscription_details"],
+    "products": ["hub_product", "sat_product_details"],
+    "events": ["hub_event", "lnk_subscription_event", "sat_event_details"],
 }
 
 
 def vault_sink(store: TableStore, entity: str,
-               load_ts: Callable[[int], dt.datetime]) -> Callable[[DataFrame, int], None]:
+               load_ts: Callable[[int], dt.datetime], key_digits: int = 1) -> Callable[[DataFrame, int], None]:
     """foreachBatch function loading one entity's vault tables from a raw batch."""
-    hubs, links, sats = VAULT_TABLES_OF[entity]
-
     def run(batch: DataFrame, batch_id: int) -> None:
         stg = staging.STAGERS[entity](batch)
-        ts = load_ts(batch_id)
-        for name in hubs:
-            store.append("raw_vault", name, vault.load_hub(stg, vault.HUBS[name], ts,
-                                                           store.read("raw_vault", name)))
-        for name in links:
-            store.append("raw_vault", name, vault.load_link(stg, vault.LINKS[name], ts,
-                                                            store.read("raw_vault", name)))
-        for name in sats:
-            rows = vault.load_satellite(stg, vault.SATELLITES[name], ts, store.read("raw_vault", name))
-            store.merge_partitions("raw_vault", name, rows.withColumn(LOAD_DAY, F.col("load_date").cast("date")),
-                                   ["hash_key", "load_date"], LOAD_DAY, ensure_checkpoint_dir(store.spark), keys_move=False)
+        for name in VAULT_TABLES_OF[entity]:
+            load_vault(store, name, stg, load_ts(batch_id), key_digits)
     return run
 
 
@@ -86,8 +73,7 @@ def fact_sink(store: TableStore, fact: str, lookups: dict[str, DataFrame]) -> Ca
             inc = facts.fct_subscriptions(stg, lookups["customer_keys"], lookups["dim_product"],
                                           lookups["dim_plan"])
         _, key, date_col = FACTS[fact]
-        store.merge_partitions("facts", fact, inc.withColumn(PARTITION, F.trunc(F.col(date_col), "month")), [key], PARTITION,
-                               ensure_checkpoint_dir(store.spark))
+        store.merge("facts", fact, inc.withColumn(PARTITION, F.trunc(F.col(date_col), "month")), [key], [PARTITION])
     return run
 
 

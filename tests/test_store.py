@@ -3,7 +3,12 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from ledgerline.sources.store import TableStore, newer_than, sync_columns, upsert
+from pyspark.sql.types import DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, TimestampNTZType
+
+from ledgerline.operators import staging
+from ledgerline.sources import raw
+from ledgerline.sources.merging import newer_than, sync_columns, upsert, widest
+from ledgerline.sources.store import TableStore
 
 
 def test_upsert_replaces_matched_and_inserts_new(spark):
@@ -40,104 +45,147 @@ def test_the_mark_is_a_plain_filter(spark):
     assert "scalar-subquery" not in plan and "OR" not in plan
 
 
-def test_the_mark_skips_row_groups(spark):
-    """A scan behind the mark reads fewer rows than are stored, where the load
-    time is a TIMESTAMP in microseconds (Spark prunes neither INT96 nor NTZ)."""
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-    path = tempfile.mkdtemp(prefix="ll-mark-") + "/t"
-    rows = spark.range(200_000).coalesce(1).withColumn("_loaded_at", F.timestamp_seconds("id")).sortWithinPartitions("id")
-    rows.write.option("parquet.block.size", 100_000).option("parquet.page.row.count.limit", 5000).parquet(path)
-    spark.conf.unset("spark.sql.parquet.outputTimestampType")
-    df = newer_than(spark.read.parquet(path), dt.datetime(1970, 1, 3, 0, 0, 0))
-    assert df.count() == 200_000 - 172_801
+def scanned(df):
+    """Rows that the scans of an executed frame read."""
     df.collect()
     plan = df._jdf.queryExecution().executedPlan()
-    while plan.children().size():
-        plan = plan.children().head()
-    assert plan.metrics().apply("numOutputRows").value() < 200_000
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    stack, rows = [plan], 0
+    while stack:
+        p = stack.pop()
+        if p.getClass().getSimpleName() == "FileSourceScanExec":
+            rows += p.metrics().apply("numOutputRows").value()
+        for i in range(p.children().size()):
+            stack.append(p.children().apply(i))
+        if "QueryStage" in p.getClass().getSimpleName():
+            stack.append(p.plan())
+    return rows
+
+
+def test_the_mark_skips_landed_row_groups(spark):
+    """Two deliveries, staged behind the first one's mark: the scan reads the second."""
+    path = tempfile.mkdtemp(prefix="ll-land-") + "/events"
+    one = dt.datetime(2001, 1, 1)
+    rows = spark.range(100_000).select(
+        F.col("id").alias("event_id"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in raw.RAW_SCHEMAS["events"].fields[1:-1]],
+        (F.lit(one).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("_loaded_at"))
+    raw.land(rows.where("event_id < 90000"), path, files=2, group_bytes=50_000)
+    raw.land(rows.where("event_id >= 90000"), path, files=1, group_bytes=50_000)
+    mark = one + dt.timedelta(seconds=89_999)
+    staged = staging.stg_events(newer_than(raw.read_landed(spark, path, "events"), mark))
+    assert staged.count() == 10_000
+    assert scanned(staged) < 30_000
+    assert staged.schema["_loaded_at"].dataType == TimestampNTZType()
+
+
+def test_landing_needs_prunable_times(spark):
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:
+        raw.land(spark.range(1).withColumn("_loaded_at", F.current_timestamp()), "/nowhere")
+        raise AssertionError("landed")
+    except ValueError:
+        pass
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+
+
+def test_widest_types():
+    cases = [(IntegerType(), LongType(), LongType()), (DecimalType(10, 2), DecimalType(12, 4), DecimalType(12, 4)),
+             (DecimalType(10, 2), DecimalType(6, 4), DecimalType(12, 4)), (IntegerType(), DecimalType(5, 2), DecimalType(12, 2)),
+             (LongType(), DoubleType(), DoubleType()), (DateType(), TimestampNTZType(), TimestampNTZType()), (IntegerType(), StringType(), StringType()),
+             (DecimalType(38, 0), DecimalType(20, 10), DecimalType(38, 10)), (DateType(), LongType(), StringType())]
+    for a, b, c in cases:
+        assert widest(a, b) == widest(b, a) == c
 
 
 def store_at(spark):
-    scratch = tempfile.mkdtemp(prefix="ll-store-")
-    return TableStore(spark, f"{scratch}/wh"), f"{scratch}/stage"
+    return TableStore(spark, tempfile.mkdtemp(prefix="ll-store-") + "/wh")
 
 
-def test_table_store_changes(spark):
-    store, _ = store_at(spark)
-    assert store.read("facts", "t") is None
-    store.write("facts", "t", spark.createDataFrame([("1", 1)], "k string, v int"))
-    store.merge("facts", "t", spark.createDataFrame([("1", 2), ("2", 3)], "k string, v int"), ["k"])
-    assert store.commits("facts", "t") == [1, 2]
-    assert sorted(tuple(r) for r in store.read("facts", "t").collect()) == [("1", 2), ("2", 3)]
-    store.append("facts", "t", spark.createDataFrame([("3", 4, "x")], "k string, v int, w string"))
-    assert sorted(tuple(r) for r in store.read("facts", "t").fillna("").collect()) == [("1", 2, ""), ("2", 3, ""), ("3", 4, "x")]
+def rows_of(store, table="f", layer="facts"):
+    return sorted((tuple(r) for r in store.read(layer, table).collect()), key=str)
 
 
-def test_vacuum_keeps_newest_states(spark):
-    store, stage = store_at(spark)
-    for i in range(4):
-        store.write("marts", "m", spark.createDataFrame([(str(i), i)], "k string, v int"))
-    assert [p.rsplit("=", 1)[1] for p in store.vacuum("marts", "m", keep=2)] == ["1", "2"]
-    assert store.commits("marts", "m") == [3, 4] and [r.v for r in store.read("marts", "m").collect()] == [3]
-    store.append("marts", "m", store.read("marts", "m"))
-    store.vacuum("marts", "m", keep=1)
-    assert store.read("marts", "m").count() == 2
+def test_write_append_and_marks(spark):
+    store = store_at(spark)
+    assert store.read("facts", "t") is None and store.mark("facts", "t") is None
+    store.write("facts", "t", spark.createDataFrame([("1", 1)], "k string, v int"))
+    store.append("facts", "t", spark.createDataFrame([("2", 3)], "k string, v int"))
+    assert rows_of(store, "t") == [("1", 1), ("2", 3)]
+    store.write("facts", "t", spark.createDataFrame([("9", 9)], "k string, v int"))
+    assert rows_of(store, "t") == [("9", 9)]
+    for day in (3, 1, 2):
+        store.set_mark("facts", "t", dt.datetime(2001, 1, day))
+    store.set_mark("facts", "t", None)
+    assert store.mark("facts", "t") == dt.datetime(2001, 1, 3)
 
 
 JAN, FEB, MAR = dt.date(2001, 1, 1), dt.date(2001, 2, 1), dt.date(2001, 3, 1)
-SCHEMA = "k string, v int, partition_month date"
-
-
-def merged(spark, store, stage, rows, schema=SCHEMA):
-    store.merge_partitions("facts", "f", spark.createDataFrame(rows, schema), ["k"], "partition_month", stage)
-    return sorted((tuple(r) for r in store.read("facts", "f").collect()), key=str)
-
-
-def test_merge_moves_keys_and_clears_emptied_partitions(spark):
-    store, stage = store_at(spark)
-    merged(spark, store, stage, [("a", 1, JAN), ("b", 2, FEB), ("c", 3, MAR)])
-    got = merged(spark, store, stage, [("a", 10, FEB), ("d", 4, MAR)])          # a moves jan -> feb
-    assert got == [("a", 10, FEB), ("b", 2, FEB), ("c", 3, MAR), ("d", 4, MAR)]
-    assert [p.split("/")[1] for p in store.commit("facts", "f")["parts"]] == ["partition_month=2001-02-01", "partition_month=2001-03-01"]
-
-
-def test_merge_keeps_and_moves_null_partitions(spark):
-    store, stage = store_at(spark)
-    merged(spark, store, stage, [("k1", 1, JAN), ("k2", 2, None), ("k3", 3, None)])
-    assert [r[0] for r in merged(spark, store, stage, [("k4", 4, None)])] == ["k1", "k2", "k3", "k4"]
-    got = merged(spark, store, stage, [("k2", 20, FEB), ("k1", 10, None)])
-    assert got == [("k1", 10, None), ("k2", 20, FEB), ("k3", 3, None), ("k4", 4, None)]
-
-
-def test_merge_takes_new_columns_and_drops_old_ones(spark):
-    store, stage = store_at(spark)
-    merged(spark, store, stage, [("k1", 1, JAN), ("k2", 2, FEB)])
-    got = merged(spark, store, stage, [("k2", FEB, "w")], "k string, partition_month date, w string")
-    assert got == [("k1", JAN, None), ("k2", FEB, "w")]
-
-
-def test_untouched_partitions_and_empty_increments_write_nothing(spark):
-    store, stage = store_at(spark)
-    merged(spark, store, stage, [("k1", 1, JAN), ("k2", 2, FEB)])
-    merged(spark, store, stage, [("k3", 3, FEB)])
-    assert [p.split("/")[0] for p in store.commit("facts", "f")["parts"]] == ["ledgerline_change=1", "ledgerline_change=2"]
-    merged(spark, store, stage, [])
-    assert store.commits("facts", "f") == [1, 2]
-    assert store._names(stage) == []                                            # staged increments are gone
-
-
-def test_a_half_finished_change_is_invisible_and_can_be_rerun(spark, monkeypatch):
-    store, stage = store_at(spark)
-    schema = SCHEMA + ", _loaded_at timestamp_ntz"
-    t = [dt.datetime(2001, 1, d) for d in (1, 2, 3)]
-    merged(spark, store, stage, [("k1", 1, JAN, t[0]), ("k2", 2, FEB, t[1])], schema)
-    before = merged(spark, store, stage, [], schema)
-    with monkeypatch.context() as m:
-        m.setattr(TableStore, "_publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
-        try:
-            merged(spark, store, stage, [("k1", 9, FEB, t[2])], schema)
-        except OSError:
-            pass
-    assert sorted((tuple(r) for r in store.read("facts", "f").collect()), key=str) == before and store.mark("facts", "f") == t[1]
-    got = merged(spark, store, stage, [("k1", 9, FEB, t[2])], schema)
-    assert got == [("k1", 9, FEB, t[2]), ("k2", 2, FEB, t[1])] and store.mark("facts", "f") == t[2]
+SCHEMA = "k string, v int, month date, _loaded_at timestamp_ntz"
+T = [dt.datetime(2001, 1, d) for d in range(1, 9)]
+
+
+def merged(spark, store, rows, schema=SCHEMA):
+    store.merge("facts", "f", spark.createDataFrame(rows, schema), ["k"], ["month"])
+    return rows_of(store)
+
+
+def files(store):
+    return set(store.read("facts", "f").inputFiles())
+
+
+def test_merge_rewrites_touched_partitions_only(spark):
+    store = store_at(spark)
+    merged(spark, store, [("a", 1, JAN, T[0]), ("b", 2, FEB, T[0]), ("c", 3, None, T[0])])
+    before = files(store)
+    got = merged(spark, store, [("b", 20, FEB, T[1]), ("d", 4, FEB, T[2]), ("d", 5, FEB, T[1])])
+    assert [r[:2] for r in got] == [("a", 1), ("b", 20), ("c", 3), ("d", 4)] and store.mark("facts", "f") == T[2]
+    assert len(before & files(store)) == 2
+    got = merged(spark, store, [("e", 6, None, T[3])])
+    assert [r[:2] for r in got] == [("a", 1), ("b", 20), ("c", 3), ("d", 4), ("e", 6)]
+
+
+def test_empty_increments_change_nothing(spark):
+    store = store_at(spark)
+    store.merge("facts", "f", spark.createDataFrame([], SCHEMA), ["k"], ["month"])
+    assert store.read("facts", "f") is None and store.mark("facts", "f") is None
+    merged(spark, store, [("a", 1, JAN, T[0])])
+    before = files(store)
+    assert [r[:2] for r in merged(spark, store, [])] == [("a", 1)] and files(store) == before and store.mark("facts", "f") == T[0]
+
+
+def test_merge_takes_other_columns_and_types(spark):
+    store = store_at(spark)
+    merged(spark, store, [("k1", 1, JAN, T[0]), ("k2", 2, FEB, T[0])])
+    got = merged(spark, store, [("k2", 1 << 40, FEB, "w")], "k string, v long, month date, w string")
+    assert sorted(map(str, got)) == sorted(map(str, [("k1", 1, None, JAN), ("k2", 1 << 40, "w", FEB)]))
+    got = merged(spark, store, [("k3", "text", FEB, "w")], "k string, v string, month date, w string")
+    assert {r[0]: r[1] for r in got} == {"k1": "1", "k2": str(1 << 40), "k3": "text"}
+    got = merged(spark, store, [("k1", 7, JAN, "w")], "k string, v int, month date, w string")      # a number where text is stored
+    assert {r[0]: r[1] for r in got} == {"k1": "7", "k2": str(1 << 40), "k3": "text"}
+
+
+def test_a_lost_overwrite_is_done_again(spark, monkeypatch):
+    """Lost before anything is replaced, or after: the next change starts from the whole staged copy."""
+    for lost_after in (False, True):
+        store = store_at(spark)
+        merged(spark, store, [("k1", 1, JAN, T[0]), ("k2", 2, FEB, T[1])])
+        save = TableStore._save
+
+        def lose(self, layer, table, df, partition_by, mode, whole=True):
+            if not whole:
+                if lost_after:
+                    save(self, layer, table, df, partition_by, mode, whole)
+                raise OSError("lost")
+            save(self, layer, table, df, partition_by, mode, whole)
+        with monkeypatch.context() as m:
+            m.setattr(TableStore, "_save", lose)
+            try:
+                merged(spark, store, [("k1", 9, JAN, T[2]), ("k4", 4, JAN, T[2])])
+                raise AssertionError("not lost")
+            except OSError:
+                pass
+        assert store.mark("facts", "f") == T[1]
+        got = merged(spark, store, [("k1", 9, JAN, T[2]), ("k4", 4, JAN, T[2])])         # the same increment again
+        assert [r[:2] for r in got] == [("k1", 9), ("k2", 2), ("k4", 4)] and store.mark("facts", "f") == T[2]

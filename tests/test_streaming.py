@@ -33,8 +33,6 @@ def test_streamed_fact_and_vault_equal_batch(spark):
                           incremental.fact_sink(store, "fct_events", lookups), f"{scratch}/ck1")
     q.awaitTermination()
     streamed = store.read("facts", "fct_events").drop("partition_month")
-    changes = [store.commit("facts", "fct_events", n)["parts"] for n in store.commits("facts", "fct_events")]
-    assert len(changes) == 1 or set(changes[0]) & set(changes[-1])          # a batch leaves other months alone
     expected = w.t("fct_events")
     assert streamed.count() == expected.count()
     assert streamed.exceptAll(expected.select(streamed.columns)).count() == 0
