@@ -9,7 +9,7 @@
    stem's value as far as its own counts leave it unsure.  Each is moved
    ``SHRINK`` standard deviations towards zero, so rare words weigh nothing.
    ``DRIFT`` is taken off every word: a text without evidence scores below zero.
-   A word within ``NEAR`` words of its last place is no new evidence.
+   A toxic word within ``NEAR`` words of its last place is no new evidence.
 3. Segments.  One linear scan finds all maximal scoring segments of a text:
    none can be lengthened or cut for a higher sum, and none overlap.
 4. Calibration.  In clean text, segments of score s or more are taken to come at
@@ -157,11 +157,11 @@ class Scores(dict):
         return score
 
     def of(self, text: str | None) -> np.ndarray:
-        """The scores of a text's words: a word within ``NEAR`` words of its last place is no new evidence."""
+        """The scores of a text's words: a toxic one within ``NEAR`` words of its last place is no new evidence."""
         words = WORD.findall(text) if text else []
         scores = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
         last: dict[int, int] = {}
-        for i in np.flatnonzero(scores != NOTHING).tolist():
+        for i in np.flatnonzero(scores > 0).tolist():
             bucket = _bucket(words[i].lower())
             if i - last.get(bucket, -NEAR - 1) <= NEAR:
                 scores[i] = NOTHING
