@@ -215,11 +215,12 @@ def _op10_sql() -> str:
     hit = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::int"
     strict = " + ".join(hit(t) for t, w in url_filter.VOCABULARY.items() if w >= url_filter.STRICT)
     soft = " + ".join(hit(t) for t, w in url_filter.VOCABULARY.items() if w < url_filter.STRICT)
+    weight = " + ".join(f"{w}::double * {hit(t)}" for t, w in url_filter.VOCABULARY.items())
     fits = lambda h, p: f"(host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}')"
     return f"""
 with u as (select page_id, {low} as low, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) else '' end as rest from pages),
 p as (select page_id, low, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_filter._UPPER}', '{url_filter._LOWER}') as host,
-             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, {strict} as strict_hits, {soft} as soft_hits from u),
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, {strict} as strict_hits, {soft} as soft_hits, {weight} as weight from u),
 r as (select *, case when {fits('example.net', '/en/')} then 'example.net/en/'
                      when {fits('example.com', '/de/')} then 'example.com/de/'
                      when {fits('org', '/fr/')} then 'org/fr/'
@@ -227,7 +228,7 @@ r as (select *, case when {fits('example.net', '/en/')} then 'example.net/en/'
 select page_id, host, path, rule,
        case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block'
             when strict_hits > 0 or soft_hits >= {url_filter.SOFT_LIMIT} then 'block' else 'allow' end as verdict,
-       strict_hits, soft_hits, round(strict_hits * {url_filter.STRICT}::double + soft_hits * {url_filter.SOFT}::double, 6) as hit_weight
+       strict_hits, soft_hits, round(weight, 6) as hit_weight
 from r"""
 
 

@@ -20,25 +20,37 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The rules of the query, as (verdict, host/path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-# The vocabulary: strict terms weigh 1, soft ones less.
-STRICT, SOFT = 1.0, 0.4
-VOCABULARY: dict[str, float] = {
-    **dict.fromkeys(("porn", "porno", "xxx", "hentai", "camgirls", "escorts", "warez", "keygen",
-                     "malware", "phishing", "onlinecasino", "payday"), STRICT),
-    **dict.fromkeys(("adult", "sexy", "nude", "dating", "casino", "poker", "betting", "slots", "jackpot",
-                     "cheap", "pills", "replica", "torrent", "crack", "serial", "loan", "bonus", "gratis"), SOFT),
+# The vocabulary by weight; strict terms weigh 1, soft ones less.
+STRICT = 1.0
+_TERMS = {
+    1.0: "porn porno xxx hentai camgirls escorts milf warez keygen malware phishing onlinecasino payday viagra cialis xanax sportsbook cardsharing",
+    0.7: "adult sexy nude erotic erotica nsfw fetish hookup webcam casino casinos poker gambling gamble blackjack roulette crack cracked nulled replica counterfeit",
+    0.5: "dating singles betting bet bets wager slots slot jackpot lottery bingo torrent torrents serial pills pharmacy loan loans forex",
+    0.3: "cheap bonus gratis win wins winner prize prizes spins chips dealer deals discount freebies giveaway",
 }
+VOCABULARY: dict[str, float] = {term: weight for weight, terms in _TERMS.items() for term in terms.split()}
 SOFT_LIMIT = 2
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 _TOUCHING = frozenset(string.ascii_lowercase + string.digits)
 
 
+def read_vocabulary(spark: SparkSession, path: str, most: int = 1_000_000) -> dict[str, float]:
+    """A vocabulary table ``(term, weight)`` at a path that Spark reads: lower-cased terms,
+    the largest weight of each; rows without a term or weight are left out.  The
+    automaton is built in every task, so more than ``most`` terms are an error."""
+    rows = spark.read.parquet(path).select(F.lower(F.trim("term")).alias("term"), F.col("weight").cast("double").alias("weight"))
+    rows = rows.where("term <> '' and weight is not null").groupBy("term").agg(F.max("weight").alias("weight")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{path}: more than {most} terms")
+    return {r["term"]: r["weight"] for r in rows}
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, _UPPER, _LOWER)
 
@@ -74,7 +86,7 @@ def term_hits(text: Column, vocabulary: Mapping[str, float]) -> Column:
             hit = {t for end, t in machine.iter(s) if (end + 1 == len(s) or s[end + 1] not in _TOUCHING)
                    and (end < len(t) or s[end - len(t)] not in _TOUCHING)} if s and terms else ()
             strict = sum(terms[t] >= STRICT for t in hit)
-            return strict, len(hit) - strict, float(sum(terms[t] for t in hit))
+            return strict, len(hit) - strict, float(sum(sorted(terms[t] for t in hit)))
 
         for urls in batches:
             yield pd.DataFrame([found(s) for s in urls], columns=["strict", "soft", "weight"])

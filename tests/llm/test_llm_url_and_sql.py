@@ -42,6 +42,28 @@ def test_empty_pages_and_no_vocabulary(spark):
     assert U.judge_urls(pages, vocabulary={}).first().verdict == "allow"
 
 
+def test_planted_hosts(spark):
+    bad = ["http://free-bets.example.com/win", "https://casino-win.example.org/", "http://x.com/viagra", "http://a.b/slots/jackpot", "http://nude.dating.example.com/",
+           "http://m.example.org/poker?bonus=1"]
+    good = ["http://essex.example.org/adults", "http://example.org/win", "http://example.org/winter/deals", "http://example.org/pornography-law-debated",
+            "https://example.org/crackers", "http://example.org/alphabet/bettina"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(bad + good)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in U.judge_urls(pages, rules=()).collect()}
+    assert [got[i] for i in range(len(bad + good))] == ["block"] * len(bad) + ["allow"] * len(good)
+
+
+def test_a_vocabulary_from_a_table(spark, tmp_path):
+    rows = [("Zonk", 1.0), ("zonk", 0.2), (" plip ", 0.4), ("plop", 0.5), ("", 1.0), (None, 1.0), ("none", None)]
+    spark.createDataFrame(rows, "term string, weight double").write.parquet(f"{tmp_path}/v")
+    vocabulary = U.read_vocabulary(spark, f"{tmp_path}/v")
+    assert vocabulary == {"zonk": 1.0, "plip": 0.4, "plop": 0.5}
+    pages = spark.createDataFrame([(1, "http://a.com/ZONK"), (2, "http://a.com/plip"), (3, "http://plop.com/plip"), (4, "http://a.com/porn")], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.hit_weight) for r in U.judge_urls(pages, vocabulary=vocabulary).collect()}
+    assert got == {1: ("block", 1.0), 2: ("allow", 0.4), 3: ("block", 0.9), 4: ("allow", 0.0)}
+    with pytest.raises(ValueError):
+        U.read_vocabulary(spark, f"{tmp_path}/v", most=2)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_oracles(spark, name):
     con = oracle_compare.duck_con("/root/testdata/sf0.001")
