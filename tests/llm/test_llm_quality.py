@@ -39,6 +39,33 @@ def test_chunks_cover_every_window():
         assert windows == [data[i:i + Q.WIDTH] for i in range(len(data) - Q.WIDTH + 1)]
 
 
+def plain_score(net, text):
+    """The network by definition: every window of the whole padded text, one by one."""
+    data = (text or "").encode().ljust(Q.WIDTH, b"\0")
+    count = len(data) - Q.WIDTH + 1
+    values = [[max(0.0, float(net.bias[f]) + sum(float(net.embed[data[i + k]] @ net.filters[k][:, f]) for k in range(Q.WIDTH))) for f in range(Q.FILTERS)]
+              for i in range(count)]
+    tops, at = [], 0
+    while at < count:                                    # chunks share no window
+        part = values[at:at + Q.CHUNK - Q.WIDTH + 1]
+        tops.append((len(part), [max(v[f] for v in part) for f in range(Q.FILTERS)]))
+        at += len(part)
+    mean = [sum(n * t[f] for n, t in tops) / count for f in range(Q.FILTERS)]
+    largest = [max(t[f] for _, t in tops) for f in range(Q.FILTERS)]
+    z = sum(a * float(b) for a, b in zip(mean + largest, net.out)) + float(net.prior[0])
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_a_plain_convolution(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    net = Q.train(docs, labels)
+    texts = ["", None, "abc", "é" * 300, "x" * Q.CHUNK, "ab " * 400] + [r.text[:3000] for r in docs.orderBy("doc_id").limit(6).collect()]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in Q.classify(frame, net).collect()}
+    for i, t in enumerate(texts):
+        assert abs(got[i] - plain_score(net, t)) < 1e-4
+
+
 def test_held_out_accuracy(spark):
     """Trained without the held-out fold, right on at least 95 % of it."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
