@@ -25,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import duck_oracle as duck  # noqa: E402
 from ledgerline.config import Config  # noqa: E402
 from ledgerline.operators import (bitmaps, business, churn, cohorts, metrics,  # noqa: E402
-                                  obt, quality, revenue, scd2, staging, usage, vault)
+                                  obt, quality, refresh, revenue, scd2, staging, usage, vault)
 from ledgerline.sources.merging import newer_than  # noqa: E402
 from ledgerline.sources.store import TableStore  # noqa: E402
 from ledgerline.plans import batches  # noqa: E402
@@ -229,6 +229,21 @@ def _event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.property_values(staging.stg_events(raw), {"k_number": ("$.k", "int"), "k_text": ("$.k", "string"), "second": ("$[1]", "bigint")})
 
 
+def _revenue_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MR1-MR4 after two loads of the invoice fact, each followed by a refresh of the
+    months it touched."""
+    store, w = _scratch(spark, "revenue"), _wh(spark, sf_dir)
+    for dim in ("customer_keys", "subscription_keys"):
+        w.put(dim, materialize(w.t(dim), dim))
+    out = None
+    for n in (1, 2):
+        w.put("stg_invoices", staging.stg_invoices(batches.invoices_batch(w.raw["invoices"], n)))
+        new = materialize(fact_rows(w, "fct_invoices", store.mark("facts", "fct_invoices")), "new-invoices")
+        store.merge("facts", "fct_invoices", new, ["invoice_sk"], [PARTITION])
+        out = refresh.refresh_revenue(store, refresh.touched_months(new))
+    return out
+
+
 def _hub_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HB0 incremental: customer hub after three loads (a key keeps its first load date)."""
     w = _wh(spark, sf_dir)
@@ -268,6 +283,7 @@ def _batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lnk_subscription_event_history": _event_history("lnk_subscription_event"),
         "sat_event_history": _satellite_event_history,
         "stg_event_properties": _event_properties,
+        "mart_revenue_refreshed": _revenue_refreshed,
         "usage_bitmap_actives": _usage_bitmaps,
         "metric_monthly_active_users": _monthly_actives,
         "fct_subscriptions_partition_merge": _partition_merge,

@@ -89,15 +89,18 @@ def _pct(num, den):
 
 
 def mart_revenue(fct_invoices: DataFrame) -> DataFrame:
-    """MR4: revenue by month and plan with NRR / GRR against the previous row.
+    """MR4: revenue by month and plan with NRR / GRR against the previous row."""
+    return revenue_rates(revenue_by_plan(mrr_movements(monthly_invoices(fct_invoices))))
+
+
+def revenue_rates(by_plan: DataFrame) -> DataFrame:
+    """NRR and GRR of the plans' months.
 
     ``lag`` is the previous row of the plan (months without invoices are
     skipped); ``tier_level`` breaks ties in the ordering.
     """
-    agg = revenue_by_plan(mrr_movements(monthly_invoices(fct_invoices)))
     w = Window.partitionBy("plan_code").orderBy("revenue_month", "tier_level")
-    lag = F.lag("total_mrr_usd").over(w)
-    out = agg.withColumn("_prev", lag)
+    out = by_plan.withColumn("_prev", F.lag("total_mrr_usd").over(w))
     prev = F.col("_prev")
     exp, con, chu = F.col("expansion_mrr_usd"), F.col("contraction_mrr_usd"), F.col("churned_mrr_usd")
     return (out.withColumn("nrr_pct", F.when(prev > 0, _pct(prev + exp - con - chu, prev)))
