@@ -26,7 +26,7 @@ import duck_oracle as duck  # noqa: E402
 from ledgerline.config import Config  # noqa: E402
 from ledgerline.operators import (bitmaps, business, churn, cohorts, metrics,  # noqa: E402
                                   obt, quality, refresh, revenue, scd2, staging, usage, vault)
-from ledgerline.sources.merging import newer_than  # noqa: E402
+from ledgerline.sources.merging import as_view, newer_than  # noqa: E402
 from ledgerline.sources.store import TableStore  # noqa: E402
 from ledgerline.plans import batches  # noqa: E402
 from ledgerline.plans.warehouse import FACTS, LOAD_MONTH, PARTITION, Warehouse, fact_rows, load_vault  # noqa: E402
@@ -229,6 +229,33 @@ def _event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.property_values(staging.stg_events(raw), {"k_number": ("$.k", "int"), "k_text": ("$.k", "string"), "second": ("$[1]", "bigint")})
 
 
+def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO4: staged subscriptions as a view, read with SQL."""
+    name = f"stg_subscriptions_{uuid.uuid4().hex}"
+    as_view(_wh(spark, sf_dir).t("stg_subscriptions"), name)
+    return spark.sql(f"select status, billing_period, count(*) as subscriptions, cast(sum(mrr_usd) as decimal(28,2)) as mrr_usd from {name} group by all")
+
+
+def _stored_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO7, HK4: the event hub stored by a first load and by an incremental one, each
+    under a load time of its own; the incremental one is run twice."""
+    store, raw = _scratch(spark, "event-hub"), _wh(spark, sf_dir).raw["events"]
+    old, every = (staging.stg_events(batches.events_batch(raw, n)) for n in (1, 2))
+    load_vault(store, "hub_event", old, batches.CUSTOMER_RUNS[0], key_digits=2)
+    for _ in range(2):
+        load_vault(store, "hub_event", newer_than(every, old), batches.CUSTOMER_RUNS[1], key_digits=2)
+    return store.read("raw_vault", "hub_event").drop(vault.KEY_PART)
+
+
+LATE_START = dt.date(1999, 6, 15)
+
+
+def _late_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO11: the customers' months of a calendar that starts later, within a month."""
+    w = _wh(spark, sf_dir)
+    return obt.customer_months(w.t("dim_customer"), LATE_START, w.cfg.as_of).select("report_month", "customer_id", "cohort_month")
+
+
 def _revenue_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MR1-MR4 after two loads of the invoice fact, each followed by a refresh of the
     months it touched."""
@@ -283,6 +310,9 @@ def _batch_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lnk_subscription_event_history": _event_history("lnk_subscription_event"),
         "sat_event_history": _satellite_event_history,
         "stg_event_properties": _event_properties,
+        "view_subscriptions": _view,
+        "hub_event_stored": _stored_hub,
+        "obt_months_late_start": _late_start,
         "mart_revenue_refreshed": _revenue_refreshed,
         "usage_bitmap_actives": _usage_bitmaps,
         "metric_monthly_active_users": _monthly_actives,
