@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,7 +148,8 @@ def load_vault(store: TableStore, name: str, stg: DataFrame, load_ts: dt.datetim
     """
     by = [vault.KEY_PART] + ([LOAD_MONTH] if name in vault.SATELLITES else [])
     if name in vault.SATELLITES:
-        store.finish("raw_vault", name)
+        if store.read("raw_vault", name) is not None:
+            store.finish("raw_vault", name)
         rows = vault.load_satellite(stg, vault.SATELLITES[name], load_ts).withColumn(LOAD_MONTH, F.trunc("load_date", "month"))
     else:
         rows = (vault.load_hub(stg, vault.HUBS[name], load_ts) if name in vault.HUBS
@@ -221,6 +224,12 @@ def check_results(wh: Warehouse, counted: list[tuple[str, int]]) -> DataFrame:
     return out
 
 
+def together(*writes: Callable[[], None]) -> None:
+    """Writes that don't read each other, submitted as concurrent Spark jobs."""
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda write: write(), writes))
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str, stop_on_violation: bool = False) -> dict[str, str]:
     """One warehouse run against the store at ``root`` (first run = full build).
 
@@ -248,37 +257,40 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
         wh.put(name, wh.t(name).limit(0) if stored is None else stored.drop(vault.KEY_PART, LOAD_MONTH))
         written[name] = store.table_path(layer, name)
 
-    def rebuild(layer: str, *names: str) -> None:
-        for name in names:
-            store.write(layer, name, wh.t(name))
+    def rebuild(*tables: tuple[str, str]) -> None:
+        together(*[lambda l=layer, n=name, df=wh.t(name): store.write(l, n, df) for layer, name in tables])
+        for layer, name in tables:
             done(layer, name)
 
-    for layer, name in REFERENCE_TABLES:
-        rebuild(layer, name)
+    rebuild(*REFERENCE_TABLES)
 
     events = newer_than(raw["events"], store.mark("raw_vault", "events"))
     mark = events.agg(F.max("_loaded_at")).first()[0]
+    loads = []
     for name in VAULT_TABLES:
         entity = VAULT_SOURCE[name]
         src = events if entity == "events" else raw[entity]
         if entity == "events" and mark is None and store.read("raw_vault", name) is not None:
             if name in vault.SATELLITES:
                 checks.skipped(entity)
-        elif name in vault.SATELLITES:          # reads every row and column of its entity once: the checks ride on it
-            load_vault(store, name, checks.stg(entity, staging.STAGERS[entity](checks.raw(entity, src))), cfg.load_ts, cfg.vault_key_digits)
-        else:
-            load_vault(store, name, staging.STAGERS[entity](src), cfg.load_ts, cfg.vault_key_digits)
+            continue
+        stg = staging.STAGERS[entity](src)
+        if name in vault.SATELLITES:          # reads every row and column of its entity once: the checks ride on it
+            stg = checks.stg(entity, staging.STAGERS[entity](checks.raw(entity, src)))
+        loads.append(lambda n=name, df=stg: load_vault(store, n, df, cfg.load_ts, cfg.vault_key_digits))
+    together(*loads)
+    for name in VAULT_TABLES:
         done("raw_vault", name)
     store.set_mark("raw_vault", "events", mark)
 
-    for name, (entity, fn) in SNAPSHOTS.items():
-        snapshot_run(store, name, fn, wh.t("stg_" + entity), cfg.load_ts)
+    together(*[lambda n=name, f=fn, df=wh.t("stg_" + entity): snapshot_run(store, n, f, df, cfg.load_ts) for name, (entity, fn) in SNAPSHOTS.items()])
+    for name in SNAPSHOTS:
         wh.put(name, read_snapshot(store, name))
         written[name] = store.table_path("snapshots", f"{name}_open")
-    rebuild("business_vault", "bv_customer_lifetime", "bv_subscription_health")
-    rebuild("dimensions", "dim_customer", "dim_subscription")
+    rebuild(("business_vault", "bv_customer_lifetime"), ("business_vault", "bv_subscription_health"))
+    rebuild(("dimensions", "dim_customer"), ("dimensions", "dim_subscription"))
 
-    lazy = wh.t("stg_invoices")
+    lazy, merges = wh.t("stg_invoices"), []
     for name, (entity, key, _) in FACTS.items():
         if entity == "invoices":                # its only table: the checks of its staging ride on the fact
             new = newer_than(raw["invoices"], store.mark("facts", name))
@@ -287,9 +299,11 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], cfg: Config, root: str,
             wh.put("stg_invoices", lazy)
         else:
             rows = fact_rows(wh, name, store.mark("facts", name))
-        store.merge("facts", name, rows, [key], [PARTITION])
+        merges.append(lambda n=name, df=rows, k=key: store.merge("facts", n, df, [k], [PARTITION]))
+    together(*merges)
+    for name in FACTS:
         done("facts", name)
-    rebuild("marts", *MARTS)
+    rebuild(*[("marts", name) for name in MARTS])
     store.write("marts", "check_results", check_results(wh, checks.counts()))
     written["check_results"] = store.table_path("marts", "check_results")
     if stop_on_violation:
