@@ -17,11 +17,17 @@ never looked at).  The steps, each a Spark job over distinct fingerprints:
    probes all values within the part's threshold; pairs are verified on the
    whole fingerprint inside the join.
 4. ``connected_components`` over the links.
+
+Only components are asked for, so ``groups`` doesn't write all links of a large
+group of variants: ``pivot_links`` first ties fingerprints that agree on half of
+their bits to the smallest of them, where that is within ``tau`` bits, at most
+six links a fingerprint.  The probes of step 3 then emit only links between two
+of the components so made, once for each two components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -47,10 +53,6 @@ class Part:
     bits: tuple[int, ...]
     threshold: int
 
-    @property
-    def mask(self) -> int:
-        return sum(1 << b for b in self.bits)
-
     def flips(self) -> list[int]:
         """The bit patterns within the threshold of this part, as signed longs."""
         return [_signed(sum(1 << b for b in c))
@@ -160,22 +162,54 @@ def plan(fingerprints: DataFrame, tau: int) -> list[Part]:
     return min(options, key=lambda o: o[0])[1]
 
 
+def _masked(bits: Iterable[int]) -> Column:
+    return F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in bits))))
+
+
+def _near(a: str, b: str, tau: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= tau
+
+
+def pivot_links(fingerprints: DataFrame, tau: int) -> DataFrame:
+    """Some of the links ``(a, b)`` of column ``node`` within ``tau`` bits of
+    ``fp``, at most one per fingerprint and two quarters of the bits: to the
+    smallest fingerprint that agrees on both quarters."""
+    quarters = [range(i, i + BITS // 4) for i in range(0, BITS, BITS // 4)]
+    keys = [F.struct(F.lit(i).alias("part"), _masked([*x, *y]).alias("value")) for i, (x, y) in enumerate(combinations(quarters, 2))]
+    keyed = fingerprints.select("node", "fp", F.explode(F.array(*keys)).alias("k")).select("node", "fp", "k.part", "k.value")
+    first = keyed.groupBy("part", "value").agg(F.min(F.struct("fp", "node")).alias("p"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = keyed.join(first.select("part", "value", F.col("p.fp").alias("q"), F.col("p.node").alias("b")), ["part", "value"])
+    return pairs.where((F.col("fp") != F.col("q")) & _near("fp", "q", tau)).select(F.col("node").alias("a"), "b")
+
+
 def links(fingerprints: DataFrame, tau: int, parts: list[Part]) -> DataFrame:
-    """All pairs ``(a, b)`` of column ``node`` whose ``fp`` differ in at most
-    ``tau`` bits; ``fp`` must be distinct."""
+    """All pairs ``(a, b)`` of different values of column ``node`` that have an
+    ``fp`` each which differ in at most ``tau`` bits; ``fp`` must be distinct."""
     def of_part(i: int, part: Part, flips: list[int]) -> Column:
-        own = F.col("fp").bitwiseAND(F.lit(_signed(part.mask)))
         return F.transform(F.array(*[F.lit(x) for x in flips]),
-                           lambda x: F.struct(F.lit(i).alias("part"), own.bitwiseXOR(x).alias("value")))
+                           lambda x: F.struct(F.lit(i).alias("part"), _masked(part.bits).bitwiseXOR(x).alias("value")))
 
     def keyed(probe: bool) -> DataFrame:
         keys = [of_part(i, p, p.flips() if probe else [0]) for i, p in enumerate(parts)]
         return fingerprints.select("node", "fp", F.explode(F.concat(*keys)).alias("k")).select("node", "fp", "k.part", "k.value")
 
     x, y = keyed(True).alias("x"), keyed(False).alias("y")
-    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= tau
-    return x.join(y, (F.col("x.part") == F.col("y.part")) & (F.col("x.value") == F.col("y.value"))
-                  & (F.col("x.fp") < F.col("y.fp")) & near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    pairs = x.join(y, (F.col("x.part") == F.col("y.part")) & (F.col("x.value") == F.col("y.value"))
+                   & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.node") != F.col("y.node")) & _near("x.fp", "y.fp", tau))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def groups(fingerprints: DataFrame, ties: DataFrame, tau: int) -> DataFrame:
+    """``(node, fp, component)`` for the distinct ``fp`` of ``fingerprints``:
+    the smallest ``node`` reachable over links within ``tau`` bits and over the
+    pairs ``(a, b)`` of ``ties``."""
+    def united(pairs: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
+        ends = connected_components(pairs).select(F.col("node").alias("end"), F.col("component").alias("to"))
+        return nodes.join(ends, nodes[node] == ends["end"], "left").withColumn("component", F.coalesce("to", node)).drop("end", "to")
+
+    near = materialize(united(pivot_links(fingerprints, tau).unionByName(ties), fingerprints, "node"), "pivots")
+    rest = links(near.select(F.col("component").alias("node"), "fp"), tau, plan(fingerprints, tau))
+    return united(rest, near, "component")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -191,11 +225,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = materialize(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle_words).alias("fp")), "fingerprints")
     known = rows.where("id is not null")
     classes = materialize(known.groupBy("fp").agg(F.min("id").alias("node")), "classes")
-    found = materialize(links(classes, max_bits, plan(classes, max_bits)), "simhash-links")
     # rows of one id may have several fingerprints: they hang together
     same = known.groupBy("id").agg(F.min("fp").alias("f"), F.max("fp").alias("t")).where("f <> t").select("id")
     ties = (known.join(same, "id").join(classes, "fp").select(F.col("id").alias("a"), F.col("node").alias("b")))
-    parts = connected_components(found.unionByName(ties))
-    ends = classes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    ends = groups(classes, ties, max_bits).select("fp", F.col("component").alias("component_id"))
     return rows.join(ends, "fp", "left").select(
         F.col("id").alias(id_col), "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -84,6 +84,29 @@ def test_any_allocation_finds_all_links(spark):
     assert {tuple(sorted(p)) for p in S.links(frame, 4, S.plan(frame, 4)).collect()} == want
 
 
+def test_variants_of_one_page_are_not_paired_with_each_other(spark):
+    rng = random.Random(8)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    for page in list(fps)[:2]:
+        fps |= {page ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5))) for _ in range(150)}
+    chain = [rng.getrandbits(64)]
+    for _ in range(30):
+        chain.append(chain[-1] ^ sum(1 << b for b in rng.sample(range(64), 4)))
+    fps = sorted({*fps, *chain})
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    frame = spark.createDataFrame(list(enumerate(signed)), "node long, fp long")
+    ties = spark.createDataFrame([(0, 5), (5, 9)], "a long, b long")
+    pairs = [(i, j) for i, a in enumerate(fps) for j, b in enumerate(fps) if i < j and (a ^ b).bit_count() <= 4]
+    least = list(range(len(fps)))
+    for _ in fps:
+        for a, b in [*pairs, (0, 5), (5, 9)]:
+            least[a] = least[b] = min(least[a], least[b])
+    got = {r["node"]: r["component"] for r in S.groups(frame, ties, 4).collect()}
+    assert [got[i] for i in range(len(fps))] == least
+    pivots = S.pivot_links(frame, 4).distinct().collect()
+    assert {tuple(sorted(p)) for p in pivots} <= set(pairs) and len(pivots) <= 6 * len(fps) < len(pairs)
+
+
 def test_bits_are_grouped_with_those_they_follow():
     import numpy as np
     corr = np.eye(64)
