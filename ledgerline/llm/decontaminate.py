@@ -125,14 +125,21 @@ def windows(segs: DataFrame, items: DataFrame) -> DataFrame:
     found = spots.join(shingles, "h").groupBy("seg", "first", "last", "size", "item_id", "n", "need").agg(F.array_sort(F.collect_list("pos")).alias("p"))
     fewest = f"cast(ceil(n * {SIMILARITY} - 1e-9) as int)"         # a shorter window has at least that many shingles
     found = found.where(F.expr(f"size(p) >= if(first or last, {fewest}, need)"))
-    whole = """flatten(transform(p, (x, j) -> transform(
-        filter(transform(sequence(0, n - need), e -> x - e),
-          s -> s >= 0 and coalesce(get(p, j + need - 1) <= s + n - 1, false) and (j = 0 or p[greatest(j - 1, 0)] < s)),
-        s -> struct(s as s, n as m, 0 as part))))"""
-    ends = f"""filter(flatten(transform(filter(sequence({fewest}, n), m -> m < n and m <= size), m ->
-        filter(array(if(last, struct(size - m as s, m as m, if(first and m = size, 0, 1) as part), null),
-            if(first and not (last and m = size), struct(0 as s, m as m, 2 as part), null)), w -> w is not null))),
-        w -> size(filter(p, x -> x >= w.s and x < w.s + w.m)) >= ceil((n + w.m) * {SIMILARITY / (1 + SIMILARITY)} - 1e-9))"""
+    # starts for which hit j is the first in the window and hit j + need - 1 lies in it, too
+    upto = "get(p, j + need - 1)"
+    lowest = f"greatest(0, get(p, j - 1) + 1, {upto} - n + 1)"
+    whole = f"""flatten(transform(p, (x, j) -> if({upto} is not null and {lowest} <= x,
+        transform(sequence({lowest}, x), s -> struct(s as s, n as m, 0 as part)), array())))"""
+    # between two hits the shorter windows at an end hold equally many
+    enough = f">= ceil((n + m) * {SIMILARITY / (1 + SIMILARITY)} - 1e-9)"
+    shorter = lambda least, most: f"if({least} <= {most}, sequence({least}, {most}), array())"
+    at_end = shorter(f"greatest(size - x, {fewest})", "least(size - coalesce(get(p, j - 1) + 1, 0), n - 1)")
+    at_start = shorter(f"greatest(x + 1, {fewest})", "least(coalesce(get(p, j + 1), size), n - 1)")
+    ends = f"""concat(
+        if(last, flatten(transform(p, (x, j) -> transform(filter({at_end}, m -> size(p) - j {enough}),
+            m -> struct(size - m as s, m as m, if(first and m = size, 0, 1) as part)))), array()),
+        if(first, flatten(transform(p, (x, j) -> transform(filter({at_start}, m -> j + 1 {enough} and not (last and m = size)),
+            m -> struct(0 as s, m as m, 2 as part)))), array()))"""
     found = found.selectExpr("seg", "n", f"inline(array_distinct(concat({whole}, {ends})))").distinct()
     held = found.join(segs, "seg").where(F.expr(f"s + m + {SHINGLE - 1} <= size(words)"))
     return held.select("doc_id", (F.col("at") + F.col("s")).alias("start"), "n", "part",

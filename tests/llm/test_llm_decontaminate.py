@@ -92,3 +92,34 @@ def test_null_ids_and_empty_tables(spark):
     assert [r.doc_id for r in D.find_contamination(docs, bench).where("item_id = 4").collect()] == [None]
     assert D.find_contamination(docs.limit(0), bench).count() == 0
     assert D.find_contamination(docs, bench.limit(0)).count() == 0
+
+
+def test_windows_of_long_items_equal_brute_force(spark):
+    """Long items with edits, whole, moved and cut off by either end, one with repeated shingles."""
+    rng = random.Random(11)
+    long = ["l%d" % rng.randrange(900) for _ in range(320)]
+    round_ = ["r%d" % (k % 9) for k in range(150)]
+    fill = ["f%d" % k for k in range(500)]
+    edited = [w if k % 97 else "new" for k, w in enumerate(long)]
+    docs = [(1, fill + edited + fill), (2, long[:-20] + fill), (3, fill + long[25:]), (4, long[:160] + ["in"] * 6 + long[160:]),
+            (5, round_ * 2), (6, fill + round_[:120]), (7, long[15:-15]), (8, long[:200] + fill + long[200:])]
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(round_))], "item_id long, text string")
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string")
+    items = D.materialize(D.prepared_items(bench), "items")
+    segs = D.materialize(D.segments(frame, items, 320, "doc_id", "text"), "segments")
+    got = {(r.doc_id, r.start, r.n, r.part, len(r.window.split()) - 4) for r in D.windows(segs, items).collect()}
+    want = set()
+    for d, t in docs:
+        shingles = [tuple(t[k:k + 5]) for k in range(len(t) - 4)]
+        for it in (long, round_):
+            of = {tuple(it[k:k + 5]) for k in range(len(it) - 4)}
+            n, hits = len(it) - 4, [x in of for x in shingles]
+            held = lambda s, m, share: sum(hits[s:s + m]) >= share - 1e-9
+            want |= {(d, s, n, 0, n) for s in range(len(hits) - n + 1) if held(s, n, n * 1.6 / 1.8)}
+            for m in range(1, min(n, len(hits) + 1)):
+                if m < n * 0.8 - 1e-9 or m >= n:
+                    continue
+                whole = m == len(hits)
+                want |= {(d, s, n, 0 if whole else part, m) for s, part in ((len(hits) - m, 1), (0, 2)) if held(s, m, (n + m) * 0.8 / 1.8)}
+    assert got == want and {p for _, _, _, p, _ in want} == {0, 1, 2}
+    assert {(r.doc_id, r.item_id) for r in D.find_contamination(frame, bench).collect()} >= {(2, 1), (3, 1), (4, 1), (5, 2), (7, 1)}
