@@ -21,6 +21,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import lit_date
 
 
+# Numbers of a customer-day that a day adds up, and their names for the day.
+DAILY_SUMS = {"user_engagement_score": "daily_engagement_score", "user_event_count": "total_events",
+              "engagement_events": "engagement_events", "conversion_events": "conversion_events",
+              "churn_signal_events": "churn_signal_events"}
+ROLLING = {"wau_7d": 7, "mau_28d": 28}
+
+
 def recent_events(fct_events: DataFrame, as_of: dt.date, years_back: int = 2) -> DataFrame:
     """MU1: events dated on or after ``as_of - years`` (pushed into the scan)."""
     try:
@@ -52,18 +59,19 @@ def customer_days(events: DataFrame) -> DataFrame:
     return _customer_day_sums(events).select("event_date", "customer_sk", "user_engagement_score", "user_event_count")
 
 
+def features_by_day(events: DataFrame) -> DataFrame:
+    """Distinct features per day, from the distinct (day, feature) pairs."""
+    return (events.select("event_date", "feature_name").distinct().groupBy("event_date")
+            .agg(F.count("feature_name").alias("distinct_features_used")))
+
+
 def daily_usage(events: DataFrame) -> DataFrame:
     """MU3: daily aggregate, from the customer-day sums; features from the
     distinct (day, feature) pairs.  No distinct count runs over raw events."""
     daily = _customer_day_sums(events).groupBy("event_date").agg(
         F.count("customer_sk").alias("dau"),
-        F.sum("user_engagement_score").cast("bigint").alias("daily_engagement_score"),
-        *[F.sum(c).cast("bigint").alias(n) for c, n in (
-            ("user_event_count", "total_events"), ("engagement_events", "engagement_events"),
-            ("conversion_events", "conversion_events"), ("churn_signal_events", "churn_signal_events"))])
-    features = (events.select("event_date", "feature_name").distinct().groupBy("event_date")
-                .agg(F.count("feature_name").alias("distinct_features_used")))
-    return daily.join(features, "event_date")
+        *[F.sum(c).cast("bigint").alias(n) for c, n in DAILY_SUMS.items()])
+    return daily.join(features_by_day(events), "event_date")
 
 
 def rolling_actives(cust_days: DataFrame, days: DataFrame, window_days: int,
@@ -87,23 +95,37 @@ def rolling_actives(cust_days: DataFrame, days: DataFrame, window_days: int,
             .select(date_col, F.col(name).cast("bigint").alias(name)))
 
 
+def usage_by_day(events: DataFrame) -> DataFrame:
+    """MU3-MU5 together: ``daily_usage`` with ``wau_7d`` and ``mau_28d``, from one customer-day aggregate.
+
+    A customer-day is its day's sums and the start of both windows' intervals; it ends
+    them on later days, which may have no events of their own and are left out last.
+    """
+    days = _customer_day_sums(events).withColumn(
+        "_next", F.lead("event_date").over(Window.partitionBy("customer_sk").orderBy("event_date")))
+    end = lambda n: F.least(F.date_add("event_date", n), F.coalesce("_next", F.date_add("event_date", n)))
+    starts = {name: F.lit(1) for name in ROLLING}
+    user = {"days": F.lit(1), "dau": F.col("customer_sk").isNotNull().cast("int"), **{n: F.col(c) for c, n in DAILY_SUMS.items()}}
+    nothing = {n: F.lit(None).cast("int" if n in ("days", "dau") else "bigint") for n in user}
+    rows = [(F.col("event_date"), {**starts, **user})]
+    rows += [(end(n), {**{other: F.lit(-1 if other == name else 0) for other in ROLLING}, **nothing}) for name, n in ROLLING.items()]
+    parts = days.select(F.explode(F.array(*[
+        F.struct(day.alias("event_date"), *[v.alias(n) for n, v in values.items()]) for day, values in rows])).alias("e")).select("e.*")
+    daily = parts.groupBy("event_date").agg(*[F.sum(n).cast("bigint").alias(n) for n in [*ROLLING, *user]])
+    upto = Window.orderBy("event_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    daily = daily.select("event_date", *user, *[F.sum(name).over(upto).alias(name) for name in ROLLING]).where("days > 0")
+    return daily.drop("days").join(features_by_day(events), "event_date")
+
+
 def mart_usage(fct_events: DataFrame, as_of: dt.date, years_back: int = 2) -> DataFrame:
     """MU6: DAU, WAU, MAU, ratios, engagement and 7-row moving averages."""
-    ev = recent_events(fct_events, as_of, years_back)
-    cd = customer_days(ev)
-    daily = daily_usage(ev)
-    days = cd.select("event_date").distinct()        # days with events, from the same aggregate
-    wau = rolling_actives(cd, days, 7, "wau_7d").withColumnRenamed("event_date", "_w_date")
-    mau = rolling_actives(cd, days, 28, "mau_28d").withColumnRenamed("event_date", "_m_date")
-    j = (daily.join(wau, F.col("event_date") == F.col("_w_date"), "left")
-              .join(mau, F.col("event_date") == F.col("_m_date"), "left"))
+    j = usage_by_day(recent_events(fct_events, as_of, years_back))
     dau = F.col("dau")
-    wau_c = F.coalesce("wau_7d", dau)
-    mau_c = F.coalesce("mau_28d", dau)
+    wau_c, mau_c = F.col("wau_7d"), F.col("mau_28d")
     moving = Window.orderBy("event_date").rowsBetween(-6, 0)
     return j.select(
         "event_date", dau.alias("dau"),
-        wau_c.alias("wau_7d"), mau_c.alias("mau_28d"),
+        "wau_7d", "mau_28d",
         F.round(dau.cast("double") / F.nullif(wau_c, F.lit(0)).cast("double") * 100, 2).alias("dau_wau_ratio_pct"),
         F.round(dau.cast("double") / F.nullif(mau_c, F.lit(0)).cast("double") * 100, 2).alias("dau_mau_ratio_pct"),
         "daily_engagement_score",

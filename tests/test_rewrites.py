@@ -108,3 +108,40 @@ def test_churn_collects_months_not_states(spark, monkeypatch):
     per = next(f for f in frames if "money" in f.columns)
     assert max(len(r.money) for r in per.select("money").collect()) <= 13 * 13
     assert got[dt.date(2001, 1, 1)].active_mrr_usd == 100_000 and got[dt.date(2001, 1, 1)].active_subs == 0
+
+
+def _usage_rows():
+    rng = random.Random(5)
+    base = dt.date(2001, 1, 20)
+    days = [base + dt.timedelta(days=d) for d in (0, 1, 2, 6, 7, 11, 27, 28, 29, 70)] + [None]
+    return [(rng.choice(days), rng.choice([None, "c0", *(f"c{k}" for k in range(9))]), rng.choice(["ENGAGEMENT", "ERROR", None]),
+             rng.choice([None, "f1", "f2", "f3"]), rng.choice([None, 1, 5]), rng.random() < 0.3, rng.random() < 0.2) for _ in range(300)]
+
+
+USAGE_COLUMNS = ("event_date_key date, customer_sk string, event_category string, feature_name string, engagement_score int, "
+                 "is_conversion_event boolean, is_churn_signal boolean")
+
+
+def test_usage_by_day_equals_its_parts(spark):
+    rows = [r for r in _usage_rows() if r[0]]
+    events = spark.createDataFrame(rows, USAGE_COLUMNS).withColumnRenamed("event_date_key", "event_date")
+    got = {r.event_date: r.asDict() for r in usage.usage_by_day(events).collect()}
+    assert len(got) == len({r[0] for r in rows}) == 10
+    for r in usage.daily_usage(events).collect():
+        assert {c: got[r.event_date][c] for c in r.asDict()} == r.asDict()
+    for name, n in usage.ROLLING.items():
+        for d, r in got.items():
+            assert r[name] == len({x[1] for x in rows if d - dt.timedelta(days=n - 1) <= x[0] <= d}), (name, d)
+    plan = usage.usage_by_day(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2         # one pass for the sums and windows, one for the features
+    assert usage.usage_by_day(events.limit(0)).count() == 0
+
+
+def test_customer_usage_counts_days_as_distinct(spark):
+    rows = _usage_rows()
+    got = {(r.report_month, r.customer_sk): (r.total_events, r.active_days, r.features_used)
+           for r in obt.customer_usage(spark.createDataFrame(rows, USAGE_COLUMNS)).collect()}
+    want = {}
+    for r in rows:
+        want.setdefault((r[0] and r[0].replace(day=1), r[1]), []).append(r)
+    assert got == {k: (len(g), len({x[0] for x in g} - {None}), len({x[3] for x in g} - {None})) for k, g in want.items()}
