@@ -33,6 +33,29 @@ def exchanges(df) -> int:
     return plan(df).count("Exchange hashpartitioning")
 
 
+def invoice_fact(spark):
+    stg = spark.createDataFrame(
+        [("i1", "s1", "c1", "PAID"), ("i2", None, None, "PAID"), ("i3", "s9", "c1", "FAILED")],
+        "invoice_id string, subscription_id string, customer_id string, invoice_status string").select(
+        "*", F.lit("CARD").alias("payment_method"), F.lit("USD").alias("currency_code"),
+        *[F.lit(12).cast("decimal(18,2)").alias(c) for c in ("amount_usd", "tax_usd", "discount_usd", "net_amount_usd")],
+        *[F.lit("2001-01-05").cast("date").alias(c) for c in ("invoice_date", "due_date")],
+        *[F.lit(TS).cast("timestamp_ntz").alias(c) for c in ("paid_at", "created_at", "_loaded_at")])
+    customers = spark.createDataFrame([("c1", "ck1", True)], "customer_id string, customer_sk string, is_current boolean")
+    subs = spark.createDataFrame([("s1", "sk1", "PRO", "annual", True)],
+                                 "subscription_id string, subscription_sk string, plan_code string, billing_period string, is_current boolean")
+    plans = spark.createDataFrame([("PRO", "pk", 3)], "plan_code string, plan_sk string, tier_level int")
+    return facts.fct_invoices(stg, customers, subs, plans)
+
+
+def test_invoice_lookups_do_not_carry_the_invoice_id(sorted_joins):
+    fct = invoice_fact(sorted_joins)
+    got = {r.invoice_id: (r.customer_sk, r.subscription_sk, r.customer_id) for r in fct.collect()}
+    assert got == {"i1": ("ck1", "sk1", "c1"), "i2": ("UNKNOWN", "UNKNOWN", None), "i3": ("ck1", "UNKNOWN", "c1")}
+    assert "_customer" not in fct.columns
+    assert plan(fct.groupBy("payment_method").agg(F.sum("net_amount_usd"))).count("invoice_id") == 1     # the scan's
+
+
 def subscriptions(spark):
     return spark.createDataFrame([("s1", "c1", "p1", 1), ("s1", "c1", "p1", 2), ("s2", None, "p1", 1), (None, None, None, 1)],
                                  "subscription_id string, customer_id string, product_id string, v int").select(
