@@ -56,6 +56,19 @@ def test_invoice_lookups_do_not_carry_the_invoice_id(sorted_joins):
     assert plan(fct.groupBy("payment_method").agg(F.sum("net_amount_usd"))).count("invoice_id") == 1     # the scan's
 
 
+def test_movements_take_one_shuffle_and_one_sort_of_monthly_revenue(sorted_joins):
+    spark = sorted_joins
+    fct = spark.createDataFrame([("c1", "s1", "2001-01-05", 10), ("c1", "s1", "2001-02-07", 15), ("c1", "s1", "2001-02-09", 1)],
+                                "customer_sk string, subscription_sk string, d string, v int").select(
+        "customer_sk", "subscription_sk", F.col("d").cast("date").alias("invoice_date"), F.lit("PRO").alias("plan_code"),
+        (F.col("v") % 2).alias("tier_level"), F.lit(True).alias("is_paid"), F.lit(False).alias("is_refunded"), F.lit(False).alias("is_failed"),
+        *[F.col("v").cast(t).alias(c) for c, t in (("mrr_contribution_usd", "decimal(28,8)"), ("arr_contribution_usd", "decimal(38,2)"), ("net_amount_usd", "decimal(18,2)"))])
+    moved = revenue.mrr_movements(revenue.monthly_invoices(fct))
+    assert exchanges(moved) == 1 and plan(moved).count("Sort [") == 1
+    rows = sorted(tuple(map(str, (r.revenue_month, r.current_mrr + 0, r.prior_mrr, r.expansion_mrr, r.new_mrr))) for r in moved.collect())
+    assert [tuple(float(x) for x in r[1:]) for r in rows] == [(10, 0, 0, 10), (16, 10, 6, 0)]
+
+
 def subscriptions(spark):
     return spark.createDataFrame([("s1", "c1", "p1", 1), ("s1", "c1", "p1", 2), ("s2", None, "p1", 1), (None, None, None, 1)],
                                  "subscription_id string, customer_id string, product_id string, v int").select(
