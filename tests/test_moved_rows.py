@@ -69,6 +69,14 @@ def test_movements_take_one_shuffle_and_one_sort_of_monthly_revenue(sorted_joins
     assert [tuple(float(x) for x in r[1:]) for r in rows] == [(10, 0, 0, 10), (16, 10, 6, 0)]
 
 
+def test_short_keys_tell_all_texts_apart(spark):
+    texts = ["UNKNOWN", "unknown", "", "0" * 32, "0" * 31 + "g", "A" * 32, "0123456789abcdef", "\0" * 16]
+    df = spark.createDataFrame([(t,) for t in texts] * 2 + [(None,)], "k string").withColumn("s", short_key("k"))
+    assert df.agg(F.count_distinct("s")).first()[0] == len(texts)
+    assert df.where("k is null and s is not null").isEmpty()
+    assert df.where(F.col("k") == "0" * 32).agg(F.max(F.length("s"))).first()[0] == 16
+
+
 def subscriptions(spark):
     return spark.createDataFrame([("s1", "c1", "p1", 1), ("s1", "c1", "p1", 2), ("s2", None, "p1", 1), (None, None, None, 1)],
                                  "subscription_id string, customer_id string, product_id string, v int").select(
