@@ -109,3 +109,18 @@ def test_health_joins_invoices_without_moving_the_subscriptions(sorted_joins):
         invoices, TS.date(), TS)
     assert sorted((r.subscription_id, r.total_invoices, r.failed_invoices) for r in health.collect()) == [("s1", 2, 1), ("s2", 0, 0)]
     assert plan(health).count("Exchange hashpartitioning(subscription_id#") == 1     # that of the invoices
+
+
+def test_the_grid_of_the_wide_table_is_not_shuffled(sorted_joins):
+    from ledgerline.config import Config
+    from ledgerline.plans.warehouse import Warehouse
+    from tests.conftest import SF_SMALL
+    p = plan(Warehouse.from_testdata(sorted_joins, SF_SMALL, Config.fixtures()).t("obt_saas_metrics"))
+    assert "Exchange hashpartitioning(report_month" not in p
+    assert "Exchange" not in p[:p.index("Generate explode")].split("Final Plan")[-1]
+
+
+def test_months_of_customers_leaves_null_months_out(spark):
+    rows = spark.createDataFrame([("2001-01-01", "c1", 5), (None, "c1", 7)], "m string, customer_sk string, v int").select(
+        F.col("m").cast("date").alias("report_month"), "customer_sk", "v")
+    assert [(r.customer_sk, {k: v.v for k, v in r.x.items()}) for r in obt.months_of_customers(rows, "x").collect()] == [("c1", {dt.date(2001, 1, 1): 5})]
