@@ -15,8 +15,13 @@ from ..functions.dates import lit_ts
 
 
 def unique(df: DataFrame, col: str) -> DataFrame:
-    """DQ1: values occurring more than once (NULLs ignored)."""
-    return (df.filter(F.col(col).isNotNull()).groupBy(col)
+    """DQ1: values occurring more than once (NULLs ignored).
+
+    Nearly all values differ, so they are dealt out before they are counted: a
+    map-side aggregate would hold every value of a scan's split, and in the same task
+    as a join's sort buffers.
+    """
+    return (df.select(col).filter(F.col(col).isNotNull()).repartition(col).groupBy(col)
             .agg(F.count(F.lit(1)).alias("n_records"))
             .filter(F.col("n_records") > 1))
 

@@ -124,3 +124,10 @@ def test_months_of_customers_leaves_null_months_out(spark):
     rows = spark.createDataFrame([("2001-01-01", "c1", 5), (None, "c1", 7)], "m string, customer_sk string, v int").select(
         F.col("m").cast("date").alias("report_month"), "customer_sk", "v")
     assert [(r.customer_sk, {k: v.v for k, v in r.x.items()}) for r in obt.months_of_customers(rows, "x").collect()] == [("c1", {dt.date(2001, 1, 1): 5})]
+
+
+def test_unique_counts_after_the_shuffle_only(spark):
+    found = quality.unique(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, v int"), "k")
+    p = plan(found)
+    assert "Aggregate" not in p[p.index("Exchange hashpartitioning"):]
+    assert [tuple(r) for r in found.collect()] == [("a", 2)]
