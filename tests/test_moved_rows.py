@@ -131,3 +131,30 @@ def test_unique_counts_after_the_shuffle_only(spark):
     p = plan(found)
     assert "Aggregate" not in p[p.index("Exchange hashpartitioning"):]
     assert [tuple(r) for r in found.collect()] == [("a", 2)]
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_a_merge_reduces_repeated_keys_only(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(stores, "FEW", few)
+    store, made = TableStore(spark, str(tmp_path)), "k string, v int, part string, _loaded_at timestamp_ntz"
+    first = [("a", 1, "p", TS), ("a", 2, "p", TS + dt.timedelta(1)), ("b", 3, "q", TS), (None, 4, "q", TS), (None, 5, "q", TS)]
+    store.merge("facts", "t", spark.createDataFrame(first, made), ["k"], ["part"])
+    assert sorted(tuple(map(str, r)) for r in store.read("facts", "t").select("k", "v").collect()) == [("None", "5"), ("a", "2"), ("b", "3")]
+    store.merge("facts", "t", spark.createDataFrame([("a", 9, "p", TS), ("a", 8, "p", TS), ("c", 7, "q", TS)], made), ["k"], ["part"])
+    want = {"a": 9, "b": 3, "c": 7, None: 5}
+    assert {r.k: r.v for r in store.read("facts", "t").collect()} == want
+
+
+def test_rows_of_unique_keys_are_not_shuffled_by_a_merge(spark, tmp_path):
+    spark.range(50).select(F.col("id").cast("string").alias("k")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    assert "Exchange" not in plan(TableStore(spark, str(tmp_path))._reduced(rows, "t", ["k"]))
+    assert "Exchange" in plan(latest_per_key(rows.withColumn("v", F.lit(1)), ["k"], []))
+
+
+def test_a_written_increment_is_not_written_again(spark, tmp_path):
+    spark.createDataFrame([("a", "p")], "k string, part string").write.parquet(f"{tmp_path}/rows")
+    copies = lambda: len(glob.glob(os.path.join(ensure_checkpoint_dir(spark), "ledgerline-once-increment-*")))
+    store = TableStore(spark, f"{tmp_path}/store")
+    store.merge("facts", "once", spark.read.parquet(f"{tmp_path}/rows"), ["k"], ["part"], written=True)
+    assert copies() == 0 and store.read("facts", "once").count() == 1
