@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_ts
@@ -17,13 +17,13 @@ from ..functions.dates import lit_ts
 def unique(df: DataFrame, col: str) -> DataFrame:
     """DQ1: values occurring more than once (NULLs ignored).
 
-    Nearly all values differ, so they are dealt out before they are counted: a
-    map-side aggregate would hold every value of a scan's split, and in the same task
-    as a join's sort buffers.
+    Nearly all values differ, so they are sorted and numbered, which spills where it must,
+    and only those seen before are grouped: hash tables would hold every value, the
+    map-side one in the same task as a join's sort buffers.
     """
-    return (df.select(col).filter(F.col(col).isNotNull()).repartition(col).groupBy(col)
-            .agg(F.count(F.lit(1)).alias("n_records"))
-            .filter(F.col("n_records") > 1))
+    number = F.row_number().over(Window.partitionBy(col).orderBy(col))
+    return (df.select(col).filter(F.col(col).isNotNull()).withColumn("_number", number)
+            .filter(F.col("_number") > 1).groupBy(col).agg(F.max("_number").cast("bigint").alias("n_records")))
 
 
 def not_null(df: DataFrame, col: str) -> DataFrame:
