@@ -139,3 +139,17 @@ def test_stored_months_are_dealt_once_for_their_movements(sorted_joins, tmp_path
     assert staged[refresh.BY_PLAN].count("Exchange hashpartitioning(customer_sk") == 1
     assert sorted((r.revenue_month, int(r.expansion_mrr_usd), int(r.new_mrr_usd)) for r in out.collect()) == [(JAN, 0, 10), (FEB, 5, 1)]
     assert sorted(map(str, out.collect())) == sorted(map(str, revenue.mart_revenue(fct).select(out.columns).collect()))
+
+
+def test_a_stored_invoice_load_writes_between_its_lookups(spark):
+    from ledgerline.config import Config
+    from ledgerline.plans.warehouse import Warehouse, fact_rows
+
+    w, calls = Warehouse.from_testdata(spark, SF_SMALL, Config.fixtures()), []
+
+    class Store:
+        def steps(self, layer, table):
+            return lambda rows: (calls.append((layer, table)), rows)[1]
+    rows = fact_rows(w, "fct_invoices", None, Store())
+    assert calls == [("facts", "fct_invoices")] * 2
+    assert rows.columns == fact_rows(w, "fct_invoices", None).columns
