@@ -153,3 +153,11 @@ def test_a_stored_invoice_load_writes_between_its_lookups(spark):
     rows = fact_rows(w, "fct_invoices", None, Store())
     assert calls == [("facts", "fct_invoices")] * 2
     assert rows.columns == fact_rows(w, "fct_invoices", None).columns
+
+
+def test_the_wide_table_meets_written_maps(spark):
+    from ledgerline.config import Config
+    from ledgerline.plans.warehouse import Warehouse
+
+    p = plan(Warehouse.from_testdata(spark, SF_SMALL, Config.fixtures()).t("obt_saas_metrics"))
+    assert "lineitem.parquet" not in p and "events.parquet" not in p
